@@ -1,0 +1,5 @@
+"""Structured Streaming.
+
+The reference computes nothing on streams (no stream source, sink,
+watermark or state), so this package intentionally holds no operator.
+"""
