@@ -33,6 +33,9 @@ def register(name: str, sql: str | None = None):
 def _load_modules() -> None:
     # Importing the modules fills the registry.
     from tessera.plans import (  # noqa: F401
+        q_features,
+        q_neighbors,
+        q_ranking,
         q_sources,
         q_splits,
     )

@@ -59,3 +59,37 @@ HOLDOUT_ITEM = hash_bucket_sql("item", "item_id") + " >= 8000"
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+GENRE_VEC = (
+    "genre_vec AS (SELECT item_id, [" + ", ".join(GENRE_COLUMNS) + "] AS v, "
+    + HOLDOUT_ITEM + " AS holdout, " + ", ".join(GENRE_COLUMNS) + " FROM item_genres)"
+)
+
+
+def distance_sql(a: str, b: str) -> str:
+    return "sqrt(" + " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in GENRE_COLUMNS) + ")"
+
+
+def radius_pairs(radius: float, name: str = "pairs") -> str:
+    """Brute-force holdout x train pairs with distance < radius (oracle only)."""
+    return (
+        f"{name} AS (SELECT h.item_id AS holdout_id, t.item_id AS train_id, {distance_sql('h', 't')} AS distance "
+        "FROM genre_vec h JOIN genre_vec t ON h.holdout AND NOT t.holdout "
+        f"WHERE {distance_sql('h', 't')} < {radius})"
+    )
+
+
+FACTOR_ROWS = (
+    "factor_rows AS (SELECT CAST(vec_id AS INTEGER) AS id, unnest(range(len(embedding))) AS pos, "
+    "CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings)"
+)
+
+SPLIT_ROWS = (
+    "fit AS (SELECT user_id, item_id, rating FROM explicit WHERE "
+    + hash_bucket_sql("row", "user_id", "item_id") + " < 8000)"
+)
+
+
+def dot_sql(a: str, b: str) -> str:
+    return f"list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[]))"
