@@ -34,6 +34,7 @@ def _load_modules() -> None:
     # Importing the modules fills the registry.
     from tessera.plans import (  # noqa: F401
         q_features,
+        q_models,
         q_neighbors,
         q_ranking,
         q_sources,
