@@ -43,9 +43,14 @@ def make_als(
         coldStartStrategy=cold_start_strategy,
         checkpointInterval=checkpoint_interval,
     )
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
-    return als
+    if not num_blocks:
+        # One block per core of the cluster (MLlib's fixed default of 10
+        # would cap a large cluster at ten tasks per half-iteration).
+        from pyspark import SparkContext
+
+        sc = SparkContext._active_spark_context
+        num_blocks = max(2, sc.defaultParallelism) if sc is not None else 10
+    return als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
 
 
 def fit_als(train: DataFrame, **params) -> ALSModel:

@@ -27,7 +27,7 @@ def factor_genre_map(factors: DataFrame, id_map: DataFrame, labels: DataFrame, k
 def export_wide(mapped: DataFrame, rank: int, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Wide factor table (one column per component), written by the executors (K5)."""
     wide = mapped.select("item_id", "real_item_id", "genre", "features").transform(
-        lambda d: d.select("item_id", "real_item_id", "genre", *[F.col("features")[i].cast("double").alias(f"f{i}") for i in range(rank)])
+        lambda d: d.select("item_id", "real_item_id", "genre", *[F.get(F.col("features"), i).cast("double").alias(f"f{i}") for i in range(rank)])
     ).na.drop("any")
     if path:
         w = wide.write.mode("overwrite")
