@@ -148,5 +148,16 @@ def write_parts(parts: DataFrame, path: str, mode: str = "overwrite") -> None:
     parts.write.mode(mode).partitionBy("part").parquet(path)
 
 
+def parts_table(spark, interactions: DataFrame, key: str, **kwargs) -> DataFrame:
+    """``assign_parts`` written once (partitioned by ``part``) and read back.
+
+    For plans that read several of the four final tables: each read prunes
+    to its partitions instead of recomputing the split.
+    """
+    from tessera.session import materialized
+
+    return materialized(spark, f"parts:{key}", lambda: assign_parts(interactions, **kwargs), partition_by=["part"])
+
+
 def read_part(spark, path: str, name: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("part").isin(*PART_SETS[name])).drop("part")

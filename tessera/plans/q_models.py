@@ -24,7 +24,7 @@ TOP_K = 500
 
 
 def _parts(spark, sf_dir):
-    return S.assign_parts(fx.interactions(spark, sf_dir))
+    return S.parts_table(spark, fx.interactions(spark, sf_dir), sf_dir)
 
 
 def _model(spark, sf_dir, params=ALS_PARAMS):

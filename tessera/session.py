@@ -67,6 +67,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's file system (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath))
+
+
+_TABLES: dict[tuple[str, str], str] = {}
+
+
+def materialized(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> "DataFrame":  # noqa: F821
+    """Write ``build()`` once per application to the shared folder and read it back.
+
+    Used for derived inputs that many queries read (like a stored source
+    table): later readers get a plain parquet scan with filter pushdown and
+    column pruning instead of recomputing the derivation.
+    """
+    k = (spark.sparkContext.applicationId, key)
+    path = _TABLES.get(k)
+    if path is None or not path_exists(spark, path + "/_SUCCESS"):
+        path = scratch_path(spark, key.replace("/", "_").replace(":", "_"))
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        _TABLES[k] = path
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so local helpers can test for existence."""
     return path[len("file:"):] if path.startswith("file:") else path

@@ -28,8 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (user, item) pair; repeated purchases are folded with max."""
+def interactions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """One row per (user, item) pair; repeated purchases are folded with max.
+
+    The derived table is written once per application to the shared folder
+    and read back, like the stored interactions table the pipelines expect;
+    ``materialize=False`` returns the lazy derivation instead.
+    """
+    if materialize:
+        from tessera.session import materialized
+
+        return materialized(spark, f"interactions:{sf_dir}", lambda: interactions(spark, sf_dir, False))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_linestatus", "l_returnflag"
