@@ -103,6 +103,24 @@ def evaluate_topk(model: ALSModel, truth: DataFrame, k: int = 500, for_: str = "
     return ranking_metrics(preds, truth, k, user=entity, item=target)
 
 
+def evaluate_sets(model: ALSModel, sets: dict[str, DataFrame], k: int = 500, for_: str = "users") -> DataFrame:
+    """``evaluate_topk`` for several held-out sets at once: one row per set.
+
+    The entities of all sets are scored in a single top-k call and the
+    metrics of every set come from one grouped pass, instead of one model
+    scan and one metrics job per set.
+    """
+    user, item = model.getUserCol(), model.getItemCol()
+    entity, target = (user, item) if for_ == "users" else (item, user)
+    truth = None
+    for name, rows in sets.items():
+        t = rows.select(F.lit(name).alias("split"), entity, target)
+        truth = t if truth is None else truth.unionByName(t)
+    ids = truth.select(entity).distinct()
+    preds = recommend(model, k, ids, for_)
+    return ranking_metrics(preds, truth, k, user=entity, item=target, by=["split"])
+
+
 def factor_table(model: ALSModel, which: str = "items") -> DataFrame:
     """(id, features array<float>) of the fitted model (M7)."""
     return model.itemFactors if which == "items" else model.userFactors

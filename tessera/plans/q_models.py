@@ -11,7 +11,7 @@ from tessera.plans import inputs as I
 from tessera.plans import oracle as O
 from tessera.plans.catalog import r6, register
 from tessera.plans.coldstart import cold_start
-from tessera.plans.evaluate import ranking_report as _ranking_report
+from tessera.plans.evaluate import holdout_report
 from tessera.plans.tune import tune_als
 from tessera.session import scratch_path
 from tessera.sources import fixtures as fx
@@ -88,9 +88,7 @@ def als_tune_best(spark, sf_dir):
 
 @register("ranking_report")
 def ranking_report(spark, sf_dir):
-    model, parts = _model(spark, sf_dir, EVAL_PARAMS)
-    sets = {"val": S.final_table(parts, "final_val"), "test": S.final_table(parts, "final_test")}
-    return _ranking_report(model, sets, TOP_K, metrics_path=scratch_path(spark, "metrics"))
+    return holdout_report(_parts(spark, sf_dir), EVAL_PARAMS, TOP_K, metrics_path=scratch_path(spark, "metrics"))
 
 
 @register("coldstart_rmse")

@@ -91,3 +91,13 @@ def test_group_medians_match_exact_median(spark):
     got = {r.g: (r.x, r.y) for r in group_medians(df, "g", ["x", "y"]).collect()}
     want = {r.g: (r.x, r.y) for r in df.groupBy("g").agg(F.median("x").alias("x"), F.median("y").alias("y")).collect()}
     assert got == want
+
+
+def test_grouped_metrics_equal_separate_runs(spark):
+    preds, truth = _tables(spark)
+    t2 = truth.withColumn("split", F.when(F.col("user_id") == 2, "b").otherwise("a"))
+    got = {r.split: r for r in RK.ranking_metrics(preds, t2, 3, by=["split"]).collect()}
+    for name in ["a", "b"]:
+        one = RK.ranking_metrics(preds, t2.filter(F.col("split") == name).drop("split"), 3).first()
+        for f in ["precision_at_k", "ndcg_at_k", "mean_average_precision", "recall_at_k", "n_users"]:
+            assert got[name][f] == pytest.approx(one[f], abs=1e-12)

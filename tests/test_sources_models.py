@@ -82,3 +82,17 @@ def test_recommend_shapes(spark):
     assert per_user and all(r.m == 7 and r.c == 7 for r in per_user)
     items = M.recommend(model, 5, None, "items")
     assert set(items.columns) == {"item_id", "user_id", "score", "pos"}
+
+
+def test_tuning_picks_minimum_and_ranking_metric(spark):
+    from tessera.plans.tune import tune_als
+
+    parts = S.assign_parts(fx.interactions(spark, SF001))
+    train, val = S.final_table(parts, "final_train_val"), S.final_table(parts, "final_val")
+    report, best, idx = tune_als(train, val, ranks=(2, 4), max_iters=(3,), reg_params=(0.1, 0.3), parallelism=2)
+    rows = report.collect()
+    assert len(rows) == 4 and sum(r.is_best for r in rows) == 1
+    assert min(rows, key=lambda r: (r.rmse, r.idx)).idx == idx
+    report2, _, idx2 = tune_als(train, val, ranks=(2,), max_iters=(3,), reg_params=(0.1, 0.3), parallelism=2, metric="ndcg_at_k", top_k=20)
+    rows2 = report2.collect()
+    assert max(rows2, key=lambda r: (r.ndcg_at_k, -r.idx)).idx == idx2
