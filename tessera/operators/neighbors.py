@@ -70,7 +70,14 @@ def _signatures(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_vec")).withColumn("_sig", _sig("_vec"))
 
 
-def signature_pairs(left: DataFrame, right: DataFrame, vec_col: str, radius: float, integral: bool | None = True) -> DataFrame:
+def signature_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    vec_col: str,
+    radius: float,
+    integral: bool | None = True,
+    dim: int | None = None,
+) -> DataFrame:
     """Distinct (left_sig, right_sig, distance) with distance < radius.
 
     ``left`` / ``right`` carry a vector column; only their distinct vectors
@@ -81,8 +88,9 @@ def signature_pairs(left: DataFrame, right: DataFrame, vec_col: str, radius: flo
     rv = right.select(F.col(vec_col).alias("_rv")).distinct().withColumn("_rsig", _sig("_rv"))
     if integral is None:
         integral = _is_integral(left, vec_col) and _is_integral(right, vec_col)
-    if integral:
+    if dim is None:
         dim = _dimension(left, vec_col)
+    if integral:
         offs = lattice_offsets(dim, radius)
         shifted = lv.select(
             "_lv",
@@ -97,7 +105,6 @@ def signature_pairs(left: DataFrame, right: DataFrame, vec_col: str, radius: flo
         )
         return pairs.filter(F.col("distance") < radius)
     # Real-valued: grid of width r; a neighbour lies in an adjacent cell.
-    dim = _dimension(left, vec_col)
     cell = lambda c: F.transform(c, lambda x: F.floor(x / F.lit(radius)).cast("long"))
     offs = [list(o) for o in itertools.product((-1, 0, 1), repeat=dim)]
     if len(offs) > MAX_OFFSETS:
@@ -134,6 +141,7 @@ def exact_radius_join(
     left_name: str = "left_id",
     right_name: str = "right_id",
     integral: bool | None = True,
+    dim: int | None = None,
 ) -> DataFrame:
     """All (left_id, right_id, distance) with Euclidean distance < radius.
 
@@ -141,7 +149,7 @@ def exact_radius_join(
     """
     lsig = _signatures(left, id_col, vec_col).select("_id", "_sig").distinct()
     rsig = _signatures(right, id_col, vec_col).select("_id", "_sig").distinct()
-    pairs = signature_pairs(left, right, vec_col, radius, integral)
+    pairs = signature_pairs(left, right, vec_col, radius, integral, dim)
     return (
         pairs.join(lsig.withColumnRenamed("_id", left_name).withColumnRenamed("_sig", "left_sig"), "left_sig")
         .join(rsig.withColumnRenamed("_id", right_name).withColumnRenamed("_sig", "right_sig"), "right_sig")
