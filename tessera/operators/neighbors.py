@@ -22,6 +22,7 @@ Distances are Euclidean and strictly less than the radius.
 from __future__ import annotations
 
 import itertools
+import json
 import math
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -58,7 +59,9 @@ def lattice_offsets(dim: int, radius: float) -> list[tuple[list[int], int]]:
 
 
 def _offsets_column(offsets: list[list[int]]) -> Column:
-    return F.array(*[F.array(*[F.lit(int(x)) for x in off]) for off in offsets])
+    """The offset list as one constant (a folded JSON literal), not one expression node per value."""
+    text = json.dumps([[int(x) for x in off] for off in offsets], separators=(",", ":"))
+    return F.from_json(F.lit(text), "array<array<int>>")
 
 
 def _sig(col: str | Column) -> Column:
