@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_dir
+
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
 
@@ -91,6 +93,7 @@ def group_medians(df: DataFrame, group: str, values: Sequence[str], suffix: str
         F.explode(F.array(*[F.struct(F.lit(v).alias("_col"), F.col(v).cast("double").alias("_v")) for v in values])).alias("_s"),
     ).select(group, "_s._col", "_s._v").dropna(subset=["_v"])
     keys = [group, "_col"]
+    checkpoint_dir(df.sparkSession)
     ordered = stacked.orderBy(*keys, "_v").withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).checkpoint(eager=True)
     stats = ordered.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))

@@ -55,3 +55,15 @@ def label_medians(df: DataFrame, label: str = "genre", x: str = "x", y: str = "y
 
 
 __all__ = ["factor_genre_map", "export_wide", "index_labels", "project_2d", "label_medians", "wide_factors"]
+
+
+def label_mapping(indexed: DataFrame, label: str = "genre", code: str = "label") -> DataFrame:
+    """The reverse mapping code -> label as rows."""
+    return indexed.select(code, label).distinct()
+
+
+def read_factor_export(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read a wide factor export back."""
+    if fmt == "csv":
+        return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+    return spark.read.parquet(path)

@@ -135,7 +135,9 @@ def _round_wide(df):
 
 @register("factor_genre_map", O.with_(MAP_SQL) + f"SELECT item_id, real_item_id, genre, {WIDE_SQL} FROM mapped")
 def factor_genre_map(spark, sf_dir):
-    return _round_wide(FM.export_wide(_mapped(spark, sf_dir), RANK, scratch_path(spark, "factor-export")))
+    path = scratch_path(spark, "factor-export")
+    FM.export_wide(_mapped(spark, sf_dir), RANK, path)
+    return _round_wide(FM.read_factor_export(spark, path))
 
 
 @register("factor_wide", f"SELECT CAST(vec_id AS INTEGER) AS id, {WIDE_SQL} FROM embeddings")

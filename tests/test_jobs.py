@@ -1,0 +1,39 @@
+from pyspark.sql import functions as F
+
+from tessera.operators import splits as S
+from tessera.plans import jobs
+from tessera.session import scratch_path
+from tessera.sources import fixtures as fx
+from tests.conftest import SF001
+
+
+def test_split_and_down_sample_jobs(spark):
+    src = scratch_path(spark, "job-src")
+    fx.interactions(spark, SF001).write.parquet(src)
+    out = scratch_path(spark, "job-parts")
+    jobs.train_test_split(spark, src, out)
+    back = S.read_part(spark, out, "final_train_val")
+    want = S.final_table(S.assign_parts(fx.interactions(spark, SF001)), "final_train_val")
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+    sampled = scratch_path(spark, "job-sample")
+    jobs.down_sample(spark, src, sampled, 0.5)
+    got = spark.read.parquet(sampled)
+    assert got.count() > 0
+    assert got.groupBy("user_id").count().filter(F.col("count") < 10).count() == 0
+
+
+def test_factor_map_job(spark):
+    from tessera.operators import models as M
+    from tessera.sources import readers as R
+
+    parts = S.assign_parts(fx.interactions(spark, SF001))
+    model = M.fit_als(S.final_table(parts, "final_train_val"), rank=3, max_iter=3, seed=2)
+    mpath, idp, labp, outp = (scratch_path(spark, n) for n in ["m", "idmap", "labels", "wide"])
+    M.save_model(model, mpath)
+    R.write_csv(fx.item_id_map(spark, SF001), idp)
+    labels = fx.item_id_map(spark, SF001).select("real_item_id", F.concat(F.lit("g"), (F.col("item_id") % 3).cast("string")).alias("genre"))
+    R.write_csv(labels, labp)
+    med = jobs.factor_map_job(spark, mpath, idp, labp, outp)
+    assert med.count() == 3
+    wide = spark.read.parquet(outp)
+    assert {"f0", "f1", "f2", "genre"} <= set(wide.columns)
