@@ -115,3 +115,11 @@ def test_wide_factors_drop_short_rows(spark):
     f = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0])], "id int, features array<float>")
     rows = FA.wide_factors(f, 2).collect()
     assert [(r.id, r.f0, r.f1) for r in rows] == [(1, 1.0, 2.0)]
+
+
+def test_imputed_only_for_items_with_factored_neighbours(spark):
+    cold = _vecs(spark, [(1, [0, 0]), (2, [5, 5]), (3, [9, 9])])
+    warm = _vecs(spark, [(10, [0, 1]), (11, [5, 5]), (12, [9, 9])])
+    factors = spark.createDataFrame([(10, [1.0, 3.0]), (11, [2.0, 2.0])], "id int, features array<float>")
+    got = {r.id: r.features for r in FA.impute_by_signature(cold, warm, factors, 1.5).collect()}
+    assert got == {1: [1.0, 3.0], 2: [2.0, 2.0]}

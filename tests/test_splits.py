@@ -89,3 +89,12 @@ def test_union_by_name_does_not_swap(spark):
     b = spark.createDataFrame([(200, 2, 4.0)], "item_id int, user_id int, rating double")
     rows = {(r.user_id, r.item_id) for r in a.unionByName(b).collect()}
     assert rows == {(1, 100), (2, 200)}
+
+
+def test_parts_union_is_input(spark):
+    df = _rows(spark, {u: 1 + u % 9 for u in range(1, 200)})
+    parts = S.assign_parts(df).drop("part")
+    assert parts.exceptAll(df).count() == 0 and df.exceptAll(parts).count() == 0
+    tv = S.final_table(S.assign_parts(df), "final_train_val")
+    v = S.final_table(S.assign_parts(df), "final_val")
+    assert tv.join(v, ["user_id", "item_id"]).count() == 0
