@@ -56,6 +56,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: point it to a folder shared by all executors "
+                "(checkpoints and written intermediate tables go there)"
+            )
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
