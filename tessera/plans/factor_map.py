@@ -54,7 +54,17 @@ def label_medians(df: DataFrame, label: str = "genre", x: str = "x", y: str = "y
     return group_medians(df, label, [x, y], suffix="")
 
 
-__all__ = ["factor_genre_map", "export_wide", "index_labels", "project_2d", "label_medians", "wide_factors"]
+__all__ = [
+    "factor_genre_map",
+    "export_wide",
+    "index_labels",
+    "label_mapping",
+    "project_2d",
+    "label_medians",
+    "read_factor_export",
+    "sort_by_label",
+    "wide_factors",
+]
 
 
 def label_mapping(indexed: DataFrame, label: str = "genre", code: str = "label") -> DataFrame:
@@ -67,3 +77,8 @@ def read_factor_export(spark, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
         return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
     return spark.read.parquet(path)
+
+
+def sort_by_label(df: DataFrame, label: str = "label", key: str = "item_id") -> DataFrame:
+    """Rows grouped label by label, then by id (O4): a range-partitioned global sort."""
+    return df.orderBy(label, key)

@@ -37,3 +37,12 @@ def test_factor_map_job(spark):
     assert med.count() == 3
     wide = spark.read.parquet(outp)
     assert {"f0", "f1", "f2", "genre"} <= set(wide.columns)
+
+
+def test_label_index_mapping_and_order(spark):
+    from tessera.plans import factor_map as FM
+
+    df = spark.createDataFrame([(3, "b"), (1, "a"), (2, "b"), (4, "c")], "item_id int, genre string")
+    idx = FM.index_labels(df)
+    assert {(r.genre, r.label) for r in FM.label_mapping(idx).collect()} == {("a", 0), ("b", 1), ("c", 2)}
+    assert [r.item_id for r in FM.sort_by_label(idx).collect()] == [1, 2, 3, 4]
