@@ -30,5 +30,10 @@ def assemble_vectors(df: DataFrame, columns=GENRE_COLUMNS, out: str = "features"
 
 
 def features_of_rated(features: DataFrame, rows: DataFrame, item: str = "item_id") -> DataFrame:
-    """Features of the items that appear in ``rows``, one row per item."""
-    return features.join(rows.select(item), item, "left_semi")
+    """Features of the items that appear in ``rows``, one row per item.
+
+    The rated item ids are de-duplicated first (map-side partial
+    aggregation), so a heavily rated item contributes one key per task
+    instead of all its rating rows to the semi-join.
+    """
+    return features.join(rows.select(item).distinct(), item, "left_semi")
