@@ -13,9 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.plans import oracle as O
-from tessera.sources import fixtures as fx
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -56,4 +53,4 @@ def r6(c) -> "F.Column":
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-__all__ = ["register", "queries", "oracle_sql", "O", "fx", "r6"]
+__all__ = ["register", "queries", "oracle_sql", "r6"]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tessera.operators import models as M
 from tessera.operators import splits as S
 from tessera.plans import factor_map as FM
-from tessera.plans import inputs as I
 from tessera.plans import oracle as O
 from tessera.plans.catalog import r6, register
 from tessera.plans.coldstart import cold_start

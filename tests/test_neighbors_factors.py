@@ -3,7 +3,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import factors as FA
 from tessera.operators import neighbors as N
