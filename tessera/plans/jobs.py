@@ -41,7 +41,7 @@ def tune(
     ranks=(10, 15, 20),
     max_iters=(10, 15, 20),
     reg_params=(0.1, 0.15, 0.2),
-    parallelism: int = 4,
+    parallelism: int = 8,
     metric: str = "rmse",
 ) -> DataFrame:
     """Grid search on final_train_val / final_val; report as CSV, best model saved (L3)."""

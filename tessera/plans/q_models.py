@@ -82,7 +82,7 @@ def _run_tune(spark, sf_dir):
         ranks=(10, 15, 20),
         max_iters=(10, 15, 20),
         reg_params=(0.1, 0.15, 0.2),
-        parallelism=4,
+        parallelism=8,
         report_path=scratch_path(spark, "tuning-report"),
     )
 
