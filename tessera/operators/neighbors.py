@@ -78,7 +78,7 @@ def signature_pairs(
     right: DataFrame,
     vec_col: str,
     radius: float,
-    integral: bool | None = True,
+    integral: bool | None = None,
     dim: int | None = None,
 ) -> DataFrame:
     """Distinct (left_sig, right_sig, distance) with distance < radius.
@@ -143,12 +143,15 @@ def exact_radius_join(
     vec_col: str = "features",
     left_name: str = "left_id",
     right_name: str = "right_id",
-    integral: bool | None = True,
+    integral: bool | None = None,
     dim: int | None = None,
 ) -> DataFrame:
     """All (left_id, right_id, distance) with Euclidean distance < radius.
 
     Inputs may repeat ids (one row per rating): pairs are returned once.
+    ``integral=None`` checks whether every component is a whole number and
+    picks the lattice join if so, else the grid join; pass ``True`` /
+    ``False`` when the feature type is known to skip that pass.
     """
     lsig = _signatures(left, id_col, vec_col).select("_id", "_sig").distinct()
     rsig = _signatures(right, id_col, vec_col).select("_id", "_sig").distinct()

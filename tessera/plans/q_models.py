@@ -111,7 +111,7 @@ def coldstart_rmse(spark, sf_dir):
     from tessera.operators.features import genre_array
 
     feats = genre_array(fx.item_genres(spark, sf_dir)).select("item_id", "features")
-    return cold_start(fx.interactions(spark, sf_dir), feats, radius=1.5, dim=10, **ALS_PARAMS)
+    return cold_start(fx.interactions(spark, sf_dir), feats, radius=1.5, integral=True, dim=10, **ALS_PARAMS)
 
 
 @register("model_roundtrip")

@@ -42,12 +42,12 @@ COLD_CTES = (
 
 def _exact(spark, sf_dir, radius):
     hold, train = I.holdout_and_train_vectors(spark, sf_dir)
-    return N.exact_radius_join(hold, train, radius, left_name="holdout_id", right_name="train_id", dim=len(GENRE_COLUMNS))
+    return N.exact_radius_join(hold, train, radius, left_name="holdout_id", right_name="train_id", integral=True, dim=len(GENRE_COLUMNS))
 
 
 def _imputed(spark, sf_dir):
     hold, train = I.holdout_and_train_vectors(spark, sf_dir)
-    return FA.impute_by_signature(hold, train, fx.item_factors(spark, sf_dir), R_MAIN, dim=len(GENRE_COLUMNS))
+    return FA.impute_by_signature(hold, train, fx.item_factors(spark, sf_dir), R_MAIN, integral=True, dim=len(GENRE_COLUMNS))
 
 
 def _extended(spark, sf_dir):
