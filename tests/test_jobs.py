@@ -46,3 +46,33 @@ def test_label_index_mapping_and_order(spark):
     idx = FM.index_labels(df)
     assert {(r.genre, r.label) for r in FM.label_mapping(idx).collect()} == {("a", 0), ("b", 1), ("c", 2)}
     assert [r.item_id for r in FM.sort_by_label(idx).collect()] == [1, 2, 3, 4]
+
+
+def test_tune_evaluate_and_cold_start_jobs(spark):
+    import math
+
+    from tessera.sources import readers as R
+
+    src = scratch_path(spark, "job-src2")
+    fx.interactions(spark, SF001).write.parquet(src)
+    parts = scratch_path(spark, "job-parts2")
+    jobs.train_test_split(spark, src, parts)
+
+    report_path, model_path = scratch_path(spark, "report"), scratch_path(spark, "best")
+    report = jobs.tune(spark, parts, report_path, model_path, ranks=(2, 3), max_iters=(2,), reg_params=(0.1,), parallelism=2)
+    assert report.count() == 2
+    assert spark.read.option("header", "true").csv(report_path).count() == 2
+
+    metrics_path = scratch_path(spark, "metrics")
+    rows = jobs.evaluate(spark, parts, metrics_path, dict(rank=3, max_iter=3, seed=1), k=20).collect()
+    assert {r.split for r in rows} == {"val", "test"}
+    assert spark.read.parquet(metrics_path).count() == 2
+
+    saved = jobs.evaluate_saved_model(spark, model_path, src, k=20).first()
+    assert 0.0 <= saved.precision_at_k <= 1.0
+
+    genres_path, idmap_path = scratch_path(spark, "genres"), scratch_path(spark, "idmap")
+    fx.genre_documents(fx.item_genres(spark, SF001)).write.json(genres_path)
+    R.write_csv(fx.item_id_map(spark, SF001), idmap_path)
+    r = jobs.cold_start_job(spark, src, genres_path, idmap_path, radius=1.5, rank=3, max_iter=3, seed=1).first()
+    assert math.isfinite(r.rmse_coldstart) and math.isfinite(r.rmse_full) and r.n_pseudo > 0
