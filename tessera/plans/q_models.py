@@ -18,7 +18,7 @@ from tessera.sources import readers as R
 
 RANK = 64  # width of the embeddings used as factors in the test data
 ALS_PARAMS = dict(rank=10, max_iter=10, reg_param=0.1, seed=1)
-EVAL_PARAMS = dict(rank=10, max_iter=20, reg_param=0.17, seed=1)
+EVAL_PARAMS = dict(rank=10, max_iter=20, reg_param=0.17, seed=1, nonnegative=False)  # plain ALS, as in the evaluation run (R10)
 TOP_K = 500
 
 
