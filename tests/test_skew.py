@@ -23,9 +23,18 @@ def test_piecewise_rank_spreads_hot_user(spark):
 
 
 def test_top_k_first_phase_spreads_hot_user(spark):
+    from tessera.operators.grouped import top_k_per_group
+
     df = _hot(spark).withColumn("score", (F.col("item_id") * 7919 % 1000).cast("double"))
-    salted = df.withColumn("_salt", F.pmod(F.hash("item_id"), F.lit(32)))
-    w = Window.partitionBy("user_id", "_salt").orderBy(F.desc("score"), "item_id")
-    phase1 = salted.withColumn("_r", F.row_number().over(w))
-    per_task = phase1.filter("user_id = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    top = top_k_per_group(df, ["user_id"], [F.desc("score"), F.asc("item_id")], 10, "item_id", salts=16)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in plan and "_salt" in plan
+    # phase 1 runs per (user, salt): the hot user's rows land in many tasks
+    salted = df.withColumn("_salt", F.pmod(F.hash("item_id"), F.lit(16)))
+    per_task = (
+        salted.repartition("user_id", "_salt").filter("user_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    )
     assert len(per_task) >= 4
+    w = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
+    want = df.withColumn("rank", F.row_number().over(w).cast("long")).filter("rank <= 10")
+    assert top.exceptAll(want).count() == 0 and want.exceptAll(top).count() == 0
