@@ -32,7 +32,7 @@ def test_top_k_first_phase_spreads_hot_user(spark):
     # phase 1 runs per (user, salt): the hot user's rows land in many tasks
     salted = df.withColumn("_salt", F.pmod(F.hash("item_id"), F.lit(16)))
     per_task = (
-        salted.repartition("user_id", "_salt").filter("user_id = 1").groupBy(F.spark_partition_id()).count().collect()
+        salted.repartition(16, "user_id", "_salt").filter("user_id = 1").groupBy(F.spark_partition_id()).count().collect()
     )
     assert len(per_task) >= 4
     w = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
