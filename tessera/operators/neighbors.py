@@ -37,6 +37,8 @@ MAX_OFFSETS = 200_000
 
 def lattice_offsets(dim: int, radius: float) -> list[tuple[list[int], int]]:
     """All integer vectors d in Z^dim with |d|^2 < radius^2, with |d|^2."""
+    if radius <= 0 or dim <= 0:
+        raise ValueError(f"radius and dim must be positive, got radius={radius}, dim={dim}")
     limit = radius * radius
     top = int(math.floor(radius))
     out: list[tuple[list[int], int]] = []

@@ -39,6 +39,8 @@ def sample_users(
     The sample predicate is evaluated per row before any shuffle, so only
     sampled users' rows are counted and joined.
     """
+    if not 0.0 < fraction <= 1.0:
+        raise ValueError(f"fraction must be in (0, 1], got {fraction}")
     cut = int(round(fraction * BUCKETS))
     sampled = df.filter(hash_bucket(seed, user) < cut)
     keep = active_users(sampled, min_interactions, user).select(user)
@@ -47,6 +49,8 @@ def sample_users(
 
 def user_split_col(user: str = "user_id", fractions=(0.6, 0.2, 0.2), seed: str = SEED_SPLIT):
     """'train' / 'val' / 'test' from the user's hash bucket."""
+    if len(fractions) != 3 or min(fractions) < 0 or abs(sum(fractions) - 1.0) > 1e-9:
+        raise ValueError(f"fractions must be three non-negative numbers summing to 1, got {fractions}")
     b = hash_bucket(seed, user)
     c1 = int(round(fractions[0] * BUCKETS))
     c2 = int(round((fractions[0] + fractions[1]) * BUCKETS))

@@ -44,3 +44,20 @@ def test_item_side_evaluation(spark):
     assert m.n_users > 0 and 0.0 <= m.precision_at_k <= 1.0
     recs = M.recommend(model, 10, val.select("item_id").distinct(), "items")
     assert recs.agg(F.max("pos")).first()[0] == 10
+
+
+def test_input_validation(spark):
+    from tessera.operators import neighbors as N
+    from tessera.operators import ranking as RK
+    from tessera.operators import splits as S
+
+    df = spark.createDataFrame([(1, 2)], "user_id int, item_id int")
+    with pytest.raises(ValueError):
+        S.sample_users(df, 0.0)
+    with pytest.raises(ValueError):
+        S.user_split_col(fractions=(0.5, 0.2, 0.2))
+    with pytest.raises(ValueError):
+        N.lattice_offsets(3, 0)
+    preds = spark.createDataFrame([(1, 2, 1)], "user_id int, item_id int, pos int")
+    with pytest.raises(ValueError):
+        RK.ranking_metrics(preds, df, 0)
