@@ -76,3 +76,15 @@ def test_tune_evaluate_and_cold_start_jobs(spark):
     R.write_csv(fx.item_id_map(spark, SF001), idmap_path)
     r = jobs.cold_start_job(spark, src, genres_path, idmap_path, radius=1.5, rank=3, max_iter=3, seed=1).first()
     assert math.isfinite(r.rmse_coldstart) and math.isfinite(r.rmse_full) and r.n_pseudo > 0
+
+
+def test_factor_map_keeps_label_subset(spark):
+    from tessera.plans import factor_map as FM
+
+    factors = fx.item_factors(spark, SF001)
+    labels = fx.item_labels(spark, SF001)
+    mapped = FM.factor_genre_map(factors, fx.item_id_map(spark, SF001), labels, keep_labels=["g1", "g2"])
+    got = {r.genre for r in mapped.select("genre").distinct().collect()}
+    assert got == {"g1", "g2"}
+    full = FM.factor_genre_map(factors, fx.item_id_map(spark, SF001), labels)
+    assert mapped.count() == full.filter(F.col("genre").isin("g1", "g2")).count()

@@ -38,3 +38,21 @@ def test_top_k_first_phase_spreads_hot_user(spark):
     w = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
     want = df.withColumn("rank", F.row_number().over(w).cast("long")).filter("rank <= 10")
     assert top.exceptAll(want).count() == 0 and want.exceptAll(top).count() == 0
+
+
+def test_median_sort_spreads_hot_label(spark):
+    data = [("hot", float(i % 997)) for i in range(6000)] + [(f"g{j}", float(j)) for j in range(50)]
+    df = spark.createDataFrame(data, "g string, x double").repartition(8)
+    stacked = df.select("g", F.lit("x").alias("_col"), F.col("x").alias("_v"))
+    # Tiny test data would be coalesced into one partition by AQE; at scale
+    # coalescing stops at the advisory partition size, so check the range
+    # partitioner itself.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        ordered = stacked.orderBy("g", "_col", "_v")
+        per_task = ordered.filter("g = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(per_task) >= 3
