@@ -69,9 +69,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path for a written intermediate table."""
+    """A fresh, unique path for a written intermediate table.
+
+    Tables of one application share the folder
+    ``<checkpoint dir>/tables/<application id>/``.
+    """
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    return f"{base}/tables/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
