@@ -1 +1,11 @@
-"""Operators for training-data pipelines, each a DataFrame-in, DataFrame-out function."""
+"""Operators for training-data pipelines, each a DataFrame-in, DataFrame-out function.
+
+Functions that run inside tasks are pickled by value, so executors need this
+package neither installed nor on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, quality, simhash
+from tessera.llm import blob_secrets, html_text, mixing, pii, quality, simhash
 from tessera.llm.common import table
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blob_secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
     return mixing.mix(items).select("doc_id", "size", "source_size", "target", "taken")
@@ -22,6 +34,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_pii": op5_pii,
+    "op7_secrets": op7_secrets,
+    "op8_html": op8_html,
     "op6_mixing": op6_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
