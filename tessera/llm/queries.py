@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import blob_secrets, html_text, mixing, packing, pii, quality, simhash
+from tessera.llm import ann, blob_secrets, exact_topk, html_text, licenses, mixing, packing, pii, quality, simhash
 from tessera.llm.common import table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.NOTICES)
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
@@ -18,6 +22,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -44,7 +56,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
+    "op3_ann": op3_ann,
+    "op4_exact_topk": op4_exact_topk,
     "op5_pii": op5_pii,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
@@ -85,4 +100,17 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM p
 """
 
-ORACLE = {"op6_mixing": MIXING_SQL}
+#: The exact integer search in plain SQL.
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+ORACLE = {"op1_licenses": licenses.oracle(licenses.NOTICES), "op4_exact_topk": TOPK_SQL, "op6_mixing": MIXING_SQL}
