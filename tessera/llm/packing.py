@@ -37,9 +37,9 @@ END_ID = 1
 #: Tail tokens of one shard: bounds the index, and the quadratic work of looking up every tail.
 SHARD_TOKENS = 1 << 18
 #: Remembered words of a tokenizer cache generation; two generations live at a time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 #: Text that is encoded at a time, in characters.
-RUN_BYTES = 1 << 22
+RUN_BYTES = 1 << 23
 K1, B = 1.2, 0.75
 
 
@@ -77,8 +77,8 @@ class WordEncoder:
         first = np.cumsum(size) - size
         length = size[at]
         stop = np.cumsum(length)
-        from_ = np.repeat(first[at] - (stop - length), length)
-        from_ += np.arange(len(from_))
+        from_ = np.repeat((first[at] - (stop - length)).astype(np.int32), length)
+        from_ += np.arange(len(from_), dtype=np.int32)
         bounds = np.concatenate(([0], stop))[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return flat[from_], bounds
 
@@ -156,36 +156,33 @@ def id_type(tokenizer) -> str:
 
 def runs(texts: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[pa.Array, list[int]]]:
     """Slices of at most about ``most`` bytes, with the text number of every entry; longer texts are cut at spaces."""
-    held: list[str] = []
-    owner: list[int] = []
-    size = 0
-    for k, text in enumerate(texts.to_pylist()):
-        parts = [text]
-        if len(text) > most:
-            parts, at = [], 0
+    size = pc.binary_length(texts).to_pylist()
+    first = held = 0
+    for k, n in enumerate(size):
+        if k > first and (held + n > most or n > most):
+            yield texts.slice(first, k - first), list(range(first, k))
+            first, held = k, 0
+        held += n
+        if n > most:
+            text, at = texts[k].as_py(), 0
             while at < len(text):
                 cut = text.find(" ", at + most)
-                parts.append(text[at:cut] if cut >= 0 else text[at:])
+                yield pa.array([text[at:cut] if cut >= 0 else text[at:]], pa.string()), [k]
                 at = cut + 1 if cut >= 0 else len(text)
-        for part in parts:
-            if held and size + len(part) > most:
-                yield pa.array(held, pa.string()), owner
-                held, owner, size = [], [], 0
-            held.append(part)
-            owner.append(k)
-            size += len(part)
-    if held:
-        yield pa.array(held, pa.string()), owner
+            first, held = k + 1, 0
+    if first < len(size):
+        yield texts.slice(first), list(range(first, len(size)))
 
 
 def token_blobs(encoder: WordEncoder, texts: pa.Array) -> list[bytes]:
     """Ids of every text with the end id, as bytes."""
+    end = np.array([END_ID], encoder.kind).tobytes()
     out: list[list[bytes]] = [[] for _ in range(len(texts))]
     for part, owner in runs(texts):
         ids, bounds = encoder.encode(part)
-        for k, a, b in zip(owner, bounds[:-1].tolist(), bounds[1:].tolist()):
-            out[k].append(ids[a:b].tobytes())
-    end = np.array([END_ID], encoder.kind).tobytes()
+        raw, bounds = memoryview(ids.tobytes()), (bounds * ids.itemsize).tolist()
+        for k, a, b in zip(owner, bounds[:-1], bounds[1:]):
+            out[k].append(raw[a:b])
     return [b"".join((*x, end)) for x in out]
 
 
@@ -218,9 +215,10 @@ def document_frequencies(tokens: DataFrame, kind: str, size: int) -> np.ndarray:
         seen = np.zeros(size, bool)
         for batch in batches:
             for ids in batch["ids"]:
-                seen[:] = False
                 seen[np.frombuffer(ids, kind)] = True
-                df += seen
+                own = np.flatnonzero(seen)
+                df[own] += 1
+                seen[own] = False
         at = np.flatnonzero(df)
         yield pd.DataFrame({"id": at, "df": df[at]})
 
@@ -235,15 +233,20 @@ class Index:
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
         n = len(tails)
-        doc = np.repeat(np.arange(n), [len(t) for t in tails])
-        key, tf = np.unique(np.concatenate(tails).astype(np.int64) * n + doc, return_counts=True)
-        term, self.doc = key // n, key % n
-        norm = K1 * (1 - B + B * np.array([len(t) for t in tails]) / mean)
+        length = np.array([len(t) for t in tails])
+        wide = np.uint32 if len(idf) * n < 1 << 32 else np.uint64  # short keys sort faster
+        key = np.concatenate(tails).astype(wide) * wide(n) + np.repeat(np.arange(n, dtype=wide), length)
+        key.sort()
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        tf = np.diff(first, append=len(key))
+        term, doc = np.divmod(key[first], wide(n))
+        self.doc = doc.astype(np.int64)
+        norm = K1 * (1 - B + B * length / mean)
         self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
         first = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
         self.start, self.stop = first, np.concatenate((first[1:], [len(term)]))
         slot = np.repeat(np.arange(len(first)), self.stop - first)
-        order = np.argsort(self.doc, kind="stable")
+        order = np.argsort(doc.astype(np.uint16) if n <= 1 << 16 else doc, kind="stable")
         bounds = np.searchsorted(self.doc[order], np.arange(n + 1))
         self.terms = [slot[order[a:b]] for a, b in zip(bounds[:-1], bounds[1:])]
         self.n = n
