@@ -23,6 +23,8 @@ from tessera.llm.common import WORD, free_name, text_or_empty, written
 
 #: Weights by position of the source in code point order, repeating.
 WEIGHTS = (5, 2, 1)
+#: Copies of one row that a task expands at a time.
+COPIES = 10_000
 #: Rows that one key range should hold.
 RANGE_ROWS = 50_000
 
@@ -59,6 +61,38 @@ def source_targets(sizes: DataFrame, share: float, max_epochs: float, weights=WE
     return found.select("source", "source_size", target.alias("target"))
 
 
+def _place(groups: DataFrame, share: float, max_epochs: int, weights, seed: int, range_rows: int) -> DataFrame:
+    """(source, id, size, n) groups of equal rows -> with source_size, target, epochs and ``reach``:
+    the words of its source's remaining budget that begin with this group (below 0: none)."""
+    digits = max(0, math.ceil(math.log(max(groups.count(), 1) / range_rows, 16)))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    keyed = groups.withColumn("key", key).withColumn("range", F.substring("key", 1, digits) if digits else F.lit(""))
+    words = F.col("size") * F.col("n")
+    targets = source_targets(groups.groupBy("source").agg(F.sum(words).alias("source_size")), share, max_epochs, weights)
+    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    in_range = keyed.groupBy("source", "range").agg(F.sum(words).alias("range_size"))
+    offsets = in_range.select("source", "range", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("offset"))
+    plan = offsets.alias("o").join(targets.alias("t"), F.expr("o.source <=> t.source")).select("o.source", "range", "offset", "source_size", "target")
+    inside = Window.partitionBy("source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = keyed.withColumn("before", F.coalesce(F.sum(words).over(inside), F.lit(0)))
+    joined = placed.alias("g").join(plan.alias("p"), F.expr("g.source <=> p.source AND g.range = p.range"))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    reach = F.floor("target").cast("long") - epochs * F.col("source_size") - F.col("offset") - F.col("before")
+    return joined.select("g.*", "source_size", "target", epochs.alias("epochs"), reach.alias("reach"))
+
+
+def _numbered(groups: DataFrame, first: str, count: str, out: str) -> DataFrame:
+    """One row for every number from ``first`` to before ``count``, in chunks: a group with very many
+    rows is dealt to many tasks before it is expanded."""
+    chunk = F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / COPIES).cast("long"))
+    rows = groups.filter(F.col(count) > F.col(first)).withColumn("chunk__", F.explode(chunk))
+    if groups.filter(F.col(count) > COPIES).limit(1).count():
+        rows = rows.repartition(F.col("key"), F.col("chunk__"))
+    low = F.greatest(F.col(first), F.col("chunk__") * COPIES)
+    high = F.least(F.col(count), (F.col("chunk__") + 1) * COPIES) - 1
+    return rows.filter(low <= high).withColumn(out, F.explode(F.sequence(low, high))).drop("chunk__")
+
+
 def mix(
     items: DataFrame,
     share: float = 1.5,
@@ -79,55 +113,49 @@ def mix(
     expanded at the end.  Empty input gives no rows.  Columns besides the three
     are ignored.
     """
-    rows = items.select(F.col("doc_id"), F.col("source"), F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"))
-    rows = written(rows, "mix-rows")
-    digits = max(0, math.ceil(math.log(max(rows.count(), 1) / range_rows, 16))) if range_rows else 0
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    groups = rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n"))
-    groups = groups.withColumn("key", key).withColumn("range", F.substring("key", 1, digits) if digits else F.lit(""))
-    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, max_epochs, weights)
-
-    in_range = groups.groupBy("source", "range").agg(F.sum(F.col("size") * F.col("n")).alias("range_size"))
-    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = in_range.select("source", "range", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("offset"))
-    plan = offsets.alias("o").join(targets.alias("t"), F.expr("o.source <=> t.source")).select("o.source", "range", "offset", "source_size", "target")
-
-    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = groups.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0)))
-    joined = placed.alias("g").join(plan.alias("p"), F.expr("g.source <=> p.source AND g.range = p.range"))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    budget = F.floor("target").cast("long") - F.col("epochs") * F.col("source_size")
-    copies = (
-        joined.withColumn("epochs", epochs)
-        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-        .withColumn("left", budget - F.col("offset") - F.col("before") - F.col("copy") * F.col("size"))
-    )
-    taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("left"), F.col("size")))
-    return copies.select("doc_id", F.col("g.source").alias("source"), "size", "source_size", "target", taken.cast("long").alias("taken"))
+    rows = items.select(F.col("doc_id").alias("id"), F.col("source"), F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"))
+    groups = written(rows.groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("n")), "mix-groups")
+    placed = _place(groups, share, max_epochs, weights, seed, range_rows).withColumn("none", F.lit(0).cast("long"))
+    copies = _numbered(placed, "none", "n", "copy")
+    left = F.col("reach") - F.col("copy") * F.col("size")
+    taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(left, F.col("size")))
+    return copies.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
+def mixed_documents(docs: DataFrame, share: float = 1.5, max_epochs: int = 2, weights=WEIGHTS, seed: int = 7, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Documents repeated as the mix takes them, with the columns of ``docs``.
 
     A document taken ``e`` times whole stands in the result ``e`` times.  The one
     document per source that the budget cuts is kept up to that word (its words
     joined by single spaces) and its ``n_chars`` is set anew.  Documents without
-    words hold no budget and are left out.
+    words hold no budget and are left out.  Rows equal in every column are one group,
+    so the same documents give the same result whatever order they are stored in.
     """
     cols = docs.columns
-    rid = free_name(cols, "row_no")
-    size = free_name([*cols, rid], "n_words")
-    whole = written(docs.withColumn(rid, F.monotonically_increasing_id()).withColumn(size, word_count()), "mix-docs", "zstd")
-    takes = mix(whole.select(F.col(rid).alias("doc_id"), "source", F.col(size).alias("size")), **kw)
-    takes = takes.filter("taken > 0").select(F.col("doc_id").alias(rid), F.col("taken").alias("taken__"))
-    rows = whole.join(takes, rid)
-    full = F.floor(F.col("taken__") / F.col(size)).cast("int")
-    part = (F.col("taken__") % F.col(size)).cast("int")
-    lengths = F.concat(F.array_repeat(F.lit(-1), full), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    rows = rows.withColumn("cut__", F.explode(lengths))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)), F.lit(1), F.greatest(F.col("cut__"), F.lit(1))), " ")
-    rows = rows.withColumn("text", F.when(F.col("cut__") > 0, cut).otherwise(F.col("text")))
-    if "n_chars" in cols:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("cut__") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*[F.col(f"`{c}`") for c in cols])
+    taken: list[str] = list(cols)
+    rid, size, ident = [taken.append(n) or n for n in (free_name(taken, "row_no"), free_name(taken, "n_words"), free_name(taken, "row_hash"))]
+    every = [F.col(f"`{c}`") for c in cols]
+    hashed = F.concat(F.hex(F.xxhash64(*every)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *every)))
+    whole = written(docs.withColumns({rid: F.monotonically_increasing_id(), size: word_count(), ident: hashed}), "mix-docs", "zstd")
+    groups = whole.select("source", F.col(ident).alias("id"), F.col(size).alias("size"), F.col(rid).alias("rid")).filter("size > 0")
+    groups = written(groups.groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid")), "mix-groups")
+    placed = _place(groups, share, max_epochs, weights, seed, range_rows)
+    reach = F.greatest(F.lit(0), F.least(F.col("reach"), F.col("size") * F.col("n")))
+    extra = F.floor(reach / F.col("size")).cast("long")
+    part = (reach % F.col("size")).cast("int")
+    takes = placed.select(F.col("rid").alias("rid__"), F.col("key"), (F.col("epochs") * F.col("n") + extra).alias("full__"), part.alias("part__"))
+    takes = takes.filter("full__ > 0 OR part__ > 0").withColumn("rows__", F.col("full__") + (F.col("part__") > 0).cast("long"))
+    # Names of the plan first, so that no column of docs can clash with them.
+    body = whole.select(F.col(rid).alias("rid__"), F.struct(*every).alias("doc__"))
+    rows = _numbered(takes.join(body, "rid__").withColumn("none__", F.lit(0).cast("long")), "none__", "rows__", "copy__")
+    text = F.col("doc__.text")
+    cut = F.when(F.col("copy__") == F.col("full__"), F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.greatest("part__", F.lit(1))), " "))
+    out = []
+    for c in cols:
+        value = F.col("doc__").getField(c)
+        if c == "text":
+            value = F.coalesce(cut, text)
+        elif c == "n_chars":
+            value = F.when(F.col("copy__") == F.col("full__"), F.length(cut).cast(docs.schema[c].dataType)).otherwise(value)
+        out.append(value.alias(c))
+    return rows.select(*out)
