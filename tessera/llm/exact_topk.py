@@ -69,7 +69,7 @@ def search_block(q, qid, x, xid, qd, xd, best, best_id, k: int, count=None) -> t
     qq, xx = (q.astype(float) ** 2).sum(1), (x.astype(float) ** 2).sum(1)
     bound = upper_bounds(qd, xd, qq, xx)
     bound[qid[:, None] == xid[None]] = -np.inf  # a query is no candidate of its own
-    small = max(1.0, np.abs(q).max(initial=0)) * max(1.0, np.abs(x).max(initial=0)) * q.shape[1] < EXACT
+    small = max(1.0, float(np.abs(q).max(initial=0))) * max(1.0, float(np.abs(x).max(initial=0))) * q.shape[1] < EXACT
     fq, fx = (q.astype(float), x.astype(float)) if small else (q, x)
     head = min(FIRST, len(x))
     at = np.argpartition(-bound, head - 1, axis=1)[:, :head] if head < len(x) else np.broadcast_to(np.arange(len(x)), bound.shape)
@@ -138,16 +138,15 @@ def exact_top_k(rows: DataFrame, k: int = K, every: int = 20, scale: float = 64.
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     chosen: dict[int, np.ndarray] = {}
     for d in {len(r["x"]) for r in sample}:
-        chosen[d] = choose_pivots(np.array([r["x"] for r in sample if len(r["x"]) == d], float).reshape(-1, d), pivots)
+        chosen[d] = choose_pivots(np.array([r["x"] for r in sample if len(r["x"]) == d], float), pivots)
     table = "dim int, block int, ids binary, vectors binary, pivots binary"
 
     def with_pivots(batches):
         for batch in batches:
             out = []
-            for dim, raw in zip(batch["dim"], batch["vectors"]):
-                x = np.frombuffer(raw, np.int64).reshape(-1, dim).astype(float) if dim else np.zeros((0, 0))
-                p = chosen.get(dim, np.zeros((1, dim)))
-                out.append(pivot_distances(x, p).tobytes())
+            for dim, ids, raw in zip(batch["dim"], batch["ids"], batch["vectors"]):
+                x = np.frombuffer(raw, np.int64).reshape(len(ids) // 8, dim).astype(float)
+                out.append(pivot_distances(x, chosen.get(dim, np.zeros((1, dim)))).tobytes())
             yield batch.assign(pivots=out)[["dim", "block", "ids", "vectors", "pivots"]]
 
     def indexed(part: DataFrame, size: int, name: str) -> DataFrame:
@@ -158,7 +157,7 @@ def exact_top_k(rows: DataFrame, k: int = K, every: int = 20, scale: float = 64.
     q, c = met(queries, candidates, GROUP)
 
     def matrix(raw: bytes, n: int, kind) -> np.ndarray:
-        return np.frombuffer(raw, kind).reshape(n, -1) if len(raw) else np.zeros((n, 0), kind)
+        return np.frombuffer(raw, kind).reshape(n, len(raw) // (8 * n))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []

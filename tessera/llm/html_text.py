@@ -25,7 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(>|\Z)|[^<]+|<""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)(>|\Z)|[^<]+|<""", re.S)
+#: For the rest of a page from a tag on whose quotes never close: any ">" ends a tag.
+_LOOSE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(>|\Z)|[^<]+|<""", re.S)
+_TAG = re.compile(r"</?[A-Za-z]")
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
@@ -77,9 +80,12 @@ def _is_noise(tag: str, attrs: str) -> bool:
 def parse(page: str) -> Node:
     """The element tree of a page.  Never fails: whatever is not markup is text."""
     root = Node("#root", None, False)
-    here, at, n = root, 0, len(page)
+    here, at, n, token = root, 0, len(page), _TOKEN
     while at < n:
-        m = _TOKEN.match(page, at)
+        m = token.match(page, at)
+        if m[0] == "<" and token is _TOKEN and _TAG.match(page, at):
+            token = _LOOSE
+            continue
         at = m.end()
         tag = m[2]
         if tag is None:
