@@ -6,7 +6,7 @@ tokens and has a BM25 inverted index over them, with document frequencies and me
 length of the whole corpus.  The longest unused tail seeds a window; its words are
 looked up in the index and the unused neighbours fill the window in score order.  The
 neighbour that no longer fits is cut, and what is left of it stays in the shard.  So every
-window is full but the last of each shard.
+window is full but the last of each shard, which becomes sequences at powers of two.
 
 Shards are cut by a hash of the row, so copies of one text, or one huge source, are
 spread evenly.  Only tails and checksums are shuffled.
@@ -17,8 +17,6 @@ from __future__ import annotations
 import json
 import os
 import struct
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +26,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from tessera.llm.common import text_or_empty, written
 
@@ -141,15 +138,6 @@ _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in set(_VISIBLE))}
 
 
-def worker_encoder(model: str) -> WordEncoder:
-    """One encoder a Python worker: later tasks of the worker find the words of earlier ones."""
-    kept = sys.modules.setdefault("tessera_worker_state", types.ModuleType("tessera_worker_state")).__dict__
-    name = f"encoder_{zlib.crc32(model.encode())}"
-    if name not in kept:
-        kept[name] = WordEncoder(model)
-    return kept[name]
-
-
 def id_type(tokenizer) -> str:
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
@@ -186,8 +174,20 @@ def token_blobs(encoder: WordEncoder, texts: pa.Array) -> list[bytes]:
     return [b"".join((*x, end)) for x in out]
 
 
-def token_table(docs: DataFrame, tokenizer_path: str) -> tuple[DataFrame, str, int]:
-    """(row, doc_id, n, ids binary) of every document with the end id, the id type, the vocabulary size."""
+def checksum(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+TOKENS = "row long, doc_id string, n long, crc array<long>, head binary, tail binary"
+
+
+def token_table(docs: DataFrame, tokenizer_path: str, window: int, keep_ids: bool) -> tuple[DataFrame, str, int]:
+    """Every text tokenized once -> (TOKENS rows, id type, vocabulary size).
+
+    A document keeps the checksums of its whole windows (their ids too, as ``head``, with
+    ``keep_ids``) and its tail.  Every task adds one row with n = -1, whose ``tail``
+    holds in how many of the task's documents each id stands.
+    """
     from tokenizers import Tokenizer
 
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -195,35 +195,43 @@ def token_table(docs: DataFrame, tokenizer_path: str) -> tuple[DataFrame, str, i
     tokenizer = Tokenizer.from_str(text)
     size, kind = tokenizer.get_vocab_size(), id_type(tokenizer)
     model = docs.sparkSession.sparkContext.broadcast(text)  # one vocabulary file
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.string()), ("n", pa.int64()), ("crc", pa.list_(pa.int64())), ("head", pa.binary()), ("tail", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(model.value)
+        encoder, df, seen = WordEncoder(model.value), np.zeros(size, np.int64), np.zeros(size, bool)
         for batch in batches:
-            blobs = token_blobs(encoder, batch.column("text"))
-            n = pa.array([len(x) // np.dtype(kind).itemsize for x in blobs], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), n, pa.array(blobs, pa.binary())], ["row", "doc_id", "n", "ids"])
+            n, crc, head, tail = [], [], [], []
+            for blob in token_blobs(encoder, batch.column("text")):
+                ids = np.frombuffer(blob, kind)
+                seen[ids] = True
+                own = np.flatnonzero(seen)
+                df[own] += 1
+                seen[own] = False
+                cut = len(ids) - len(ids) % window
+                n.append(len(ids))
+                crc.append([checksum(ids[a : a + window]) for a in range(0, cut, window)])
+                head.append(blob[: cut * ids.itemsize] if keep_ids else b"")
+                tail.append(blob[cut * ids.itemsize :])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *(pa.array(x, t) for x, t in zip((n, crc, head, tail), schema.types[2:]))], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"row": -1, "n": -1, "tail": df.tobytes()}], schema=schema)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    return written(rows.mapInArrow(encode, "row long, doc_id string, n long, ids binary"), "pack-tokens", "zstd"), kind, size
+    return written(rows.mapInArrow(encode, TOKENS), "pack-tokens", "zstd"), kind, size
 
 
-def document_frequencies(tokens: DataFrame, kind: str, size: int) -> np.ndarray:
+def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     """In how many documents each id stands: one number per vocabulary entry."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df = np.zeros(size, np.int64)
-        seen = np.zeros(size, bool)
         for batch in batches:
-            for ids in batch["ids"]:
-                seen[np.frombuffer(ids, kind)] = True
-                own = np.flatnonzero(seen)
-                df[own] += 1
-                seen[own] = False
+            for part in batch["tail"]:
+                df += np.frombuffer(part, np.int64)
         at = np.flatnonzero(df)
         yield pd.DataFrame({"id": at, "df": df[at]})
 
     out = np.zeros(size, np.int64)
-    for r in tokens.select("ids").mapInPandas(count, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).collect():
+    for r in tokens.filter("n = -1").select("tail").mapInPandas(count, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).collect():
         out[r["id"]] = r["df"]
     return out
 
@@ -285,6 +293,27 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window:
     return out
 
 
+def even_ends(windows: list[list[tuple[int, int, int]]], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
+    """Full windows as they are; a short one as sequences of falling powers of two, which need no padding."""
+    for pieces in windows:
+        left = sum(n for _, _, n in pieces)
+        if left >= window:
+            yield pieces
+            continue
+        pieces = list(pieces)[::-1]
+        while left:
+            room = 1 << left.bit_length() - 1
+            left -= room
+            out = []
+            while room:
+                k, at, n = pieces.pop()
+                out.append((k, at, min(n, room)))
+                if n > room:
+                    pieces.append((k, at + room, n - room))
+                room -= out[-1][2]
+            yield out
+
+
 PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -295,26 +324,15 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
     A null text counts as empty; an empty text is its end id alone.  Null and repeated
     doc_ids are packed like any others.  Empty input gives no pieces.
     """
-    tokens, kind, size = token_table(docs, tokenizer_path)
-    stats = tokens.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"), F.sum(F.col("n") % window).alias("tails")).first()
+    tokens, kind, size = token_table(docs, tokenizer_path, window, keep_ids)
+    rows = tokens.filter("n >= 0")
+    stats = rows.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("n") % window).alias("tails")).first()
     n_docs, shards = stats["docs"], max(1, -(-(stats["tails"] or 0) // shard_tokens))
-    df = document_frequencies(tokens, kind, size)
+    df = document_frequencies(tokens, size)
     idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
     mean = max(1.0, (stats["tails"] or 0) / max(1, n_docs))
     shared = docs.sparkSession.sparkContext.broadcast(idf)  # one number per vocabulary entry
 
-    def checksum(ids: np.ndarray) -> int:
-        return zlib.crc32(ids.astype("<u4").tobytes())
-
-    @pandas_udf("struct<crc:array<long>,head:binary,tail:binary>")
-    def split(blobs: pd.Series) -> pd.DataFrame:
-        rows = []
-        for blob in blobs:
-            ids = np.frombuffer(blob, kind)
-            cut = len(ids) - len(ids) % window
-            rows.append(([checksum(ids[a : a + window]) for a in range(0, cut, window)], ids[:cut].tobytes() if keep_ids else b"", ids[cut:].tobytes()))
-        return pd.DataFrame(rows, columns=["crc", "head", "tail"])
-
     def fill(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values("row", ignore_index=True)
         base, seq, out = int(shard["shard"].iloc[0]) << 32, 0, []
@@ -332,7 +350,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
                 seq += 1
         held = [k for k, t in enumerate(tails) if len(t)]
         if held:
-            for pieces in fill_windows([tails[k] for k in held], shared.value, mean, window):
+            for pieces in even_ends(fill_windows([tails[k] for k in held], shared.value, mean, window), window):
                 offset = 0
                 for k, at, length in pieces:
                     ids = tails[held[k]][at : at + length]
@@ -341,7 +359,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
                 seq += 1
         return pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
 
-    dealt = tokens.select("row", "doc_id", "n", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), split("ids").alias("s")).select("row", "doc_id", "n", "shard", "s.*")
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     pieces = dealt.groupBy("shard").applyInPandas(fill, PIECES)
     back = pieces.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return back if keep_ids else back.drop("ids")
