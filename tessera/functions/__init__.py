@@ -1,6 +1 @@
 """Column expressions: JVM-side, codegen-friendly building blocks."""
-
-from tessera.functions.hashing import hash_bucket
-from tessera.functions.arrays import dot, squared_distance, euclidean_distance
-
-__all__ = ["hash_bucket", "dot", "squared_distance", "euclidean_distance"]

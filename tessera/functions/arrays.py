@@ -23,7 +23,3 @@ def squared_distance(a: str | Column, b: str | Column) -> Column:
 
 def euclidean_distance(a: str | Column, b: str | Column) -> Column:
     return F.sqrt(squared_distance(a, b))
-
-
-def add_arrays(a: str | Column, b: str | Column) -> Column:
-    return F.zip_with(_c(a), _c(b), lambda x, y: x + y)

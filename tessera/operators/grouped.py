@@ -8,12 +8,13 @@ parallel and combine small per-piece summaries.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import scratch_path
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
@@ -26,31 +27,37 @@ def rank_by_int_key(
     rank_col: str = "idx",
     size_col: str = "n",
 ) -> DataFrame:
-    """1-based position of each row inside its group, ordered by a unique int key.
+    """1-based position of each row inside its group, ordered by an int key.
 
-    Rows are cut into (group, order div bucket_width) pieces.  Because the
-    order key is unique within a group, a piece holds at most
-    ``bucket_width`` rows, so no task sees more than that many rows of one
-    group.  Piece sizes are summed with a running window over the (tiny)
-    piece table and added to the row number inside the piece.
+    Rows are cut into (group, order div bucket_width) pieces; with distinct keys
+    a piece holds at most ``bucket_width`` rows.  Piece sizes are summed with a
+    running window over the (tiny) piece table and added to the row number
+    inside the piece.
+
+    Ties of the order key go by all other columns, so a retried task gives
+    every row the same position; rows equal in every column are interchangeable.
+    Rows with a null group or a null key form groups and pieces of their own
+    (null keys come first) and stay in the result.
     """
-    keyed = df.withColumn("_piece", F.floor(F.col(order) / F.lit(bucket_width)).cast("long"))
-    pieces = keyed.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_cnt"))
-    by_group = Window.partitionBy(group)
-    running = by_group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    rest = [c for c in df.columns if c not in (group, order)]
+    # A struct as key: null fields compare equal, and window and join share one shuffle.
+    piece = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
+    keyed = df.withColumn("_key", F.struct(F.col(group).alias("g"), piece.alias("p")))
+    pieces = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_cnt"))
+    by_group = Window.partitionBy("_key.g")
+    running = by_group.orderBy(F.col("_key.p").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        group,
-        "_piece",
+        "_key",
         F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_before"),
         F.sum("_cnt").over(by_group).alias(size_col),
     )
-    in_piece = Window.partitionBy(group, "_piece").orderBy(order)
-    ranked = keyed.withColumn("_r", F.row_number().over(in_piece))
+    ranked = keyed.withColumn("_r", F.row_number().over(Window.partitionBy("_key").orderBy(order, *rest)))
     return (
-        ranked.join(offsets, [group, "_piece"])
+        ranked.join(offsets, "_key")
         .withColumn(rank_col, (F.col("_before") + F.col("_r")).cast("long"))
         .withColumn(size_col, F.col(size_col).cast("long"))
-        .drop("_piece", "_r", "_before")
+        .drop("_key", "_r", "_before")
+        .select(*df.columns, size_col, rank_col)
     )
 
 
@@ -60,7 +67,7 @@ def top_k_per_group(
     order: Sequence[Column],
     k: int,
     salt_key: str | Column,
-    salts: int = 32,
+    salts: int | None = None,
     rank_col: str = "rank",
 ) -> DataFrame:
     """Exact top-k rows per group in two phases.
@@ -68,9 +75,13 @@ def top_k_per_group(
     Phase 1 keeps the best k rows of every (group, salt) piece, with the
     salt a deterministic hash of a row key, so a hot group is spread over
     ``salts`` tasks.  Phase 2 ranks the at most ``k * salts`` survivors of
-    each group.  ``order`` must be a total order (end with a unique key) so
-    the result is deterministic.
+    each group.  Without ``salts`` the size of the largest group decides: both
+    phases then see about sqrt(k * size) of its rows in one task.  ``order``
+    must be a total order (end with a unique key) so the result is deterministic.
     """
+    if salts is None:
+        largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        salts = max(1, math.ceil(math.sqrt((largest or 0) / k)))
     key = salt_key if isinstance(salt_key, Column) else F.col(salt_key)
     salted = df.withColumn("_salt", F.pmod(F.hash(key), F.lit(salts)))
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
@@ -79,33 +90,62 @@ def top_k_per_group(
     return cand.withColumn(rank_col, F.row_number().over(w2).cast("long")).filter(F.col(rank_col) <= k)
 
 
+def _range_sorted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in global order with ``_pid`` (partition) and ``_mid`` (rising row number), written once.
+
+    Range partitioning cuts long runs of a key across tasks; the written table
+    fixes both numbers for every later reader and retry."""
+    path = scratch_path(df.sparkSession, "range-sorted")
+    ordered = df.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id())
+    ordered.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def dense_positions(keys: DataFrame, key: str, out: str) -> DataFrame:
+    """Distinct non-null values of ``key`` with their 0-based position in ascending order.
+
+    No value list reaches the driver or a single task: values are range-sorted, each
+    partition's first position is the running total of the (few) partition counts,
+    and a value's position is that plus its place in its partition.
+    """
+    ordered = _range_sorted(keys.select(key).distinct().filter(F.col(key).isNotNull()), [key])
+    stats = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    placed = ordered.join(stats, "_pid")
+    return placed.select(key, (F.col("_before") + F.col("_mid") - F.col("_first")).alias(out))
+
+
 def group_medians(df: DataFrame, group: str, values: Sequence[str], suffix: str = "") -> DataFrame:
     """Exact median of each value column per group, without collecting a group.
 
-    The (group, column, value) rows are globally sorted; range partitioning
-    cuts a hot group across many tasks.  The sorted rows are checkpointed so
-    partition ids and row ids are fixed, per-(group, partition) counts give
-    the offset of every partition, and only the one or two middle rows of
-    each group are picked out.  Even counts average the two middle values.
+    Equal values are first counted per (group, column, value), so a value that
+    fills most of a hot group is one row.  The distinct values are globally
+    sorted and written; weights of whole partitions and running weights inside a
+    partition place every value, and only those that cover the one or
+    two middle ranks are picked.  Even counts average the two middle values.  Null
+    and NaN values take no part; a group without values has no row.
     """
     stacked = df.select(
         F.col(group),
-        F.explode(F.array(*[F.struct(F.lit(v).alias("_col"), F.col(v).cast("double").alias("_v")) for v in values])).alias("_s"),
-    ).select(group, "_s._col", "_s._v").dropna(subset=["_v"])
+        F.explode(F.array(*[F.struct(F.lit(v).alias("_col"), (F.col(v).cast("double") + F.lit(0.0)).alias("_v")) for v in values])).alias("_s"),
+    ).select(group, "_s._col", "_s._v")
+    stacked = stacked.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     keys = [group, "_col"]
-    checkpoint_dir(df.sparkSession)
-    ordered = stacked.orderBy(*keys, "_v").withColumn("_mid", F.monotonically_increasing_id())
-    ordered = ordered.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).checkpoint(eager=True)
-    stats = ordered.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    ordered = _range_sorted(stacked.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w")), [*keys, "_v"])
+    stats = ordered.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_cnt"))
     by_key = Window.partitionBy(*keys)
     running = by_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(running), F.lit(0))).withColumn(
-        "_n", F.sum("_cnt").over(by_key)
-    )
-    targets = stats.withColumn(
-        "_rank", F.explode(F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1)))
-    ).filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_cnt")))
-    targets = targets.select((F.col("_first") + F.col("_rank") - F.col("_before") - 1).alias("_mid"))
-    picked = ordered.join(targets, "_mid", "left_semi")
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(running), F.lit(0))).withColumn("_n", F.sum("_cnt").over(by_key))
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    # Partitions that hold a middle rank: at most two a key.  Only their rows get running weights.
+    holding = stats.filter((F.col("_before") < high) & (F.col("_before") + F.col("_cnt") >= low))
+    holding = holding.select(F.col(group).alias("_g"), F.col("_col").alias("_c"), F.col("_pid").alias("_p"), "_before", "_n")
+    same = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_col") == F.col("_c")) & (F.col("_pid") == F.col("_p"))
+    inside = Window.partitionBy(*keys, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ordered.join(holding, same).withColumn("_upto", F.col("_before") + F.sum("_w").over(inside))
+    covers = lambda r: ((F.col("_upto") - F.col("_w")) < r) & (F.col("_upto") >= r)
+    picked = placed.filter(covers(low) | covers(high))
+    # One row may cover both middle ranks.
     med = picked.groupBy(group).pivot("_col", list(values)).agg(F.avg("_v"))
     return med.select(group, *[F.col(v).alias(f"{v}{suffix}") for v in values])

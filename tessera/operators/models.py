@@ -15,7 +15,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ranking import explode_recommendations, ranking_metrics
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, scratch_path
+
+
+#: Ratings of one training block while there are few blocks, and beyond.
+SMALL_BLOCK, BLOCK = 100_000, 5_000_000
+#: Blocks that small data may use, and the most there are: MLlib makes user blocks x item blocks
+#: builders in every task, so this product must not grow with the cluster.
+SMALL_BLOCKS, MOST_BLOCKS = 32, 1_000
+#: Entities of one scored block: MLlib emits k candidates per source for each of them.
+SCORE_BLOCK = 1 << 17
+
+
+def block_count(rows: int) -> int:
+    """Training blocks for a number of ratings, whatever the cluster: about 100,000 ratings a block for
+    small data, 5 million for large."""
+    return max(1, min(SMALL_BLOCKS, -(-rows // SMALL_BLOCK)), min(MOST_BLOCKS, -(-rows // BLOCK)))
 
 
 def make_als(
@@ -28,17 +43,16 @@ def make_als(
     item: str = "item_id",
     rating: str = "rating",
     cold_start_strategy: str = "drop",
-    num_blocks: int | None = None,
+    num_blocks: int = 10,
     checkpoint_interval: int = 10,
     num_item_blocks: int | None = None,
+    block_size: int = SCORE_BLOCK,
 ) -> ALS:
     """MLlib ALS with the library's conventions.
 
-    ``num_blocks`` sets user and item blocks (default: one per core of the
-    cluster).  ``num_item_blocks`` overrides the item side only: MLlib's
-    top-k emits up to k candidates per user for every item-factor
-    partition, so fewer item blocks make ``recommend`` cheaper at the price
-    of less parallelism in the item half-step of training.
+    ``num_blocks`` sets user and item blocks of training (``fit_als`` derives it
+    from the number of ratings), ``num_item_blocks`` the item side alone.  ``block_size``
+    is the number of factors that top-k scores at a time.
     """
     als = ALS(
         rank=rank,
@@ -51,14 +65,8 @@ def make_als(
         ratingCol=rating,
         coldStartStrategy=cold_start_strategy,
         checkpointInterval=checkpoint_interval,
+        blockSize=block_size,
     )
-    if not num_blocks:
-        # One block per core of the cluster (MLlib's fixed default of 10
-        # would cap a large cluster at ten tasks per half-iteration).
-        from pyspark import SparkContext
-
-        sc = SparkContext._active_spark_context
-        num_blocks = max(2, sc.defaultParallelism) if sc is not None else 10
     return als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_item_blocks or num_blocks)
 
 
@@ -69,6 +77,8 @@ def fit_als(train: DataFrame, **params) -> ALSModel:
     user = params.get("user", "user_id")
     item = params.get("item", "item_id")
     rows = train.select(user, item, F.col(rating).cast("float").alias(rating))
+    if not params.get("num_blocks"):
+        params["num_blocks"] = block_count(rows.count())
     return make_als(**params).fit(rows)
 
 
@@ -83,6 +93,28 @@ def rmse_of(model: ALSModel, rows: DataFrame, label: str = "rating") -> float:
     )
 
 
+def scoring_model(model: ALSModel, for_: str = "users") -> ALSModel:
+    """The same factors laid out for top-k: many source partitions, few target blocks.
+
+    Top-k crosses every source partition with every block of targets and keeps k
+    candidates of each, so targets should be in as few blocks as memory allows (by
+    their number), sources in as many partitions as the session shuffles to.  The
+    model is saved, one factor table is written anew, and the result loaded.
+    """
+    spark = model.itemFactors.sparkSession
+    path = scratch_path(spark, "als-scoring")
+    model.write().save(path)
+    source, target = ("userFactors", "itemFactors") if for_ == "users" else ("itemFactors", "userFactors")
+    factors = {n: spark.read.parquet(f"{path}/{n}") for n in (source, target)}
+    blocks = max(1, -(-factors[target].count() // SCORE_BLOCK))
+    out = scratch_path(spark, "als-scoring")
+    model.write().save(out)
+    factors[target].coalesce(blocks).write.mode("overwrite").parquet(f"{out}/{target}")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    factors[source].repartition(parts, "id").write.mode("overwrite").parquet(f"{out}/{source}")
+    return ALSModel.load(out).setBlockSize(SCORE_BLOCK)
+
+
 def recommend(model: ALSModel, k: int, entities: DataFrame | None = None, for_: str = "users") -> DataFrame:
     """Top-k per entity as rows (entity, target, score, pos) (O3).
 
@@ -92,6 +124,7 @@ def recommend(model: ALSModel, k: int, entities: DataFrame | None = None, for_:
     every id when only a held-out subset is evaluated.
     """
     user, item = model.getUserCol(), model.getItemCol()
+    model = scoring_model(model, for_)
     if for_ == "users":
         recs = model.recommendForUserSubset(entities, k) if entities is not None else model.recommendForAllUsers(k)
         return explode_recommendations(recs, user, item)

@@ -2,21 +2,32 @@
 
 Exact join
     Feature vectors repeat heavily (many items share one genre profile), so
-    the join runs on distinct *signatures* and only then expands to ids.
-    For integer-valued vectors, every neighbour of ``v`` within radius r is
-    ``v + d`` for an integer offset ``d`` with ``|d|^2 < r^2``.  Each left
-    signature is expanded by that (data-independent) offset list with
-    ``explode`` and equi-joined on the shifted vector, so candidates are
-    exactly the matches: no pairwise comparison within a bucket, no cross
-    join.  Real-valued vectors use a grid of cell width r and offsets in
-    {-1, 0, 1}^d followed by an exact distance filter.
+    the join runs on distinct vectors and only then expands to ids.  The key is
+    the vector itself as ``array<double>`` with -0.0 read as 0.0.
+
+    Whole-numbered vectors with a small radius: every neighbour of ``v`` within
+    radius r is ``v + d`` for an integer offset ``d`` with ``|d|^2 < r^2``.  Each
+    left vector is expanded by that (data-independent) offset list and equi-joined
+    on the shifted vector, so candidates are exactly the matches.
+
+    All others: a grid of cell width r on the few coordinates that differ most.
+    A neighbour lies in the same or an adjacent cell on each of them; the distance
+    over all coordinates decides.  Both ways give the same pairs; the number of
+    offsets only picks the cheaper one.
+
+Expansion to ids
+    The ids of a vector are packed in chunks of bounded size.  A pair of vectors becomes
+    one row for every pair of chunks, the rows are dealt over the cluster,
+    and each expands to a bounded number of id pairs.  A vector that a third of all items
+    share is written by many tasks.
 
 Approximate join
     ``BucketedRandomProjectionLSH.approxSimilarityJoin``, as in the original
     notebook, run on distinct vectors.  It may miss pairs; its result is a
     subset of the exact join.
 
-Distances are Euclidean and strictly less than the radius.
+Distances are Euclidean and strictly less than the radius.  Vectors that are null or hold
+a null or NaN component have no distance to anything and give no pairs.
 """
 
 from __future__ import annotations
@@ -32,109 +43,105 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import squared_distance
 
-MAX_OFFSETS = 200_000
+#: Offsets up to which shifting a vector is cheaper than a grid.
+LATTICE_OFFSETS = 2_000
+#: Coordinates of the grid: 3^4 = 81 adjacent cells.
+GRID_COORDINATES = 4
+#: Ids of one chunk; a pair of chunks expands to at most its square.
+CHUNK_IDS = 1_000
 
 
-def lattice_offsets(dim: int, radius: float) -> list[tuple[list[int], int]]:
-    """All integer vectors d in Z^dim with |d|^2 < radius^2, with |d|^2."""
+def lattice_offsets(dim: int, radius: float, most: int | None = None) -> list[list[int]] | None:
+    """All integer vectors d in Z^dim with |d|^2 < radius^2; None if there are more than ``most``."""
     if radius <= 0 or dim <= 0:
         raise ValueError(f"radius and dim must be positive, got radius={radius}, dim={dim}")
-    limit = radius * radius
-    top = int(math.floor(radius))
-    out: list[tuple[list[int], int]] = []
+    limit, top = radius * radius, int(math.floor(radius))
+    partial: list[tuple[tuple[int, ...], int]] = [((), 0)]
+    for _ in range(dim):
+        partial = [((*d, v), used + v * v) for d, used in partial for v in range(-top, top + 1) if used + v * v < limit]
+        if most is not None and len(partial) > most:
+            return None
+    return [list(d) for d, _ in partial]
 
-    def rec(prefix: list[int], used: int) -> None:
-        if len(out) > MAX_OFFSETS:
-            raise ValueError("radius too large for the lattice join; use the grid join")
-        if len(prefix) == dim:
-            out.append((list(prefix), used))
-            return
-        for v in range(-top, top + 1):
-            s = used + v * v
-            if s < limit:
-                prefix.append(v)
-                rec(prefix, s)
-                prefix.pop()
 
-    rec([], 0)
-    return out
+def _constant(rows: list[list[int]]) -> Column:
+    """A list of int lists as one constant (a folded JSON literal), not one expression node per value."""
+    return F.from_json(F.lit(json.dumps(rows, separators=(",", ":"))), "array<array<int>>")
 
 
-def _offsets_column(offsets: list[list[int]]) -> Column:
-    """The offset list as one constant (a folded JSON literal), not one expression node per value."""
-    text = json.dumps([[int(x) for x in off] for off in offsets], separators=(",", ":"))
-    return F.from_json(F.lit(text), "array<array<int>>")
+def canonical(vec: str | Column) -> Column:
+    """The vector as array<double> with -0.0 as 0.0, null if it is null or holds a null or NaN."""
+    c = vec if isinstance(vec, Column) else F.col(vec)
+    v = F.transform(c, lambda x: x.cast("double") + F.lit(0.0))
+    return F.when(F.forall(v, lambda x: F.coalesce(~F.isnan(x), F.lit(False))), v)
 
 
-def _sig(col: str | Column) -> Column:
-    c = col if isinstance(col, Column) else F.col(col)
-    return F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
+def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(_id, _vec) of the rows that take part."""
+    return df.select(F.col(id_col).alias("_id"), canonical(vec_col).alias("_vec")).filter("_vec IS NOT NULL")
 
 
-def _signatures(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    return df.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_vec")).withColumn("_sig", _sig("_vec"))
+def _profile(vecs: DataFrame) -> tuple[int, bool]:
+    """Largest dimension and whether all components are whole numbers that shift exactly (one scalar action)."""
+    odd = F.exists("_vec", lambda x: (x != F.rint(x)) | (F.abs(x) > F.lit(2.0**52)))
+    r = vecs.agg(F.max(F.size("_vec")).alias("dim"), F.max(odd).alias("odd")).first()
+    return int(r["dim"] or 0), not r["odd"]
 
 
-def signature_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    vec_col: str,
-    radius: float,
-    integral: bool | None = None,
-    dim: int | None = None,
-) -> DataFrame:
-    """Distinct (left_sig, right_sig, distance) with distance < radius.
+def _grid_coordinates(vecs: DataFrame, dim: int, radius: float) -> list[int]:
+    """The coordinates with the most cells (one row of counts)."""
+    cells = [F.approx_count_distinct(F.floor(F.get(F.col("_vec"), i) / F.lit(float(radius)))).alias(str(i)) for i in range(dim)]
+    r = vecs.agg(*cells).first()
+    return sorted(sorted(range(dim), key=lambda i: (-r[str(i)], i))[:GRID_COORDINATES])
+
 
-    ``left`` / ``right`` carry a vector column; only their distinct vectors
-    take part, so the cost grows with the number of distinct profiles, not
-    with the number of ids.
+def vector_pairs(left: DataFrame, right: DataFrame, radius: float, integral: bool | None = None, dim: int | None = None) -> DataFrame:
+    """Distinct (left_vec, right_vec, distance) with distance < radius, from (_vec) columns.
+
+    Only distinct vectors take part, so the cost grows with the number of
+    distinct profiles, not with the number of ids.  Vectors of different length
+    are no pair.
     """
-    lv = left.select(F.col(vec_col).alias("_lv")).distinct()
-    rv = right.select(F.col(vec_col).alias("_rv")).distinct().withColumn("_rsig", _sig("_rv"))
-    if integral is None:
-        integral = _is_integral(left, vec_col) and _is_integral(right, vec_col)
-    if dim is None:
-        dim = _dimension(left, vec_col)
-    if integral:
-        offs = lattice_offsets(dim, radius)
-        shifted = lv.select(
-            "_lv",
-            F.explode(_offsets_column([o for o, _ in offs])).alias("_off"),
-        ).select(
-            "_lv",
-            _sig(F.zip_with("_lv", "_off", lambda a, b: a.cast("int") + b)).alias("_rsig"),
-        )
-        pairs = shifted.join(rv, "_rsig").select(
-            _sig("_lv").alias("left_sig"), F.col("_rsig").alias("right_sig"),
-            F.sqrt(squared_distance("_lv", "_rv")).alias("distance"),
-        )
-        return pairs.filter(F.col("distance") < radius)
-    # Real-valued: grid of width r; a neighbour lies in an adjacent cell.
-    cell = lambda c: F.transform(c, lambda x: F.floor(x / F.lit(radius)).cast("long"))
-    offs = [list(o) for o in itertools.product((-1, 0, 1), repeat=dim)]
-    if len(offs) > MAX_OFFSETS:
-        raise ValueError("dimension too high for the exact grid join; use approximate_radius_join")
-    lcell = lv.select("_lv", cell(F.col("_lv")).alias("_cell"))
-    lexp = lcell.select("_lv", F.explode(_offsets_column(offs)).alias("_off"), "_cell").select(
-        "_lv", _sig(F.zip_with("_cell", "_off", lambda a, b: a + b)).alias("_ckey")
-    )
-    rcell = rv.select("_rv", "_rsig", _sig(cell(F.col("_rv"))).alias("_ckey"))
-    pairs = lexp.join(rcell, "_ckey").select(
-        _sig("_lv").alias("left_sig"), F.col("_rsig").alias("right_sig"),
-        F.sqrt(squared_distance("_lv", "_rv")).alias("distance"),
-    )
-    return pairs.filter(F.col("distance") < radius)
-
-
-def _is_integral(df: DataFrame, vec_col: str) -> bool:
-    """True when every component is a whole number (one scalar action)."""
-    frac = df.select(F.max(F.exists(vec_col, lambda x: x.cast("double") != F.round(x.cast("double")))).alias("f")).first()[0]
-    return not frac
-
-
-def _dimension(df: DataFrame, vec_col: str) -> int:
-    """Vector length (one scalar action; all rows must share it)."""
-    return int(df.select(F.max(F.size(vec_col))).first()[0])
+    if radius <= 0:
+        raise ValueError(f"radius must be positive, got {radius}")
+    lv = left.select(F.col("_vec").alias("left_vec")).distinct()
+    rv = right.select(F.col("_vec").alias("right_vec")).distinct()
+    if integral is None or dim is None:
+        profile = _profile(left.select("_vec").unionByName(right.select("_vec")))
+        dim = profile[0] if dim is None else dim
+        integral = profile[1] if integral is None else integral
+    far = F.sqrt(squared_distance("left_vec", "right_vec")).alias("distance")
+    offsets = lattice_offsets(dim, radius, LATTICE_OFFSETS) if integral and dim else None
+    if offsets is not None:
+        shift = F.zip_with("left_vec", "_off", lambda a, b: a + b)
+        moved = lv.select("left_vec", F.explode(_constant(offsets)).alias("_off")).filter(F.size("left_vec") == dim)
+        pairs = moved.select("left_vec", shift.alias("right_vec")).join(rv, "right_vec")
+        return pairs.select("left_vec", "right_vec", far).filter(F.col("distance") < radius)
+    where = _grid_coordinates(right, dim, radius)
+    cell = lambda v: F.array(*[F.floor(F.get(F.col(v), i) / F.lit(float(radius))).cast("long") for i in where])
+    around = _constant([list(o) for o in itertools.product((-1, 0, 1), repeat=len(where))])
+    # A component shorter than a grid coordinate has a null cell and can match nothing there.
+    lcell = lv.select("left_vec", cell("left_vec").alias("_c"), F.explode(around).alias("_off")).select("left_vec", F.zip_with("_c", "_off", lambda a, b: a + b).alias("_cell"))
+    rcell = rv.select("right_vec", cell("right_vec").alias("_cell"))
+    pairs = lcell.join(rcell, "_cell").filter(F.size("left_vec") == F.size("right_vec"))
+    return pairs.select("left_vec", "right_vec", far).filter(F.col("distance") < radius)
+
+
+def _chunks(vecs: DataFrame, side: str, chunk_ids: int) -> DataFrame:
+    """(side_vec, side_chunk, side_ids): the distinct ids of a vector in chunks of bounded size."""
+    ids = vecs.select("_vec", "_id").distinct()
+    size = ids.groupBy("_vec").agg(F.ceil(F.count(F.lit(1)) / chunk_ids).alias("_chunks"))
+    cut = ids.join(size, "_vec").withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.col("_chunks")))
+    packed = cut.groupBy("_vec", "_chunk").agg(F.collect_list("_id").alias("_ids"))
+    return packed.select(F.col("_vec").alias(f"{side}_vec"), F.col("_chunk").alias(f"{side}_chunk"), F.col("_ids").alias(f"{side}_ids"))
+
+
+def _expanded(pairs: DataFrame, lvecs: DataFrame, rvecs: DataFrame, left_name: str, right_name: str, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """Vector pairs -> id pairs, dealt out by pair of chunks before anything is expanded."""
+    chunked = pairs.join(_chunks(lvecs, "left", chunk_ids), "left_vec").join(_chunks(rvecs, "right", chunk_ids), "right_vec")
+    n = chunked.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    dealt = chunked.repartition(int(n), "left_vec", "left_chunk", "right_vec", "right_chunk")
+    return dealt.select(F.explode("left_ids").alias(left_name), "right_ids", "distance").select(left_name, F.explode("right_ids").alias(right_name), "distance")
 
 
 def exact_radius_join(
@@ -151,18 +158,11 @@ def exact_radius_join(
     """All (left_id, right_id, distance) with Euclidean distance < radius.
 
     Inputs may repeat ids (one row per rating): pairs are returned once.
-    ``integral=None`` checks whether every component is a whole number and
-    picks the lattice join if so, else the grid join; pass ``True`` /
-    ``False`` when the feature type is known to skip that pass.
+    ``integral`` / ``dim`` save the pass that finds out whether every component
+    is a whole number and how long the vectors are; ``integral=False`` is always right.
     """
-    lsig = _signatures(left, id_col, vec_col).select("_id", "_sig").distinct()
-    rsig = _signatures(right, id_col, vec_col).select("_id", "_sig").distinct()
-    pairs = signature_pairs(left, right, vec_col, radius, integral, dim)
-    return (
-        pairs.join(lsig.withColumnRenamed("_id", left_name).withColumnRenamed("_sig", "left_sig"), "left_sig")
-        .join(rsig.withColumnRenamed("_id", right_name).withColumnRenamed("_sig", "right_sig"), "right_sig")
-        .select(left_name, right_name, "distance")
-    )
+    lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
+    return _expanded(vector_pairs(lvecs, rvecs, radius, integral, dim), lvecs, rvecs, left_name, right_name)
 
 
 def approximate_radius_join(
@@ -178,28 +178,49 @@ def approximate_radius_join(
     seed: int = 1,
 ) -> DataFrame:
     """LSH radius join (BucketedRandomProjectionLSH), on distinct vectors, expanded to ids."""
-    lsig = _signatures(left, id_col, vec_col).select("_id", "_sig", "_vec").distinct()
-    rsig = _signatures(right, id_col, vec_col).select("_id", "_sig", "_vec").distinct()
-    lv = lsig.select("_sig", "_vec").dropDuplicates(["_sig"]).withColumn("v", array_to_vector(F.col("_vec").cast("array<double>")))
-    rv = rsig.select("_sig", "_vec").dropDuplicates(["_sig"]).withColumn("v", array_to_vector(F.col("_vec").cast("array<double>")))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="hashes", bucketLength=bucket_length, numHashTables=num_hash_tables, seed=seed
-    ).fit(rv)
-    joined = lsh.approxSimilarityJoin(lv, rv, radius, distCol="distance").select(
-        F.col("datasetA._sig").alias("left_sig"), F.col("datasetB._sig").alias("right_sig"), "distance"
-    )
-    return (
-        joined.join(lsig.select(F.col("_id").alias(left_name), F.col("_sig").alias("left_sig")), "left_sig")
-        .join(rsig.select(F.col("_id").alias(right_name), F.col("_sig").alias("right_sig")), "right_sig")
-        .select(left_name, right_name, "distance")
-    )
+    lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
+    pairs = approximate_vector_pairs(lvecs, rvecs, radius, bucket_length, num_hash_tables, seed)
+    return _expanded(pairs, lvecs, rvecs, left_name, right_name)
+
+
+def approximate_vector_pairs(left: DataFrame, right: DataFrame, radius: float, bucket_length: float = 2.0, num_hash_tables: int = 3, seed: int = 1) -> DataFrame:
+    """As ``vector_pairs``, found by MLlib's random projections."""
+    lv = left.select("_vec").distinct().withColumn("v", array_to_vector("_vec"))
+    rv = right.select("_vec").distinct().withColumn("v", array_to_vector("_vec"))
+    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=bucket_length, numHashTables=num_hash_tables, seed=seed).fit(rv)
+    found = lsh.approxSimilarityJoin(lv, rv, radius, distCol="distance")
+    return found.select(F.col("datasetA._vec").alias("left_vec"), F.col("datasetB._vec").alias("right_vec"), "distance")
 
 
 def neighbor_counts(pairs: DataFrame, left_name: str = "left_id") -> DataFrame:
-    """Neighbours per left id (A5)."""
+    """Neighbours per left id of an existing pair table (A5)."""
     return pairs.groupBy(left_name).agg(F.count(F.lit(1)).alias("n_neighbors"))
 
 
+def count_neighbors(
+    left: DataFrame,
+    right: DataFrame,
+    radius: float,
+    id_col: str = "item_id",
+    vec_col: str = "features",
+    left_name: str = "left_id",
+    integral: bool | None = None,
+    dim: int | None = None,
+) -> DataFrame:
+    """Neighbours per left id without listing a pair of ids (A5).
+
+    Right ids are counted per distinct vector, the counts are summed over a
+    left vector's matches, and every left id takes the sum of its vector.  Left ids
+    without a neighbour have no row, as in the pair table.
+    """
+    lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
+    sizes = rvecs.distinct().groupBy(F.col("_vec").alias("right_vec")).agg(F.count(F.lit(1)).alias("_n"))
+    sums = vector_pairs(lvecs, rvecs, radius, integral, dim).join(sizes, "right_vec").groupBy("left_vec").agg(F.sum("_n").alias("_n"))
+    ids = lvecs.distinct().select(F.col("_id").alias(left_name), F.col("_vec").alias("left_vec"))
+    # An id that occurs with several vectors sums them, as its pairs would.
+    return ids.join(sums, "left_vec").groupBy(left_name).agg(F.sum("_n").alias("n_neighbors"))
+
+
 def neighbor_count_extremes(counts: DataFrame) -> DataFrame:
     """Smallest and largest neighbour count in one pass."""
     return counts.agg(F.min("n_neighbors").alias("min_count"), F.max("n_neighbors").alias("max_count"))

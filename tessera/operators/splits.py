@@ -1,6 +1,6 @@
 """Activity filter, user-level sampling and the train / validation / test split.
 
-Every random choice is a hash bucket of the entity id (see
+Every random choice is the hash position of the entity id (see
 ``tessera.functions.hashing``), so samples and splits do not depend on the
 number of partitions and survive task retries unchanged.  Assigning a split
 is a column expression, not a join against a list of chosen ids.
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import BUCKETS, hash_bucket
+from tessera.functions.hashing import hash_unit
 from tessera.operators.grouped import DEFAULT_BUCKET_WIDTH, rank_by_int_key
 
 SEED_SAMPLE, SEED_SPLIT, SEED_ITEM, SEED_ROW = "sample", "split", "item", "row"
@@ -41,20 +41,17 @@ def sample_users(
     """
     if not 0.0 < fraction <= 1.0:
         raise ValueError(f"fraction must be in (0, 1], got {fraction}")
-    cut = int(round(fraction * BUCKETS))
-    sampled = df.filter(hash_bucket(seed, user) < cut)
+    sampled = df.filter(hash_unit(seed, user) < F.lit(float(fraction)))
     keep = active_users(sampled, min_interactions, user).select(user)
     return sampled.join(keep, user, "left_semi")
 
 
 def user_split_col(user: str = "user_id", fractions=(0.6, 0.2, 0.2), seed: str = SEED_SPLIT):
-    """'train' / 'val' / 'test' from the user's hash bucket."""
+    """'train' / 'val' / 'test' from the user's hash position."""
     if len(fractions) != 3 or min(fractions) < 0 or abs(sum(fractions) - 1.0) > 1e-9:
         raise ValueError(f"fractions must be three non-negative numbers summing to 1, got {fractions}")
-    b = hash_bucket(seed, user)
-    c1 = int(round(fractions[0] * BUCKETS))
-    c2 = int(round((fractions[0] + fractions[1]) * BUCKETS))
-    return F.when(b < c1, "train").when(b < c2, "val").otherwise("test")
+    at = hash_unit(seed, user)
+    return F.when(at < float(fractions[0]), "train").when(at < float(fractions[0] + fractions[1]), "val").otherwise("test")
 
 
 def split_users(df: DataFrame, fractions=(0.6, 0.2, 0.2), seed: str = SEED_SPLIT, user: str = "user_id") -> DataFrame:
@@ -64,20 +61,18 @@ def split_users(df: DataFrame, fractions=(0.6, 0.2, 0.2), seed: str = SEED_SPLIT
 
 def split_items(df: DataFrame, holdout_fraction: float = 0.2, seed: str = SEED_ITEM, item: str = "item_id") -> DataFrame:
     """(item, split) with 'train' / 'holdout' items."""
-    cut = int(round((1 - holdout_fraction) * BUCKETS))
     return df.select(item).distinct().withColumn(
-        "split", F.when(hash_bucket(seed, item) < cut, "train").otherwise("holdout")
+        "split", F.when(is_holdout_item(item, holdout_fraction, seed), "holdout").otherwise("train")
     )
 
 
 def is_holdout_item(item: str = "item_id", holdout_fraction: float = 0.2, seed: str = SEED_ITEM):
-    return hash_bucket(seed, item) >= int(round((1 - holdout_fraction) * BUCKETS))
+    return hash_unit(seed, item) >= F.lit(1.0 - holdout_fraction)
 
 
 def split_rows(df: DataFrame, test_fraction: float = 0.2, seed: str = SEED_ROW, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Row-level 'fit' / 'test' split keyed on the (user, item) pair."""
-    cut = int(round((1 - test_fraction) * BUCKETS))
-    return df.withColumn("split", F.when(hash_bucket(seed, user, item) < cut, "fit").otherwise("test"))
+    return df.withColumn("split", F.when(hash_unit(seed, user, item) < F.lit(1.0 - test_fraction), "fit").otherwise("test"))
 
 
 def half_split(
@@ -120,14 +115,39 @@ def assign_parts(
     same function is applied to both held-out groups (the test half is
     not derived from the validation frame).
     """
-    labelled = df.withColumn("_us", user_split_col(user, fractions, seed))
-    train = labelled.filter(F.col("_us") == "train").withColumn("part", F.lit("train")).drop("_us")
-    held = half_split(labelled.filter(F.col("_us") != "train"), user, item, bucket_width)
-    held = held.withColumn(
-        "part",
-        F.when(F.col("half") == 1, F.concat(F.col("_us"), F.lit("_train"))).otherwise(F.col("_us")),
-    ).drop("_us", "idx", "n", "half")
-    return train.unionByName(held)
+    return _labelled(df, SPLITS, fractions, seed, user, item, bucket_width)
+
+
+SPLITS = ("train", "val", "test")
+
+
+def _labelled(df: DataFrame, splits, fractions, seed: str, user: str, item: str, bucket_width: int) -> DataFrame:
+    """Rows of the users of ``splits`` with their ``part``; users of other splits are filtered out first."""
+    out = None
+    if "train" in splits:
+        out = df.filter(user_split_col(user, fractions, seed) == "train").withColumn("part", F.lit("train"))
+    held = [s for s in splits if s != "train"]
+    if held:
+        rows = df.withColumn("_us", user_split_col(user, fractions, seed)).filter(F.col("_us").isin(held))
+        half = half_split(rows, user, item, bucket_width)
+        part = F.when(F.col("half") == 1, F.concat(F.col("_us"), F.lit("_train"))).otherwise(F.col("_us"))
+        half = half.withColumn("part", part).drop("_us", "idx", "n", "half")
+        out = half if out is None else out.unionByName(half)
+    return out
+
+
+def split_table(
+    df: DataFrame,
+    name: str,
+    fractions=(0.6, 0.2, 0.2),
+    seed: str = SEED_SPLIT,
+    user: str = "user_id",
+    item: str = "item_id",
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+) -> DataFrame:
+    """One final table straight from the interactions: only the users it needs are ranked."""
+    splits = sorted({p.removesuffix("_train") for p in PART_SETS[name]}, key=SPLITS.index)
+    return final_table(_labelled(df, splits, fractions, seed, user, item, bucket_width), name)
 
 
 PART_SETS = {
@@ -156,11 +176,14 @@ def parts_table(spark, interactions: DataFrame, key: str, **kwargs) -> DataFrame
     """``assign_parts`` written once (partitioned by ``part``) and read back.
 
     For plans that read several of the four final tables: each read prunes
-    to its partitions instead of recomputing the split.
+    to its partitions instead of recomputing the split.  ``key`` names the
+    interactions; the stored table is found again only for the same
+    interactions, columns and split parameters.
     """
     from tessera.session import materialized
 
-    return materialized(spark, f"parts:{key}", lambda: assign_parts(interactions, **kwargs), partition_by=["part"])
+    name = f"parts:{key}:{interactions.schema.simpleString()}:{sorted(kwargs.items())!r}"
+    return materialized(spark, name, lambda: assign_parts(interactions, **kwargs), partition_by=["part"])
 
 
 def read_part(spark, path: str, name: str) -> DataFrame:

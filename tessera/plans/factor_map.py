@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StringIndexer
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.factors import wide_factors
-from tessera.operators.grouped import group_medians
+from tessera.operators.grouped import dense_positions, group_medians
 
 
 def factor_genre_map(factors: DataFrame, id_map: DataFrame, labels: DataFrame, keep_labels: list[str] | None = None) -> DataFrame:
@@ -17,8 +17,8 @@ def factor_genre_map(factors: DataFrame, id_map: DataFrame, labels: DataFrame, k
     Ids from string sources are cast explicitly before joining.
     """
     f = factors.select(F.col("id").cast("int").alias("item_id"), "features")
-    m = id_map.select(F.col("item_id").cast("int").alias("item_id"), F.col("real_item_id").cast("int").alias("real_item_id"))
-    lab = labels.select(F.col("real_item_id").cast("int").alias("real_item_id"), "genre")
+    m = id_map.select(F.col("item_id").cast("int").alias("item_id"), F.col("real_item_id").cast("bigint").alias("real_item_id"))
+    lab = labels.select(F.col("real_item_id").cast("bigint").alias("real_item_id"), "genre")
     if keep_labels is not None:
         lab = lab.filter(F.col("genre").isin(list(keep_labels)))
     return f.join(m, "item_id").join(lab, "real_item_id").select("item_id", "real_item_id", "genre", "features")
@@ -36,9 +36,12 @@ def export_wide(mapped: DataFrame, rank: int, path: str | None = None, fmt: str
 
 
 def index_labels(df: DataFrame, label: str = "genre", out: str = "label") -> DataFrame:
-    """Labels coded 0..n-1 in alphabetical order."""
-    model = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc").fit(df)
-    return model.transform(df).withColumn(out, F.col("_label_idx").cast("int")).drop("_label_idx")
+    """Labels coded 0..n-1 in alphabetical order.
+
+    Distinct labels are ranked by a distributed sort and joined back; neither the driver nor
+    a task holds them all.  Rows with a null label have no code and go."""
+    codes = dense_positions(df, label, out).select(F.col(label).alias("_label"), F.col(out).cast("int").alias(out))
+    return df.join(codes, F.col(label) == F.col("_label")).drop("_label")
 
 
 def project_2d(df: DataFrame, vec: str = "features") -> DataFrame:
@@ -73,10 +76,16 @@ def label_mapping(indexed: DataFrame, label: str = "genre", code: str = "label")
 
 
 def read_factor_export(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a wide factor export back."""
-    if fmt == "csv":
-        return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
-    return spark.read.parquet(path)
+    """Read a wide factor export back with its types.
+
+    A CSV names its columns in the header row (one line is read for it): ids are ints, the
+    genre a string, components doubles."""
+    if fmt != "csv":
+        return spark.read.parquet(path)
+    names = spark.read.option("header", "true").csv(path).columns
+    kinds = {"item_id": "int", "real_item_id": "bigint", "genre": "string"}
+    schema = ", ".join(f"`{c}` {kinds.get(c, 'double')}" for c in names)
+    return spark.read.option("header", "true").option("enforceSchema", "false").schema(schema).csv(path)
 
 
 def sort_by_label(df: DataFrame, label: str = "label", key: str = "item_id") -> DataFrame:

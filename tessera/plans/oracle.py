@@ -6,7 +6,7 @@ queries over the pre-registered test tables.
 
 from __future__ import annotations
 
-from tessera.functions.hashing import hash_bucket_sql
+from tessera.functions.hashing import hash_unit_sql
 from tessera.sources.fixtures import PART_TYPES
 from tessera.sources.schemas import GENRE_COLUMNS
 
@@ -36,25 +36,21 @@ def _genre_exprs() -> list[str]:
 
 ITEM_GENRES = "item_genres AS (SELECT CAST(p_partkey AS INTEGER) AS item_id, " + ", ".join(_genre_exprs()) + " FROM part)"
 
-# Split of users (X2) and per-user halves written as in the original SQL:
-# row_number over the user's items, then idx <= avg(idx).
-PARTS = f"""user_parts AS (
-  SELECT *, CASE WHEN b < 6000 THEN 'train' WHEN b < 8000 THEN 'val' ELSE 'test' END AS us
-  FROM (SELECT *, {hash_bucket_sql('split', 'user_id')} AS b FROM interactions)),
-held_idx AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS idx
-  FROM user_parts WHERE us <> 'train'),
+# Users fall into three splits by hash position (X2).  A held-out user's rows, by item
+# id, stay in training up to the rounded-up middle (rule R6: ceil(n / 2) of n rows).
+PARTS = f"""placed AS (
+  SELECT *, {hash_unit_sql('split', 'user_id')} AS place FROM interactions),
 held AS (
-  SELECT *, idx, CASE WHEN idx <= avg(idx) OVER (PARTITION BY user_id) THEN 1 ELSE 2 END AS half
-  FROM held_idx),
+  SELECT user_id, item_id, is_read, rating, is_reviewed, CASE WHEN place < 0.8 THEN 'val' ELSE 'test' END AS us,
+         count(*) OVER u AS n, row_number() OVER (u ORDER BY item_id) AS idx
+  FROM placed WHERE place >= 0.6 WINDOW u AS (PARTITION BY user_id)),
 parts AS (
-  SELECT user_id, item_id, is_read, rating, is_reviewed, 'train' AS part FROM user_parts WHERE us = 'train'
+  SELECT user_id, item_id, is_read, rating, is_reviewed, 'train' AS part FROM placed WHERE place < 0.6
   UNION ALL
-  SELECT user_id, item_id, is_read, rating, is_reviewed,
-         CASE WHEN half = 1 THEN us || '_train' ELSE us END AS part
+  SELECT user_id, item_id, is_read, rating, is_reviewed, us || CASE WHEN idx <= ceil(n / 2) THEN '_train' ELSE '' END AS part
   FROM held)"""
 
-HOLDOUT_ITEM = hash_bucket_sql("item", "item_id") + " >= 8000"
+HOLDOUT_ITEM = hash_unit_sql("item", "item_id") + " >= 0.8"
 
 
 def with_(*ctes: str) -> str:
@@ -87,9 +83,15 @@ FACTOR_ROWS = (
 
 SPLIT_ROWS = (
     "fit AS (SELECT user_id, item_id, rating FROM explicit WHERE "
-    + hash_bucket_sql("row", "user_id", "item_id") + " < 8000)"
+    + hash_unit_sql("row", "user_id", "item_id") + " < 0.8)"
 )
 
 
 def dot_sql(a: str, b: str) -> str:
     return f"list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[]))"
+
+
+PAIR_SCORES = (
+    f"scores AS (SELECT i.user_id, i.item_id, i.rating, {dot_sql('a.embedding', 'b.embedding')} AS score "
+    "FROM interactions i JOIN embeddings a ON a.vec_id = i.item_id JOIN embeddings b ON b.vec_id = i.user_id)"
+)

@@ -11,37 +11,32 @@ from tessera.plans.catalog import register
 from tessera.session import scratch_path
 from tessera.sources import fixtures as fx
 from tessera.sources import readers as R
-from tessera.sources.schemas import GENRE_COLUMNS, ID_MAP_COLUMNS
+from tessera.sources.schemas import GENRE_COLUMNS
 
 GCOLS = ", ".join(GENRE_COLUMNS)
 
 
-def _load_genres(spark, sf_dir):
-    """Genre documents written as JSON lines and the id map as a CSV with header, read back."""
-    jpath = scratch_path(spark, "genres-json")
-    fx.genre_documents(fx.item_genres(spark, sf_dir)).write.mode("overwrite").json(jpath)
-    mpath = scratch_path(spark, "idmap-csv")
-    R.write_csv(fx.item_id_map(spark, sf_dir), mpath, header=True)
-    genres = R.flatten_genres(R.read_genre_json(spark, jpath))
-    id_map = R.read_string_csv(spark, mpath, ID_MAP_COLUMNS).select(
-        *[F.col(c).try_cast("int").alias(c) for c in ID_MAP_COLUMNS]
-    )
-    return genres, id_map
+def _stored_genres(spark, sf_dir):
+    """Genre documents written as JSON lines and read back."""
+    path = scratch_path(spark, "genres-json")
+    fx.genre_documents(fx.item_genres(spark, sf_dir)).write.mode("overwrite").json(path)
+    return R.flatten_genres(R.read_genre_json(spark, path))
 
 
 @register(
     "genre_features",
-    O.with_(O.ITEM_GENRES) + f"SELECT CAST(item_id * 7 + 3 AS INTEGER) AS real_item_id, {GCOLS} FROM item_genres",
+    O.with_(O.ITEM_GENRES) + f"SELECT CAST(item_id * 7 + 3 AS BIGINT) AS real_item_id, {GCOLS} FROM item_genres",
 )
 def genre_features(spark, sf_dir):
-    genres, _ = _load_genres(spark, sf_dir)
-    return genres
+    return _stored_genres(spark, sf_dir)
 
 
-@register("item_id_remap", O.with_(O.ITEM_GENRES) + f"SELECT item_id, {GCOLS} FROM item_genres")
+@register("item_id_remap", O.with_(O.ITEM_GENRES) + f"SELECT CAST(item_id AS BIGINT) AS item_id, {GCOLS} FROM item_genres")
 def item_id_remap(spark, sf_dir):
-    genres, id_map = _load_genres(spark, sf_dir)
-    return FE.remap_ids(genres, id_map)
+    """The id dictionary comes from CSV with a header."""
+    path = scratch_path(spark, "idmap-csv")
+    R.write_csv(fx.item_id_map(spark, sf_dir), path, header=True)
+    return FE.remap_ids(_stored_genres(spark, sf_dir), R.read_id_map(spark, path))
 
 
 @register(
@@ -53,6 +48,5 @@ def item_id_remap(spark, sf_dir):
     ),
 )
 def genre_vectors(spark, sf_dir):
-    genres, id_map = _load_genres(spark, sf_dir)
-    vecs = FE.assemble_vectors(FE.remap_ids(genres, id_map))
+    vecs = FE.assemble_vectors(fx.item_genres(spark, sf_dir))
     return vecs.select("item_id", F.posexplode(vector_to_array("features")).alias("pos", "value"))

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import hash_unit_sql
 from tessera.operators import models as M
 from tessera.operators import splits as S
+from tessera.operators.grouped import group_medians
 from tessera.plans import factor_map as FM
 from tessera.plans import oracle as O
 from tessera.plans.catalog import r6, register
 from tessera.plans.coldstart import cold_start
 from tessera.plans.evaluate import holdout_report
 from tessera.plans.tune import tune_als
-from tessera.session import scratch_path
+from tessera.session import path_exists, scratch_path
 from tessera.sources import fixtures as fx
 from tessera.sources import readers as R
 
@@ -26,28 +29,44 @@ def _parts(spark, sf_dir):
     return S.parts_table(spark, fx.interactions(spark, sf_dir), sf_dir)
 
 
-_FITTED: dict = {}
-
-
-def _once(spark, key, build):
-    """Seeded fits are deterministic: fit once per application and reuse."""
-    k = (spark.sparkContext.applicationId, key)
-    if k not in _FITTED:
-        _FITTED[k] = build()
-    return _FITTED[k]
+_SAVED: dict[tuple, str] = {}
 
 
 def _model(spark, sf_dir, params=ALS_PARAMS):
+    """Seeded fits are deterministic: fitted once per application, saved, and loaded by every query."""
     parts = _parts(spark, sf_dir)
-    key = ("als", sf_dir, tuple(sorted(params.items())))
-    return _once(spark, key, lambda: M.fit_als(S.final_table(parts, "final_train_val"), **params)), parts
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(params.items())))
+    if key not in _SAVED or not path_exists(spark, _SAVED[key]):
+        path = scratch_path(spark, "als-model")
+        M.save_model(M.fit_als(S.final_table(parts, "final_train_val"), **params), path)
+        _SAVED[key] = path
+    return M.load_model(_SAVED[key]), parts
+
+
+def _val(parts):
+    return S.final_table(parts, "final_val").select("user_id", "item_id", "rating")
+
+
+#: Rows that a model of final_train_val can score: user and item both occur there.
+SCORED = """train AS (SELECT * FROM parts WHERE part IN ('train', 'val_train')),
+scored AS (SELECT user_id, item_id, rating FROM parts WHERE part = 'val'
+           AND user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train))"""
+MODEL_CTES = (O.INTERACTIONS, O.PARTS, SCORED)
+
+
+def _finite(c):
+    return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
 
 
 @register("als_predict")
 def als_predict(spark, sf_dir):
     model, parts = _model(spark, sf_dir)
-    val = S.final_table(parts, "final_val").select("user_id", "item_id", "rating")
-    return M.predict(model, val)
+    return M.predict(model, _val(parts))
+
+
+@register("als_predict_rows", O.with_(*MODEL_CTES) + "SELECT user_id, item_id, rating, true AS finite FROM scored")
+def als_predict_rows(spark, sf_dir):
+    return als_predict(spark, sf_dir).select("user_id", "item_id", "rating", _finite("prediction").alias("finite"))
 
 
 @register("als_item_factors")
@@ -56,48 +75,101 @@ def als_item_factors(spark, sf_dir):
     return M.factor_table(model, "items")
 
 
+@register(
+    "als_item_factor_shape",
+    O.with_(*MODEL_CTES) + "SELECT DISTINCT item_id AS id, CAST(10 AS INTEGER) AS n, true AS non_negative FROM train",
+)
+def als_item_factor_shape(spark, sf_dir):
+    return als_item_factors(spark, sf_dir).select("id", F.size("features").alias("n"), F.forall("features", lambda x: x >= 0).alias("non_negative"))
+
+
 @register("als_topk_users")
 def als_topk_users(spark, sf_dir):
-    model, parts = _model(spark, sf_dir)
-    users = S.final_table(parts, "final_val").select("user_id").distinct()
-    return M.recommend(model, TOP_K, users, "users")
+    return M.recommend(_model(spark, sf_dir)[0], TOP_K, None, "users")
 
 
 @register("als_topk_items")
 def als_topk_items(spark, sf_dir):
-    model, parts = _model(spark, sf_dir)
-    items = S.final_table(parts, "final_val").select("item_id").distinct()
-    return M.recommend(model, TOP_K, items, "items")
+    return M.recommend(_model(spark, sf_dir)[0], TOP_K, None, "items")
 
 
-def _tune(spark, sf_dir):
-    return _once(spark, ("tune", sf_dir), lambda: _run_tune(spark, sf_dir))
+def _lists(recs, entity, target):
+    """Per entity: length of the list, distinct targets, last position, whether scores fall."""
+    order = Window.partitionBy(entity).orderBy("pos")
+    falls = recs.withColumn("_ok", F.coalesce(F.lag("score").over(order) >= F.col("score"), F.lit(True)))
+    return falls.groupBy(entity).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(target).alias("n_targets"), F.max("pos").cast("long").alias("last"), F.bool_and("_ok").alias("falling")
+    )
 
 
-def _run_tune(spark, sf_dir):
-    parts = _parts(spark, sf_dir)
-    return tune_als(
-        S.final_table(parts, "final_train_val"),
-        S.final_table(parts, "final_val"),
-        ranks=(10, 15, 20),
-        max_iters=(10, 15, 20),
-        reg_params=(0.1, 0.15, 0.2),
-        parallelism=8,
-        report_path=scratch_path(spark, "tuning-report"),
-    )
+def _lists_sql(entity, target):
+    n = f"(SELECT least({TOP_K}, count(DISTINCT {target})) FROM train)"
+    return O.with_(*MODEL_CTES) + f"SELECT DISTINCT {entity}, {n} AS n, {n} AS n_targets, {n} AS last, true AS falling FROM train"
+
+
+@register("als_topk_users_lists", _lists_sql("user_id", "item_id"))
+def als_topk_users_lists(spark, sf_dir):
+    return _lists(als_topk_users(spark, sf_dir), "user_id", "item_id")
+
+
+@register("als_topk_items_lists", _lists_sql("item_id", "user_id"))
+def als_topk_items_lists(spark, sf_dir):
+    return _lists(als_topk_items(spark, sf_dir), "item_id", "user_id")
+
+
+RANKS, MAX_ITERS, REG_PARAMS = (10, 15, 20), (10, 15, 20), (0.1, 0.15, 0.2)
+
+
+def _tuned(spark, sf_dir):
+    """(report, best model), fitted once per application and stored."""
+    key = (spark.sparkContext.applicationId, sf_dir, "tuned")
+    if key not in _SAVED or not path_exists(spark, _SAVED[key]):
+        parts, path = _parts(spark, sf_dir), scratch_path(spark, "als-tuned")
+        tune_als(
+            S.final_table(parts, "final_train_val"),
+            S.final_table(parts, "final_val"),
+            ranks=RANKS,
+            max_iters=MAX_ITERS,
+            reg_params=REG_PARAMS,
+            parallelism=8,
+            report_path=path + "/report",
+            model_path=path + "/model",
+        )
+        _SAVED[key] = path
+    path = _SAVED[key]
+    schema = "idx INT, rank INT, max_iter INT, reg_param DOUBLE, rmse DOUBLE, is_best BOOLEAN"
+    return spark.read.csv(path + "/report", header=True, schema=schema), M.load_model(path + "/model")
 
 
 @register("als_tune_report")
 def als_tune_report(spark, sf_dir):
-    report, _, _ = _tune(spark, sf_dir)
-    return report
+    return _tuned(spark, sf_dir)[0]
+
+
+@register(
+    "als_tune_flags",
+    "SELECT CAST(r AS INTEGER) AS rank, CAST(m AS INTEGER) AS max_iter, CAST(g AS DOUBLE) AS reg_param, true AS finite, "
+    "CAST(1 AS BIGINT) AS n_best, true AS best_is_least "
+    f"FROM (SELECT unnest([{', '.join(map(str, RANKS))}]) AS r), (SELECT unnest([{', '.join(map(str, MAX_ITERS))}]) AS m), "
+    f"(SELECT unnest([{', '.join(map(str, REG_PARAMS))}]) AS g)",
+)
+def als_tune_flags(spark, sf_dir):
+    """Every setting once, all scores finite, exactly one best and it is the least."""
+    grid = Window.partitionBy(F.lit(1))  # 27 rows
+    return als_tune_report(spark, sf_dir).select(
+        "rank",
+        "max_iter",
+        "reg_param",
+        _finite("rmse").alias("finite"),
+        F.sum(F.col("is_best").cast("long")).over(grid).alias("n_best"),
+        (F.min(F.when(F.col("is_best"), F.col("rmse"))).over(grid) == F.min("rmse").over(grid)).alias("best_is_least"),
+    )
 
 
 @register("als_tune_best")
 def als_tune_best(spark, sf_dir):
-    report, best, _ = _tune(spark, sf_dir)
-    parts = _parts(spark, sf_dir)
-    refit_rmse = M.rmse_of(best, S.final_table(parts, "final_val"))
+    report, best = _tuned(spark, sf_dir)
+    refit_rmse = M.rmse_of(best, S.final_table(_parts(spark, sf_dir), "final_val"))
     return report.filter("is_best").withColumn("refit_rmse", F.lit(refit_rmse))
 
 
@@ -108,37 +180,84 @@ def ranking_report(spark, sf_dir):
 
 @register("coldstart_rmse")
 def coldstart_rmse(spark, sf_dir):
+    return _cold_start(spark, sf_dir)
+
+
+@register("coldstart_rmse_lsh")
+def coldstart_rmse_lsh(spark, sf_dir):
+    """Approximate neighbours, with the notebook's radius and tables."""
+    return _cold_start(spark, sf_dir, radius=0.8, method="lsh", num_hash_tables=5)
+
+
+def _cold_start(spark, sf_dir, radius=1.5, **how):
     from tessera.operators.features import genre_array
 
     feats = genre_array(fx.item_genres(spark, sf_dir)).select("item_id", "features")
-    return cold_start(fx.interactions(spark, sf_dir), feats, radius=1.5, integral=True, dim=10, **ALS_PARAMS)
+    return cold_start(fx.interactions(spark, sf_dir), feats, radius=radius, integral=True, dim=10, **how, **ALS_PARAMS)
+
+
+def _cold_counts_sql(radius):
+    held, warm = hash_unit_sql("item", "item_id") + " >= 0.8", hash_unit_sql("item", "item_id") + " < 0.8"
+    return (
+        O.with_(
+            O.INTERACTIONS,
+            O.EXPLICIT,
+            O.SPLIT_ROWS,
+            O.ITEM_GENRES,
+            O.GENRE_VEC,
+            O.radius_pairs(radius),
+            f"cold AS (SELECT * FROM fit WHERE {held})",
+            f"warm AS (SELECT * FROM fit WHERE {warm})",
+            "imputed AS (SELECT DISTINCT holdout_id FROM pairs WHERE holdout_id IN (SELECT item_id FROM cold) AND train_id IN (SELECT item_id FROM warm))",
+        )
+        + "SELECT (SELECT count(*) FROM explicit) - (SELECT count(*) FROM fit) AS n_test, "
+        "(SELECT count(DISTINCT item_id) FROM cold) AS n_holdout_items, (SELECT count(*) FROM imputed) AS n_imputed, "
+        "(SELECT count(*) FROM cold WHERE item_id IN (SELECT holdout_id FROM imputed) AND user_id IN (SELECT user_id FROM warm)) AS n_pseudo, "
+        "true AS finite"
+    )
+
+
+def _cold_counts(rows):
+    return rows.select("n_test", "n_holdout_items", "n_imputed", "n_pseudo", (_finite("rmse_coldstart") & _finite("rmse_full")).alias("finite"))
+
+
+@register("coldstart_counts", _cold_counts_sql(1.5))
+def coldstart_counts(spark, sf_dir):
+    return _cold_counts(coldstart_rmse(spark, sf_dir))
+
+
+@register("coldstart_counts_lsh", _cold_counts_sql(0.8))
+def coldstart_counts_lsh(spark, sf_dir):
+    """At r = 0.8 neighbours are equal vectors, so the approximate way finds all of them."""
+    return _cold_counts(coldstart_rmse_lsh(spark, sf_dir))
 
 
 @register("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
     model, parts = _model(spark, sf_dir)
-    path = scratch_path(spark, "als-model")
+    path = scratch_path(spark, "als-copy")
     M.save_model(model, path)
-    loaded = M.load_model(path)
-    return M.predict(loaded, S.final_table(parts, "final_val").select("user_id", "item_id", "rating"))
+    return M.predict(M.load_model(path), _val(parts))
+
 
+@register("model_roundtrip_rows", O.with_(*MODEL_CTES) + "SELECT user_id, item_id, rating, true AS same FROM scored")
+def model_roundtrip_rows(spark, sf_dir):
+    """A saved and loaded model predicts what the model predicts."""
+    ours = als_predict(spark, sf_dir).withColumnRenamed("prediction", "_ours").drop("rating")
+    both = model_roundtrip(spark, sf_dir).join(ours, ["user_id", "item_id"])
+    return both.select("user_id", "item_id", "rating", (F.col("prediction") == F.col("_ours")).alias("same"))
 
-def _mapped(spark, sf_dir):
-    mpath = scratch_path(spark, "idmap-csv")
-    R.write_csv(fx.item_id_map(spark, sf_dir), mpath, header=True)
-    lpath = scratch_path(spark, "labels-csv")
-    R.write_csv(fx.item_labels(spark, sf_dir), lpath, header=True)
-    id_map = R.read_string_csv(spark, mpath, ["item_id", "real_item_id"])
-    labels = R.read_string_csv(spark, lpath, ["real_item_id", "genre"])
-    return FM.factor_genre_map(fx.item_factors(spark, sf_dir), id_map, labels)
+
+def _mapped(spark, sf_dir, keep_labels=None):
+    return FM.factor_genre_map(fx.item_factors(spark, sf_dir), fx.item_id_map(spark, sf_dir), fx.item_labels(spark, sf_dir), keep_labels)
 
 
 MAP_SQL = (
     "mapped AS (SELECT CAST(e.vec_id AS INTEGER) AS item_id, m.real_item_id, l.genre, e.embedding "
     "FROM embeddings e "
-    "JOIN (SELECT CAST(p_partkey AS INTEGER) AS item_id, CAST(p_partkey * 7 + 3 AS INTEGER) AS real_item_id FROM part) m "
+    "JOIN (SELECT CAST(p_partkey AS INTEGER) AS item_id, CAST(p_partkey * 7 + 3 AS BIGINT) AS real_item_id FROM part) m "
     "ON m.item_id = e.vec_id "
-    "JOIN (SELECT CAST(vec_id * 7 + 3 AS INTEGER) AS real_item_id, 'g' || CAST(label AS VARCHAR) AS genre FROM embeddings) l "
+    "JOIN (SELECT CAST(vec_id * 7 + 3 AS BIGINT) AS real_item_id, 'g' || CAST(label AS VARCHAR) AS genre FROM embeddings) l "
     "ON l.real_item_id = m.real_item_id)"
 )
 WIDE_SQL = ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS f{i}" for i in range(RANK))
@@ -148,11 +267,29 @@ def _round_wide(df):
     return df.select(*[r6(c).alias(c) if c.startswith("f") and c[1:].isdigit() else F.col(c) for c in df.columns])
 
 
+def _export(spark, sf_dir, fmt):
+    """The dictionary and the labels come from CSV, the factors are exported and read back."""
+    ids, labels, out = (scratch_path(spark, n) for n in ("idmap-csv", "labels-csv", f"factor-export-{fmt}"))
+    R.write_csv(fx.item_id_map(spark, sf_dir), ids, header=True)
+    R.write_csv(fx.item_labels(spark, sf_dir), labels, header=True)
+    mapped = FM.factor_genre_map(fx.item_factors(spark, sf_dir), R.read_id_map(spark, ids), R.read_string_csv(spark, labels, ["real_item_id", "genre"]))
+    FM.export_wide(mapped, RANK, out, fmt)
+    return _round_wide(FM.read_factor_export(spark, out, fmt))
+
+
 @register("factor_genre_map", O.with_(MAP_SQL) + f"SELECT item_id, real_item_id, genre, {WIDE_SQL} FROM mapped")
 def factor_genre_map(spark, sf_dir):
-    path = scratch_path(spark, "factor-export")
-    FM.export_wide(_mapped(spark, sf_dir), RANK, path)
-    return _round_wide(FM.read_factor_export(spark, path))
+    return _export(spark, sf_dir, "parquet")
+
+
+@register("factor_export_csv", O.with_(MAP_SQL) + f"SELECT item_id, real_item_id, genre, {WIDE_SQL} FROM mapped")
+def factor_export_csv(spark, sf_dir):
+    return _export(spark, sf_dir, "csv")
+
+
+@register("factor_label_subset", O.with_(MAP_SQL) + "SELECT item_id, real_item_id, genre FROM mapped WHERE genre IN ('g1', 'g4')")
+def factor_label_subset(spark, sf_dir):
+    return _mapped(spark, sf_dir, ["g1", "g4"]).select("item_id", "real_item_id", "genre")
 
 
 @register("factor_wide", f"SELECT CAST(vec_id AS INTEGER) AS id, {WIDE_SQL} FROM embeddings")
@@ -165,23 +302,31 @@ def factor_wide(spark, sf_dir):
     O.with_(MAP_SQL) + "SELECT item_id, genre, CAST(dense_rank() OVER (ORDER BY genre) - 1 AS INTEGER) AS label FROM mapped",
 )
 def label_index(spark, sf_dir):
-    return FM.index_labels(_mapped(spark, sf_dir).select("item_id", "genre"))
+    return FM.sort_by_label(FM.index_labels(_mapped(spark, sf_dir).select("item_id", "genre")))
 
 
 @register(
     "label_median",
     O.with_(MAP_SQL)
-    + "SELECT genre, round(median(CAST(embedding[1] AS DOUBLE)), 6) AS f0, round(median(CAST(embedding[2] AS DOUBLE)), 6) AS f1 "
-    "FROM mapped GROUP BY genre",
+    + "SELECT genre, " + ", ".join(f"round(median(CAST(embedding[{i + 1}] AS DOUBLE)), 6) AS f{i}" for i in range(RANK)) + " FROM mapped GROUP BY genre",
 )
 def label_median(spark, sf_dir):
-    m = _mapped(spark, sf_dir).select(
-        "genre", F.col("features")[0].cast("double").alias("f0"), F.col("features")[1].cast("double").alias("f1")
-    )
-    return FM.label_medians(m, "genre", "f0", "f1").select("genre", r6("f0").alias("f0"), r6("f1").alias("f1"))
+    names = [f"f{i}" for i in range(RANK)]
+    wide = _mapped(spark, sf_dir).select("genre", *[F.get(F.col("features"), i).cast("double").alias(n) for i, n in enumerate(names)])
+    return _round_wide(group_medians(wide, "genre", names))
 
 
 @register("factor_pca2d")
 def factor_pca2d(spark, sf_dir):
-    p = FM.project_2d(_mapped(spark, sf_dir))
-    return p.select("item_id", "genre", "x", "y")
+    return FM.project_2d(_mapped(spark, sf_dir)).select("item_id", "genre", "x", "y")
+
+
+@register("factor_pca2d_rows", O.with_(MAP_SQL) + "SELECT item_id, genre, true AS finite FROM mapped")
+def factor_pca2d_rows(spark, sf_dir):
+    return factor_pca2d(spark, sf_dir).select("item_id", "genre", (_finite("x") & _finite("y")).alias("finite"))
+
+
+@register("label_median_2d")
+def label_median_2d(spark, sf_dir):
+    """Per-label median of the projected positions."""
+    return FM.label_medians(factor_pca2d(spark, sf_dir), "genre", "x", "y")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_bucket_sql
+from tessera.functions.hashing import hash_unit_sql
 from tessera.operators import factors as FA
 from tessera.operators import neighbors as N
 from tessera.operators import ranking as RK
@@ -15,7 +15,8 @@ from tessera.sources import fixtures as fx
 from tessera.sources.schemas import GENRE_COLUMNS
 
 R_MAIN, R_NOTEBOOK = 1.5, 0.8
-HOLD_ID = hash_bucket_sql("item", "id") + " >= 8000"
+RANK = 64  # width of the embeddings used as factors in the test data
+HOLD_ID = hash_unit_sql("item", "id") + " >= 0.8"
 
 GENRE_CTES = (O.ITEM_GENRES, O.GENRE_VEC)
 
@@ -32,7 +33,7 @@ EXT_ARRAYS_SQL = "ext_arr AS (SELECT id, list(value ORDER BY pos) AS features FR
 PSEUDO_SQL = (
     f"pseudo AS (SELECT r.user_id, r.item_id, {O.dot_sql('x.features', 'u.embedding')} AS rating "
     f"FROM fit r JOIN ext_arr x ON x.id = r.item_id JOIN embeddings u ON u.vec_id = r.user_id "
-    f"WHERE {hash_bucket_sql('item', 'r.item_id')} >= 8000)"
+    f"WHERE {hash_unit_sql('item', 'r.item_id')} >= 0.8)"
 )
 COLD_CTES = (
     O.INTERACTIONS, O.EXPLICIT, O.SPLIT_ROWS, *GENRE_CTES, O.radius_pairs(R_MAIN), O.FACTOR_ROWS,
@@ -47,7 +48,7 @@ def _exact(spark, sf_dir, radius):
 
 def _imputed(spark, sf_dir):
     hold, train = I.holdout_and_train_vectors(spark, sf_dir)
-    return FA.impute_by_signature(hold, train, fx.item_factors(spark, sf_dir), R_MAIN, integral=True, dim=len(GENRE_COLUMNS))
+    return FA.impute_by_signature(hold, train, fx.item_factors(spark, sf_dir), R_MAIN, integral=True, dim=len(GENRE_COLUMNS), rank=RANK)
 
 
 def _extended(spark, sf_dir):
@@ -66,6 +67,44 @@ def radius_neighbors_exact(spark, sf_dir):
     return _exact(spark, sf_dir, R_MAIN).withColumn("distance", r6("distance"))
 
 
+@register(
+    "radius_neighbors_exact_double",
+    O.with_(*GENRE_CTES, O.radius_pairs(R_MAIN)) + "SELECT holdout_id, train_id, round(distance, 6) AS distance FROM pairs",
+)
+def radius_neighbors_exact_double(spark, sf_dir):
+    """Whole-numbered double vectors; number type and dimension are found out."""
+    hold, train = [d.withColumn("features", F.col("features").cast("array<double>")) for d in I.holdout_and_train_vectors(spark, sf_dir)]
+    pairs = N.exact_radius_join(hold, train, R_MAIN, left_name="holdout_id", right_name="train_id")
+    return pairs.withColumn("distance", r6("distance"))
+
+
+#: Features divided by three: no whole numbers, so the grid join runs.
+THIRDS = "genre_third AS (SELECT item_id, holdout, " + ", ".join(f"{c} / 3.0::DOUBLE AS {c}" for c in GENRE_COLUMNS) + " FROM genre_vec)"
+
+
+@register(
+    "radius_neighbors_grid",
+    O.with_(*GENRE_CTES, THIRDS, O.radius_pairs(R_MAIN / 3).replace("genre_vec", "genre_third"))
+    + "SELECT holdout_id, train_id, round(distance, 6) AS distance FROM pairs",
+)
+def radius_neighbors_grid(spark, sf_dir):
+    third = F.transform("features", lambda x: x / F.lit(3.0))
+    hold, train = [d.withColumn("features", third) for d in I.holdout_and_train_vectors(spark, sf_dir)]
+    pairs = N.exact_radius_join(hold, train, R_MAIN / 3, left_name="holdout_id", right_name="train_id")
+    return pairs.withColumn("distance", r6("distance"))
+
+
+@register(
+    "radius_neighbors_lsh_identical",
+    O.with_(*GENRE_CTES, O.radius_pairs(R_NOTEBOOK)) + "SELECT holdout_id, train_id, round(distance, 6) AS distance FROM pairs",
+)
+def radius_neighbors_lsh_identical(spark, sf_dir):
+    """At r = 0.8 whole-numbered neighbours are equal vectors, which share every bucket: LSH finds all."""
+    hold, train = I.holdout_and_train_vectors(spark, sf_dir)
+    pairs = N.approximate_radius_join(hold, train, R_NOTEBOOK, left_name="holdout_id", right_name="train_id", num_hash_tables=5)
+    return pairs.withColumn("distance", r6("distance"))
+
+
 @register("radius_neighbors_lsh")
 def radius_neighbors_lsh(spark, sf_dir):
     hold, train = I.holdout_and_train_vectors(spark, sf_dir)
@@ -81,7 +120,8 @@ def radius_neighbors_lsh(spark, sf_dir):
     + "SELECT holdout_id, count(*) AS n_neighbors FROM pairs GROUP BY holdout_id",
 )
 def neighbor_counts(spark, sf_dir):
-    return N.neighbor_counts(_exact(spark, sf_dir, R_NOTEBOOK), "holdout_id")
+    hold, train = I.holdout_and_train_vectors(spark, sf_dir)
+    return N.count_neighbors(hold, train, R_NOTEBOOK, left_name="holdout_id", integral=True, dim=len(GENRE_COLUMNS))
 
 
 @register(
@@ -90,7 +130,7 @@ def neighbor_counts(spark, sf_dir):
     + "SELECT min(n) AS min_count, max(n) AS max_count FROM (SELECT holdout_id, count(*) AS n FROM pairs GROUP BY 1)",
 )
 def neighbor_count_extremes(spark, sf_dir):
-    return N.neighbor_count_extremes(N.neighbor_counts(_exact(spark, sf_dir, R_NOTEBOOK), "holdout_id"))
+    return N.neighbor_count_extremes(neighbor_counts(spark, sf_dir))
 
 
 @register(
@@ -111,12 +151,6 @@ def extended_item_factors(spark, sf_dir):
     return _exploded(_extended(spark, sf_dir))
 
 
-PAIR_SCORES_SQL = (
-    f"scores AS (SELECT i.user_id, i.item_id, i.rating, {O.dot_sql('a.embedding', 'b.embedding')} AS score "
-    "FROM interactions i JOIN embeddings a ON a.vec_id = i.item_id JOIN embeddings b ON b.vec_id = i.user_id)"
-)
-
-
 def _pair_scores(spark, sf_dir):
     pairs = fx.interactions(spark, sf_dir).select("user_id", "item_id", "rating")
     return FA.score_pairs(pairs, fx.item_factors(spark, sf_dir), fx.user_factors(spark, sf_dir))
@@ -124,7 +158,7 @@ def _pair_scores(spark, sf_dir):
 
 @register(
     "pair_scores",
-    O.with_(O.INTERACTIONS, PAIR_SCORES_SQL) + "SELECT user_id, item_id, round(score, 6) AS score FROM scores",
+    O.with_(O.INTERACTIONS, O.PAIR_SCORES) + "SELECT user_id, item_id, round(score, 6) AS score FROM scores",
 )
 def pair_scores(spark, sf_dir):
     return _pair_scores(spark, sf_dir).select("user_id", "item_id", r6("score").alias("score"))
@@ -132,18 +166,18 @@ def pair_scores(spark, sf_dir):
 
 @register(
     "topk_per_user",
-    O.with_(O.INTERACTIONS, PAIR_SCORES_SQL)
+    O.with_(O.INTERACTIONS, O.PAIR_SCORES)
     + "SELECT user_id, item_id, round(score, 6) AS score, rank FROM (SELECT *, "
-    "row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM scores) WHERE rank <= 5",
+    "row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM scores) WHERE rank <= 500",
 )
 def topk_per_user(spark, sf_dir):
-    top = FA.top_k_scores(_pair_scores(spark, sf_dir), 5)
+    top = FA.top_k_scores(_pair_scores(spark, sf_dir), 500)
     return top.select("user_id", "item_id", r6("score").alias("score"), "rank")
 
 
 @register(
     "rmse",
-    O.with_(O.INTERACTIONS, PAIR_SCORES_SQL)
+    O.with_(O.INTERACTIONS, O.PAIR_SCORES)
     + "SELECT round(sqrt(avg((rating - score) * (rating - score))), 6) AS rmse, count(*) AS n FROM scores",
 )
 def rmse(spark, sf_dir):
@@ -168,7 +202,7 @@ def pseudo_ratings(spark, sf_dir):
     "augmented_train",
     O.with_(*COLD_CTES)
     + "SELECT user_id, item_id, round(rating, 6) AS rating FROM pseudo UNION ALL "
-    f"SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating FROM fit WHERE {hash_bucket_sql('item', 'item_id')} < 8000",
+    f"SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating FROM fit WHERE {hash_unit_sql('item', 'item_id')} < 0.8",
 )
 def augmented_train(spark, sf_dir):
     train = I.train_rows(spark, sf_dir).select("user_id", "item_id", F.col("rating").cast("double").alias("rating"))
@@ -181,7 +215,7 @@ def augmented_train(spark, sf_dir):
     O.with_(O.INTERACTIONS, O.EXPLICIT, O.SPLIT_ROWS, O.ITEM_GENRES)
     + "SELECT r.item_id, count(*) AS n_ratings, round(avg(r.rating), 6) AS avg_rating, "
     + ", ".join(f"any_value(g.{c}) AS {c}" for c in GENRE_COLUMNS)
-    + f" FROM fit r JOIN item_genres g ON g.item_id = r.item_id WHERE {hash_bucket_sql('item', 'r.item_id')} >= 8000 "
+    + f" FROM fit r JOIN item_genres g ON g.item_id = r.item_id WHERE {hash_unit_sql('item', 'r.item_id')} >= 0.8 "
     "GROUP BY r.item_id",
 )
 def item_inspect(spark, sf_dir):
@@ -190,3 +224,29 @@ def item_inspect(spark, sf_dir):
     return inspect_items(I.holdout_rows(spark, sf_dir), fx.item_genres(spark, sf_dir)).withColumn(
         "avg_rating", r6("avg_rating")
     )
+
+
+@register(
+    "item_inspect_predictions",
+    O.with_(O.INTERACTIONS, O.EXPLICIT, O.SPLIT_ROWS)
+    + f"SELECT r.user_id, r.item_id, r.rating, round({O.dot_sql('a.embedding', 'b.embedding')}, 6) AS score "
+    "FROM fit r LEFT JOIN embeddings a ON a.vec_id = r.item_id LEFT JOIN embeddings b ON b.vec_id = r.user_id "
+    f"WHERE {hash_unit_sql('item', 'r.item_id')} >= 0.8",
+)
+def item_inspect_predictions(spark, sf_dir):
+    from tessera.plans.coldstart import inspect_predictions
+
+    out = inspect_predictions(I.holdout_rows(spark, sf_dir), fx.item_factors(spark, sf_dir), fx.user_factors(spark, sf_dir))
+    return out.withColumn("score", r6("score"))
+
+
+@register(
+    "features_of_rated",
+    O.with_(O.INTERACTIONS, O.EXPLICIT, O.SPLIT_ROWS, *GENRE_CTES)
+    + f"SELECT item_id, {', '.join(GENRE_COLUMNS)} FROM genre_vec WHERE item_id IN "
+    f"(SELECT item_id FROM fit WHERE {hash_unit_sql('item', 'item_id')} < 0.8)",
+)
+def features_of_rated(spark, sf_dir):
+    from tessera.operators.features import features_of_rated as rated
+
+    return rated(fx.item_genres(spark, sf_dir), I.train_rows(spark, sf_dir))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import features as FE
 from tessera.plans import oracle as O
 from tessera.plans.catalog import register
 from tessera.session import scratch_path
@@ -22,7 +23,7 @@ def interactions_load(spark, sf_dir):
 @register(
     "interactions_clean",
     O.with_(O.INTERACTIONS)
-    + "SELECT " + ", ".join(f"TRY_CAST(CAST({c} AS VARCHAR) AS INTEGER) AS {c}" for c in INTERACTION_COLUMNS)
+    + "SELECT " + ", ".join(f"TRY_CAST(CAST({c} AS VARCHAR) AS {'BIGINT' if c.endswith('_id') else 'INTEGER'}) AS {c}" for c in INTERACTION_COLUMNS)
     + " FROM interactions WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL",
 )
 def interactions_clean(spark, sf_dir):
@@ -81,3 +82,26 @@ def genre_json_load(spark, sf_dir):
     fx.genre_documents(fx.item_genres(spark, sf_dir)).write.mode("overwrite").json(path)
     docs = R.read_genre_json(spark, path)
     return docs.select("book_id", *[F.col("genres").getField(k).alias(c) for k, c in zip(GENRE_KEYS, GENRE_COLUMNS)])
+
+
+@register("foreign_names_load", O.with_(O.INTERACTIONS) + f"SELECT {', '.join(c if c != 'item_id' else 'item_id * 7 + 3 AS real_item_id' for c in INTERACTION_COLUMNS)}, item_id FROM interactions")
+def foreign_names_load(spark, sf_dir):
+    """Interactions stored under other names, with a parquet dictionary under other names."""
+    rows_path, map_path = scratch_path(spark, "book-rows"), scratch_path(spark, "book-map")
+    fx.interactions(spark, sf_dir).withColumnRenamed("item_id", "book_id").write.parquet(rows_path)
+    fx.item_id_map(spark, sf_dir).selectExpr("item_id AS book_id_csv", "CAST(real_item_id AS STRING) AS real_book_id").write.parquet(map_path)
+    rows = R.read_interactions(spark, rows_path, {"item_id": "book_id"})
+    id_map = R.read_id_map(spark, map_path, "parquet", {"item_id": "book_id_csv", "real_item_id": "real_book_id"})
+    return rows.join(id_map.select(F.col("item_id").cast("int").alias("item_id"), F.col("real_item_id").cast("int").alias("real_item_id")), "item_id")
+
+
+@register(
+    "id_reindex",
+    O.with_(O.INTERACTIONS)
+    + "SELECT user_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_id, rating FROM interactions",
+)
+def id_reindex(spark, sf_dir):
+    """Ids beyond 32 bits cleaned without loss and made dense for ALS."""
+    far = fx.interactions(spark, sf_dir).select("user_id", (F.col("item_id").cast("long") * 10_000_000_019).cast("string").alias("item_id"), "rating")
+    rows = R.clean_interactions(far)
+    return FE.reindex(rows, FE.dense_ids(rows, "item_id"), "item_id").withColumn("user_id", F.col("user_id").cast("int"))

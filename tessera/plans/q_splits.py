@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_bucket_sql
+from tessera.functions.hashing import hash_unit_sql
 from tessera.operators import splits as S
 from tessera.plans import oracle as O
 from tessera.plans.catalog import register
@@ -27,7 +27,7 @@ def active_users(spark, sf_dir):
     "downsample_users",
     O.with_(
         O.INTERACTIONS,
-        f"sampled AS (SELECT * FROM interactions WHERE {hash_bucket_sql('sample', 'user_id')} < 1000)",
+        f"sampled AS (SELECT * FROM interactions WHERE {hash_unit_sql('sample', 'user_id')} < 0.1)",
     )
     + f"SELECT {COLS} FROM sampled WHERE user_id IN "
     "(SELECT user_id FROM sampled GROUP BY user_id HAVING count(*) >= 10)",
@@ -39,8 +39,8 @@ def downsample_users(spark, sf_dir):
 @register(
     "split_users",
     O.with_(O.INTERACTIONS)
-    + f"""SELECT user_id, CASE WHEN b < 6000 THEN 'train' WHEN b < 8000 THEN 'val' ELSE 'test' END AS split
-FROM (SELECT user_id, {hash_bucket_sql('split', 'user_id')} AS b FROM (SELECT DISTINCT user_id FROM interactions))""",
+    + f"""SELECT user_id, CASE WHEN b < 0.6 THEN 'train' WHEN b < 0.8 THEN 'val' ELSE 'test' END AS split
+FROM (SELECT user_id, {hash_unit_sql('split', 'user_id')} AS b FROM (SELECT DISTINCT user_id FROM interactions))""",
 )
 def split_users(spark, sf_dir):
     return S.split_users(fx.interactions(spark, sf_dir))
@@ -60,7 +60,7 @@ def split_items(spark, sf_dir):
     "split_rows",
     O.with_(O.INTERACTIONS, O.EXPLICIT)
     + f"""SELECT user_id, item_id, rating,
-  CASE WHEN {hash_bucket_sql('row', 'user_id', 'item_id')} < 8000 THEN 'fit' ELSE 'test' END AS split
+  CASE WHEN {hash_unit_sql('row', 'user_id', 'item_id')} < 0.8 THEN 'fit' ELSE 'test' END AS split
 FROM explicit""",
 )
 def split_rows(spark, sf_dir):
@@ -72,7 +72,7 @@ def split_rows(spark, sf_dir):
     "user_half_split",
     O.with_(O.INTERACTIONS, O.PARTS)
     + """SELECT user_id, item_id, CAST(idx AS BIGINT) AS idx,
-  CAST(count(*) OVER (PARTITION BY user_id) AS BIGINT) AS n, CAST(half AS INTEGER) AS half FROM held""",
+  CAST(n AS BIGINT) AS n, CAST(CASE WHEN idx <= ceil(n / 2) THEN 1 ELSE 2 END AS INTEGER) AS half FROM held""",
 )
 def user_half_split(spark, sf_dir):
     rows = fx.interactions(spark, sf_dir).filter(S.user_split_col() != "train").select("user_id", "item_id")
@@ -84,7 +84,7 @@ def user_half_split(spark, sf_dir):
     O.with_(O.INTERACTIONS, O.PARTS) + f"SELECT {COLS} FROM parts WHERE part IN ('train', 'val_train')",
 )
 def split_final_train(spark, sf_dir):
-    return S.final_table(S.assign_parts(fx.interactions(spark, sf_dir)), "final_train_val")
+    return S.split_table(fx.interactions(spark, sf_dir), "final_train_val")
 
 
 @register(

@@ -1,17 +1,20 @@
 """Session construction and shared-storage locations.
 
 Scratch tables and checkpoints live under the directory the cluster names in
-``spark.checkpoint.dir``.  Only when that is unset (local runs, tests) do we
-create our own directory and register it.
+``spark.checkpoint.dir``.  There is no fallback to a machine-local folder: a
+session without that setting is refused as soon as something must be written.
+``build_session`` sets a folder of its own only for a local master where
+the setting is absent (tests, the bench).
 """
 
 from __future__ import annotations
 
-import os
+import hashlib
 import tempfile
+import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -42,6 +45,8 @@ def build_session(
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
+    if master and master.startswith("local") and "spark.checkpoint.dir" not in conf:
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tessera-ckpt-")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -51,18 +56,19 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint directory; registers a local one only if unset."""
+    """The shared checkpoint directory, registered with the context."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise ValueError(
                 "spark.checkpoint.dir is not set: point it to a folder shared by all executors "
                 "(checkpoints and written intermediate tables go there)"
             )
+        # One machine, one folder: driver and executors are the same process.
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -72,47 +78,57 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path for a written intermediate table.
 
     Tables of one application share the folder
-    ``<checkpoint dir>/tables/<application id>/``.
+    ``<checkpoint dir>/tables/<application id>/``; ``clear_scratch`` removes it.
     """
-    base = checkpoint_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
-    return f"{base}/tables/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _tables_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's file system (local, HDFS, object stores)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _hadoop_path(spark, path)
     return bool(fs.exists(jpath))
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediate tables.
+
+    Call it when no result that reads them is needed any more."""
+    fs, jpath = _hadoop_path(spark, _tables_folder(spark))
+    fs.delete(jpath, True)
+    with _LOCK:
+        _TABLES.clear()
+
+
 _TABLES: dict[tuple[str, str], str] = {}
+_LOCK = threading.RLock()
 
 
-def materialized(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> "DataFrame":  # noqa: F821
+def materialized(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``build()`` once per application to the shared folder and read it back.
 
     Used for derived inputs that many queries read (like a stored source
     table): later readers get a plain parquet scan with filter pushdown and
-    column pruning instead of recomputing the derivation.
+    column pruning instead of recomputing the derivation.  Safe under driver
+    threads: a table is written by the first caller, others wait for it.
     """
     k = (spark.sparkContext.applicationId, key)
-    path = _TABLES.get(k)
-    if path is None or not path_exists(spark, path + "/_SUCCESS"):
-        path = scratch_path(spark, key.replace("/", "_").replace(":", "_"))
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        _TABLES[k] = path
+    with _LOCK:
+        path = _TABLES.get(k)
+        if path is None or not path_exists(spark, path + "/_SUCCESS"):
+            name = "".join(c if c.isalnum() else "_" for c in key.split(":")[0])
+            path = scratch_path(spark, f"{name}-{hashlib.md5(key.encode()).hexdigest()[:8]}")
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
+            _TABLES[k] = path
     return spark.read.parquet(path)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers can test for existence."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -1,27 +1 @@
 """Sources and sinks: parquet, CSV (with and without header), JSON, models."""
-
-from tessera.sources.readers import (
-    clean_interactions,
-    csv_to_parquet,
-    explicit_ratings,
-    flatten_genres,
-    read_genre_json,
-    read_interactions,
-    read_interactions_csv,
-    read_string_csv,
-    write_csv,
-    write_parquet,
-)
-
-__all__ = [
-    "clean_interactions",
-    "csv_to_parquet",
-    "explicit_ratings",
-    "flatten_genres",
-    "read_genre_json",
-    "read_interactions",
-    "read_interactions_csv",
-    "read_string_csv",
-    "write_csv",
-    "write_parquet",
-]

@@ -13,31 +13,40 @@ from tessera.sources.schemas import (
     GENRE_COLUMNS,
     GENRE_JSON_SCHEMA,
     GENRE_KEYS,
+    ID_MAP_COLUMNS,
     INTERACTION_COLUMNS,
     INTERACTIONS_DDL,
 )
 
 
-def read_interactions(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet interactions with the five integer columns."""
-    return spark.read.parquet(path).select(*INTERACTION_COLUMNS)
+def renamed(df: DataFrame, names: dict[str, str] | None) -> DataFrame:
+    """``df`` with its own column names (values) read as the library's (keys)."""
+    for ours, theirs in (names or {}).items():
+        df = df.withColumnRenamed(theirs, ours)
+    return df
+
+
+def read_interactions(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:
+    """Parquet interactions with the five integer columns.
+
+    ``names`` gives the names of the stored columns, e.g. ``{"item_id": "book_id"}``."""
+    return renamed(spark.read.parquet(path), names).select(*INTERACTION_COLUMNS)
 
 
 def clean_interactions(df: DataFrame, keys=("user_id", "item_id", "rating")) -> DataFrame:
-    """Cast every interaction column to int and drop rows whose keys are null.
+    """Cast the interaction columns to whole numbers and drop rows whose keys are null.
 
     ``try_cast`` turns malformed values into NULL instead of failing under ANSI
-    mode; rows without user, item or rating are then removed.  Casts of columns
-    that are already int are no-ops, so parquet filter pushdown still applies.
+    mode; rows without user, item or rating are then removed.  Ids are cast to
+    64 bits, so no well-formed id is lost (``features.dense_ids`` makes ids that
+    do not fit 32 bits fit for ALS); the other columns to 32.  Columns that are
+    already int are left alone, so parquet filter pushdown still applies.
     """
+    kinds = dict(df.dtypes)
     present = [c for c in INTERACTION_COLUMNS if c in df.columns]
-    out = df.select(
-        *[
-            (F.col(c) if dict(df.dtypes)[c] == "int" else F.col(c).try_cast("int")).alias(c)
-            for c in present
-        ]
-    )
-    return out.dropna(subset=[k for k in keys if k in present])
+    wide = {"user_id", "item_id"}
+    cast = lambda c: F.col(c) if kinds[c] == "int" or kinds[c] == "bigint" and c in wide else F.col(c).try_cast("bigint" if c in wide else "int")
+    return df.select(*[cast(c).alias(c) for c in present]).dropna(subset=[k for k in keys if k in present])
 
 
 def explicit_ratings(df: DataFrame, rating: str = "rating") -> DataFrame:
@@ -50,6 +59,16 @@ def read_interactions_csv(spark: SparkSession, path: str, header: bool = False)
     return spark.read.csv(path, header=header, schema=INTERACTIONS_DDL, mode="PERMISSIVE")
 
 
+def read_id_map(spark: SparkSession, path: str, fmt: str = "csv", names: dict[str, str] | None = None) -> DataFrame:
+    """The id dictionary (item_id, real_item_id) from CSV with a header or from parquet.
+
+    ``names`` gives the stored names, e.g. ``{"item_id": "book_id_csv", "real_item_id": "real_book_id"}``.
+    Ids are 64-bit; rows without either id go."""
+    stored = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", "true").csv(path)
+    df = renamed(stored, names)
+    return df.select(*[F.col(c).try_cast("bigint").alias(c) for c in ID_MAP_COLUMNS]).dropna()
+
+
 def read_string_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A CSV with a header row whose columns are read as strings (S3)."""
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
@@ -70,7 +89,7 @@ def read_genre_json(spark: SparkSession, path: str) -> DataFrame:
 def flatten_genres(docs: DataFrame, id_col: str = "book_id", out_id: str = "real_item_id") -> DataFrame:
     """Struct of genre counts -> ten int columns, absent or null -> 0, by name."""
     return docs.select(
-        F.col(id_col).try_cast("int").alias(out_id),
+        F.col(id_col).try_cast("bigint").alias(out_id),
         *[
             F.coalesce(F.col("genres").getField(k), F.lit(0)).cast("int").alias(c)
             for k, c in zip(GENRE_KEYS, GENRE_COLUMNS)
@@ -78,12 +97,5 @@ def flatten_genres(docs: DataFrame, id_col: str = "book_id", out_id: str = "real
     ).dropna(subset=[out_id])
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", str(header).lower()).csv(path)

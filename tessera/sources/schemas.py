@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-USER, ITEM, RATING = "user_id", "item_id", "rating"
-
 # Raw interaction columns, in file order.
 INTERACTION_COLUMNS = ["user_id", "item_id", "is_read", "rating", "is_reviewed"]
 INTERACTIONS_DDL = "user_id INT, item_id INT, is_read INT, rating INT, is_reviewed INT"
-INTERACTIONS_SCHEMA = T.StructType(
-    [T.StructField(c, T.IntegerType(), True) for c in INTERACTION_COLUMNS]
-)
 
 # --- Fixed values (must equal the genre documents' field names) -------------
 # Keys of the nested ``genres`` object in the genre JSON documents, and the
@@ -54,4 +49,3 @@ GENRE_JSON_SCHEMA = T.StructType(
 )
 
 ID_MAP_COLUMNS = ["item_id", "real_item_id"]
-LABEL_COLUMNS = ["real_item_id", "genre"]

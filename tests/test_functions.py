@@ -5,24 +5,33 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import dot, euclidean_distance
-from tessera.functions.hashing import hash_bucket, hash_bucket_sql
+from tessera.functions.hashing import hash_unit, hash_unit_sql
 
 
 @pytest.mark.parametrize("seed", ["sample", "split", "item", "row"])
-def test_hash_bucket_matches_duckdb(spark, seed):
+def test_hash_position_matches_duckdb(spark, seed):
     rnd = random.Random(seed)
     ids = [rnd.randint(-(2**31), 2**31 - 1) for _ in range(300)] + [0, 1, 7, 123456]
     pairs = [(i, rnd.randint(0, 10**6)) for i in ids]
     df = spark.createDataFrame(pairs, "a int, b int")
-    got1 = {(r.a, r.b): r.h for r in df.select("a", "b", hash_bucket(seed, "a").alias("h")).collect()}
-    got2 = {(r.a, r.b): r.h for r in df.select("a", "b", hash_bucket(seed, "a", "b").alias("h")).collect()}
+    got1 = {(r.a, r.b): r.h for r in df.select("a", "b", hash_unit(seed, "a").alias("h")).collect()}
+    got2 = {(r.a, r.b): r.h for r in df.select("a", "b", hash_unit(seed, "a", "b").alias("h")).collect()}
     con = duckdb.connect()
     con.execute("CREATE TABLE t(a INTEGER, b INTEGER)")
     con.executemany("INSERT INTO t VALUES (?, ?)", pairs)
-    rows = con.execute(f"SELECT a, b, {hash_bucket_sql(seed, 'a')}, {hash_bucket_sql(seed, 'a', 'b')} FROM t").fetchall()
+    rows = con.execute(f"SELECT a, b, {hash_unit_sql(seed, 'a')}, {hash_unit_sql(seed, 'a', 'b')} FROM t").fetchall()
     for a, b, h1, h2 in rows:
         assert got1[(a, b)] == h1 and got2[(a, b)] == h2
-    assert all(0 <= v < 10000 for v in got1.values())
+    assert all(0 <= v < 1 for v in got1.values()) and len(set(got1.values())) == len(set(ids))
+
+
+def test_small_fractions_are_not_rounded_away(spark):
+    from tessera.operators import splits as S
+
+    users = spark.range(2_000_000).withColumnRenamed("id", "user_id")
+    for fraction in (1e-5, 4e-5, 1.5e-4):
+        n = S.sample_users(users, fraction, min_interactions=1).count()
+        assert abs(n - 2_000_000 * fraction) < 5 * (2_000_000 * fraction) ** 0.5
 
 
 def test_array_functions(spark):

@@ -33,8 +33,13 @@ def test_factor_map_job(spark):
     R.write_csv(fx.item_id_map(spark, SF001), idp)
     labels = fx.item_id_map(spark, SF001).select("real_item_id", F.concat(F.lit("g"), (F.col("item_id") % 3).cast("string")).alias("genre"))
     R.write_csv(labels, labp)
-    med = jobs.factor_map_job(spark, mpath, idp, labp, outp)
+    posp = scratch_path(spark, "positions")
+    med = jobs.factor_map_job(spark, mpath, idp, labp, outp, positions_path=posp)
     assert med.count() == 3
+    pos = spark.read.parquet(posp)
+    assert pos.columns == ["item_id", "real_item_id", "genre", "label", "x", "y"] and pos.count() == model.itemFactors.count()
+    plain = jobs.factor_map_job(spark, mpath, idp, labp, outp)
+    assert {r.genre for r in plain.collect()} == {r.genre for r in med.collect()}
     wide = spark.read.parquet(outp)
     assert {"f0", "f1", "f2", "genre"} <= set(wide.columns)
 
@@ -77,6 +82,16 @@ def test_tune_evaluate_and_cold_start_jobs(spark):
     r = jobs.cold_start_job(spark, src, genres_path, idmap_path, radius=1.5, rank=3, max_iter=3, seed=1).first()
     assert math.isfinite(r.rmse_coldstart) and math.isfinite(r.rmse_full) and r.n_pseudo > 0
 
+    # other names, dictionary as parquet, approximate neighbours
+    books, ids = scratch_path(spark, "books"), scratch_path(spark, "book-ids")
+    fx.interactions(spark, SF001).withColumnRenamed("item_id", "book_id").write.parquet(books)
+    fx.item_id_map(spark, SF001).toDF("book_id_csv", "real_book_id").write.parquet(ids)
+    q = jobs.cold_start_job(
+        spark, books, genres_path, ids, radius=0.8, names={"item_id": "book_id"}, id_map_format="parquet",
+        id_map_names={"item_id": "book_id_csv", "real_item_id": "real_book_id"}, method="lsh", rank=3, max_iter=3, seed=1,
+    ).first()
+    assert math.isfinite(q.rmse_coldstart) and q.n_holdout_items == r.n_holdout_items and q.n_imputed <= r.n_imputed
+
 
 def test_factor_map_keeps_label_subset(spark):
     from tessera.plans import factor_map as FM

@@ -15,7 +15,8 @@ def _vecs(spark, rows):
 def test_lattice_offset_counts():
     assert len(N.lattice_offsets(10, 0.8)) == 1
     assert len(N.lattice_offsets(10, 1.5)) == 1 + 20 + 180
-    assert all(d2 < 1.5 * 1.5 for _, d2 in N.lattice_offsets(3, 1.5))
+    assert all(sum(v * v for v in d) < 1.5 * 1.5 for d in N.lattice_offsets(3, 1.5))
+    assert N.lattice_offsets(10, 3.5, most=2000) is None
 
 
 def test_radius_edge_real_valued(spark):
@@ -122,3 +123,71 @@ def test_imputed_only_for_items_with_factored_neighbours(spark):
     factors = spark.createDataFrame([(10, [1.0, 3.0]), (11, [2.0, 2.0])], "id int, features array<float>")
     got = {r.id: r.features for r in FA.impute_by_signature(cold, warm, factors, 1.5).collect()}
     assert got == {1: [1.0, 3.0], 2: [2.0, 2.0]}
+
+
+DOUBLES = "item_id int, features array<double>"
+
+
+def test_whole_numbers_as_doubles_negative_zero_and_mixed_types(spark):
+    left = spark.createDataFrame([(1, [1.0, 0.0, 2.0]), (2, [-0.0, 0.0, 0.0]), (3, [5.0, 5.0, 5.0])], DOUBLES)
+    right = _vecs(spark, [(10, [1, 0, 2]), (11, [0, 0, 0]), (12, [1, 1, 2])])
+    got = {(r.left_id, r.right_id) for r in N.exact_radius_join(left, right, 1.5).collect()}
+    assert got == {(1, 10), (1, 12), (2, 11)}
+    a = spark.createDataFrame([(1, [-0.0, 0.25])], DOUBLES)
+    b = spark.createDataFrame([(2, [0.0, 0.25]), (3, [0.0, float("nan")]), (4, [None, 0.25]), (5, None), (6, [0.0])], DOUBLES)
+    assert {r.right_id for r in N.exact_radius_join(a, b, 1.0).collect()} == {2}
+    factors = spark.createDataFrame([(2, [1.0, 3.0])], "id int, features array<float>")
+    assert [tuple(r) for r in FA.impute_by_signature(a, b, factors, 1.0).collect()] == [(1, [1.0, 3.0])]
+
+
+@pytest.mark.parametrize("dim,radius", [(10, 3.5), (14, 1.2), (1, 0.5)])
+def test_wide_vectors_and_large_radii_match_brute_force(spark, dim, radius):
+    rnd = random.Random(dim)
+    make = lambda at, n, f: [(at + i, [f() for _ in range(dim)]) for i in range(n)]
+    for f in (lambda: float(rnd.randint(0, 2)), lambda: rnd.uniform(0, 1.5)):
+        left, right = make(0, 40, f), make(100, 50, f)
+        got = N.exact_radius_join(spark.createDataFrame(left, DOUBLES), spark.createDataFrame(right, DOUBLES), radius)
+        assert {(r.left_id, r.right_id) for r in got.collect()} == _brute(left, right, radius)
+
+
+def test_counts_without_pairs_equal_counted_pairs(spark):
+    rnd = random.Random(9)
+    left = _vecs(spark, [(i % 50, [rnd.randint(0, 1) for _ in range(3)]) for i in range(60)])
+    right = _vecs(spark, [(100 + i, [rnd.randint(0, 1) for _ in range(3)]) for i in range(80)])
+    counts = N.count_neighbors(left, right, 1.2)
+    pairs = N.exact_radius_join(left, right, 1.2)
+    # an id with two vectors counts a neighbour once for each of them, as pairs with two distances
+    want = N.neighbor_counts(pairs.select("left_id", "right_id"))
+    assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in want.collect()}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "right_ids" not in plan and "right_id#" not in plan
+
+
+def test_a_vector_shared_by_a_third_is_written_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    n = 6000
+    rows = [(i, [1, 1] if i % 3 == 0 else [i, -i]) for i in range(n)]
+    df = _vecs(spark, rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        lv = N._vectors(df, "item_id", "features")
+        pairs = N._expanded(N.vector_pairs(lv, lv, 0.5), lv, lv, "a", "b", chunk_ids=250)
+        per_task = pairs.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    total = sum(r["count"] for r in per_task)
+    assert total == (n // 3) ** 2 + (n - n // 3)
+    assert len(per_task) >= 16 and max(r["count"] for r in per_task) < total / 4
+
+
+def test_lsh_imputation_equals_exact_for_equal_vectors(spark):
+    rnd = random.Random(6)
+    cold = _vecs(spark, [(i, [rnd.randint(0, 2) for _ in range(3)]) for i in range(30)])
+    warm = _vecs(spark, [(100 + i, [rnd.randint(0, 2) for _ in range(3)]) for i in range(40)])
+    factors = spark.createDataFrame([(100 + i, [float(i), 1.0]) for i in range(40)], "id int, features array<float>")
+    find = lambda a, b: N.approximate_vector_pairs(a, b, 0.8, num_hash_tables=5)
+    a = {r.id: r.features for r in FA.impute_by_signature(cold, warm, factors, 0.8).collect()}
+    b = {r.id: r.features for r in FA.impute_by_signature(cold, warm, factors, 0.8, find_pairs=find).collect()}
+    assert a == b and a

@@ -96,3 +96,29 @@ def test_tuning_picks_minimum_and_ranking_metric(spark):
     report2, _, idx2 = tune_als(train, val, ranks=(2,), max_iters=(3,), reg_params=(0.1, 0.3), parallelism=2, metric="ndcg_at_k", top_k=20)
     rows2 = report2.collect()
     assert max(rows2, key=lambda r: (r.ndcg_at_k, -r.idx)).idx == idx2
+
+
+def test_block_counts_follow_the_data_not_the_cluster():
+    assert [M.block_count(n) for n in (0, 1, 100_000, 600_000, 10_000_000)] == [1, 1, 1, 6, 32]
+    assert M.block_count(10**9) == 200 and M.block_count(10**12) == M.MOST_BLOCKS
+
+
+def test_scoring_layout_gives_the_same_lists(spark):
+    parts = S.assign_parts(fx.interactions(spark, SF001))
+    model = M.fit_als(S.final_table(parts, "final_train_val"), rank=4, max_iter=3, seed=3)
+    laid = M.scoring_model(model)
+    assert laid.itemFactors.rdd.getNumPartitions() == 1
+    a = {r.user_id: [(x.item_id, x.rating) for x in r.recommendations] for r in model.recommendForAllUsers(9).collect()}
+    b = {r.user_id: [(x.item_id, x.rating) for x in r.recommendations] for r in laid.recommendForAllUsers(9).collect()}
+    assert a.keys() == b.keys()
+    for u in a:
+        assert [round(s, 5) for _, s in a[u]] == [round(s, 5) for _, s in b[u]]
+
+
+def test_readers_take_foreign_names(spark):
+    path, ids = scratch_path(spark, "books"), scratch_path(spark, "book-ids")
+    fx.interactions(spark, SF001).withColumnRenamed("item_id", "book_id").write.parquet(path)
+    assert "item_id" in R.read_interactions(spark, path, {"item_id": "book_id"}).columns
+    spark.createDataFrame([("1", "x"), ("2", "4000000000")], "book_id_csv string, book_id string").write.option("header", "true").csv(ids)
+    got = R.read_id_map(spark, ids, "csv", {"item_id": "book_id_csv", "real_item_id": "book_id"})
+    assert [tuple(r) for r in got.collect()] == [(2, 4000000000)]

@@ -98,3 +98,35 @@ def test_parts_union_is_input(spark):
     tv = S.final_table(S.assign_parts(df), "final_train_val")
     v = S.final_table(S.assign_parts(df), "final_val")
     assert tv.join(v, ["user_id", "item_id"]).count() == 0
+
+
+def test_split_table_equals_filtered_parts(spark):
+    df = _rows(spark, {u: 1 + u % 9 for u in range(1, 200)})
+    parts = S.assign_parts(df)
+    for name in S.PART_SETS:
+        a, b = S.split_table(df, name), S.final_table(parts, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stored_parts_are_found_by_all_their_parameters(spark):
+    df = _rows(spark, {u: 2 for u in range(1, 200)})
+    a = S.parts_table(spark, df, "same-key").groupBy("part").count().collect()
+    b = S.parts_table(spark, df, "same-key", fractions=(0.0, 0.5, 0.5)).groupBy("part").count().collect()
+    assert {r.part for r in a} == {"train", "val", "val_train", "test", "test_train"}
+    assert {r.part for r in b} == {"val", "val_train", "test", "test_train"}
+
+
+def test_clean_keeps_large_ids(spark):
+    raw = spark.createDataFrame([("3000000000", "9223372036854775807", "4"), ("1", "99999999999999999999", "4")], "user_id string, item_id string, rating string")
+    rows = clean_interactions(raw).collect()
+    assert [(r.user_id, r.item_id, r.rating) for r in rows] == [(3000000000, 9223372036854775807, 4)]
+
+
+def test_dense_ids_for_strings_and_large_numbers(spark):
+    from tessera.operators.features import dense_ids, reindex
+
+    df = spark.createDataFrame([("u9", 2**40, 1), ("u1", 2**40, 2), ("u1", -5, 3), (None, 7, 4)], "user_id string, item_id long, rating int")
+    users = dense_ids(df, "user_id")
+    assert {(r.user_id, r.idx) for r in users.collect()} == {("u1", 0), ("u9", 1)} and dict(users.dtypes)["idx"] == "int"
+    out = reindex(reindex(df, users, "user_id"), dense_ids(df, "item_id"), "item_id")
+    assert {tuple(r) for r in out.collect()} == {(1, 2, 1), (0, 2, 2), (0, 0, 3)} and out.columns == df.columns
