@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ WINDOW = 2048
 END_ID = 1
 #: Tail tokens of one shard: bounds the index, and the quadratic work of looking up every tail.
 SHARD_TOKENS = 1 << 18
-#: Remembered words of a tokenizer cache generation; two generations live at a time.
+#: Words that a task's table of known words may hold between runs.
 CACHE_WORDS = 600_000
 #: Text that is encoded at a time, in characters.
 RUN_BYTES = 1 << 23
@@ -41,12 +42,15 @@ K1, B = 1.2, 0.75
 
 
 class WordEncoder:
-    """Token ids of texts through a cache of words, as little-endian bytes.
+    """Token ids of texts through a table of known words.
 
     Correct for tokenizers whose pre-tokenizer drops white space and never joins across
     it: then the ids of a text are those of its space-separated words in a row.  With
     ``letter_runs`` (lower-casing byte-level BPE that keeps runs of letters and runs of signs
-    apart) a word of letters and the signs after it go straight to the merge model.
+    apart) a word of letters goes by its lower-case form, and the signs after it by themselves.
+
+    The table is a list of words and their ids one after the other; Arrow finds words
+    in it, so Python touches new words only.  Word 0 is the empty one.
     """
 
     def __init__(self, model: str, words: int = CACHE_WORDS) -> None:
@@ -61,65 +65,76 @@ class WordEncoder:
         self.letter_runs = "Lowercase" in kinds and any(r"[\p{L}]+|" in x and r"[^\s\p{L}\p{N}]+" in x for x in split)
         self.kind = id_type(self.tokenizer)
         self.code = "H" if self.kind == "<u2" else "I"
-        self.words, self.young, self.old = words, {}, {}
+        self.most = words
+        self.words = pa.array([""], pa.string())
+        self.flat, self.stop = np.zeros(0, self.kind), np.zeros(1, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Texts without nulls -> (ids one after the other, first id of every text and the end)."""
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
-        known = self._ids(coded.dictionary)
-        at = coded.indices.to_numpy()
-        flat = np.frombuffer(b"".join(known), self.kind)
-        size = np.fromiter(map(len, known), np.int64, len(known)) // flat.itemsize
-        first = np.cumsum(size) - size
-        length = size[at]
+        parts = self._parts(coded.dictionary)
+        at = parts[coded.indices.to_numpy()].reshape(-1)
+        length = np.diff(self.stop, prepend=0)[at]
         stop = np.cumsum(length)
-        from_ = np.repeat((first[at] - (stop - length)).astype(np.int32), length)
-        from_ += np.arange(len(from_), dtype=np.int32)
-        bounds = np.concatenate(([0], stop))[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        return flat[from_], bounds
-
-    def _ids(self, words: pa.Array) -> list[bytes]:
-        """Ids of distinct words.  A word of letters goes by its lower-case form, with the signs after it apart."""
+        take = np.repeat((self.stop[at] - stop).astype(np.int32), length)
+        take += np.arange(len(take), dtype=np.int32)
+        ends = np.concatenate(([0], stop[parts.shape[1] - 1 :: parts.shape[1]]))
+        ids = self.flat[take]
+        if len(self.words) > self.most:
+            self._forget(np.unique(parts))
+        return ids, ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+
+    def _parts(self, words: pa.Array) -> np.ndarray:
+        """For every distinct word the places of its parts in the table, one row a word."""
         if not self.letter_runs:
-            return self._known(words.to_pylist())
+            return self._places(words).reshape(-1, 1)
         core = pc.utf8_rtrim(words, characters=SIGNS)
         plain = pc.and_(pc.utf8_is_alpha(core), pc.invert(pc.match_substring_regex(core, "[^\\x00-\\x{ff}]")))
         key = pc.if_else(plain, pc.utf8_lower(core), words).dictionary_encode()
-        known = self._known(key.dictionary.to_pylist())
-        out = [known[k] for k in key.indices.to_pylist()]
-        ended = np.flatnonzero(pc.and_(plain, pc.not_equal(core, words)).to_numpy(zero_copy_only=False))
-        tails = [w[len(c) :] for w, c in zip(words.take(pa.array(ended)).to_pylist(), core.take(pa.array(ended)).to_pylist())]
-        kinds = sorted(set(tails))
-        of = dict(zip(kinds, self._known(kinds)))
-        for k, tail in zip(ended.tolist(), tails):
-            out[k] += of[tail]
+        out = np.zeros((len(words), 2), np.int64)
+        out[:, 0] = self._places(key.dictionary)[key.indices.to_numpy()]
+        ended = pc.and_(plain, pc.not_equal(core, words))
+        # What stands after the letters; a letter is never a sign, so the longest match ends there.
+        tail = pc.replace_substring_regex(words.filter(ended), LETTERS, "").dictionary_encode()
+        out[ended.to_numpy(zero_copy_only=False), 1] = self._places(tail.dictionary)[tail.indices.to_numpy()]
         return out
 
-    def _known(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words from the cache, which learns those it lacks."""
-        young, old, out, new = self.young, self.old, [], []
-        for w in words:
-            ids = young.get(w)
-            if ids is None:
-                ids = old.get(w)
-                if ids is None:
-                    ids = self._merged(w)
-                    if ids is None:
-                        new.append((len(out), w))
-                if ids is not None:
-                    young[w] = ids
-            out.append(ids)
-        if new:
-            for (k, w), e in zip(new, self.tokenizer.encode_batch_fast([w for _, w in new], add_special_tokens=False)):
-                out[k] = young[w] = self.pack(e.ids)
-        if len(young) > self.words:
-            self.old, self.young = young, {}
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words in the table, which learns those it lacks."""
+        found = pc.index_in(words, value_set=self.words)
+        lacking = pc.is_null(found)
+        place = pc.fill_null(found, 0).to_numpy().astype(np.int64)
+        new = words.filter(lacking)
+        if len(new):
+            blobs = self._learn(new.to_pylist())
+            place[lacking.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+            size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // self.flat.itemsize
+            self.stop = np.concatenate((self.stop, len(self.flat) + np.cumsum(size)))
+            self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(blobs), self.kind)))
+            self.words = pa.concat_arrays([self.words, new])
+        return place
+
+    def _forget(self, used: np.ndarray) -> None:
+        """A full table keeps the words of the last run."""
+        used = used[used > 0]
+        length = np.diff(self.stop, prepend=0)[used]
+        stop = np.cumsum(length)
+        self.flat = self.flat[np.repeat(self.stop[used] - stop, length) + np.arange(stop[-1] if len(stop) else 0)]
+        self.stop = np.concatenate(([0], stop))
+        self.words = pa.concat_arrays([pa.array([""], pa.string()), self.words.take(pa.array(used))])
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        out = [self._merged(w) for w in words]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        if rest:
+            for k, e in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
+                out[k] = self.pack(e.ids)
         return out
 
     def _merged(self, word: str) -> bytes | None:
         """Ids of a lower-case word of letters up to U+00FF straight from the merge model; None for any other."""
-        if not self.letter_runs or not word.isalpha():
+        if not self.letter_runs or not word.isalpha() or not word.islower():
             return None
         if not word.isascii():
             if max(word) > "\xff":
@@ -133,6 +148,7 @@ class WordEncoder:
 
 #: Signs that may follow a word (no apostrophe: it begins contractions; no "<": it begins special tokens).
 SIGNS = ".,;:!?%$&*#|)\"-+/="
+LETTERS = "^.*[^" + re.escape(SIGNS) + "]"
 #: Byte-level BPE writes a byte as its own character if that is visible, else as one from U+0100 on.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in set(_VISIBLE))}

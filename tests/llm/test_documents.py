@@ -147,6 +147,7 @@ def test_word_encoder_equals_whole_text_encoding():
     tok, enc = Tokenizer.from_str(model), packing.WordEncoder(model, words=50)
     rng = random.Random(0)
     texts = ["", " \n ", "aé, Éa! ª. ñ- b, ö", "don't 'S we'LL <|endoftext|>x <|startoftext|> İΣ ΑΣ' 12 3½ 你好 ﬁ\x0b\x1c\x85 a\tb", "a... b.,c (d) \"e\"! f!! g's."]
+    texts += ["ab.,", "ab\".c", "ªº. µ, ÿ!", "İ. Σ, ſ"]
     texts += ["".join(rng.choice("ab É.ñ'!,9 \n-<|>sç") for _ in range(60)) for _ in range(300)]
     got = packing.token_blobs(enc, pa.array(texts, pa.string()))
     for text, blob in zip(texts, got):
