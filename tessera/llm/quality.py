@@ -38,9 +38,13 @@ _CLASS[0x80:] = 7
 _CLASS[list(b" \t\r\n\x0b\x0c")] = 8
 
 
-def _share(part: float, whole: float) -> float:
+#: Added to the denominator of every share of words and characters: one odd word says little in a short text.
+FEW_WORDS, FEW_CHARS = 30, 150
+
+
+def _share(part: float, whole: float, few: float = 0.0) -> float:
     """Arcsine root of a share: steadies the variance of small shares."""
-    return float(np.arcsin(np.sqrt(min(1.0, part / whole)))) if whole > 0 else 0.0
+    return float(np.arcsin(np.sqrt(min(1.0, part / (whole + few))))) if whole > 0 else 0.0
 
 
 def statistics(text: str | None) -> list[float]:
@@ -60,13 +64,13 @@ def statistics(text: str | None) -> list[float]:
     return [
         float(np.log1p(n)),
         float(np.log(solid / n)),
-        _share(same, n),
-        float(np.log(n / distinct) / np.log1p(n)),
-        _share(float(by[2]), letters),
-        _share(float(by[4]), solid),
-        _share(float(by[5]), solid),
-        _share(float(by[3]), solid),
-        _share(float(by[6]), solid),
+        _share(same, n, FEW_WORDS),
+        float(np.log(n / distinct) / np.log1p(n + FEW_WORDS)),
+        _share(float(by[2]), letters, FEW_CHARS),
+        _share(float(by[4]), solid, FEW_CHARS),
+        _share(float(by[5]), solid, FEW_CHARS),
+        _share(float(by[3]), solid, FEW_CHARS),
+        _share(float(by[6]), solid, FEW_CHARS),
         _share(float(by[7] + by[0]), solid),
         _share(len(lines) - len(set(lines)), len(lines)),
     ]
@@ -99,11 +103,12 @@ class Qda:
         return 1.0 / (1.0 + np.exp(np.clip(dens[0] - dens[1], -700, 700)))
 
 
-def fit_qda(rows: DataFrame, own: float = 0.05, pooled: float = 0.1, floor: float = 1e-4) -> Qda:
+def fit_qda(rows: DataFrame, own: float = 0.005, pooled: float = 0.005, few: float = 0.5, floor: float = 1e-4) -> Qda:
     """(x array<double>, y 0/1) -> the fitted model.
 
     ``pooled`` shrinks each class covariance to the pooled one, ``own`` to the identity
-    scaled by its mean variance, ``floor`` is added to every variance.  A class with fewer
+    scaled by its mean variance; both grow by ``few`` times the number of statistics over the
+    class's rows, as small classes need more.  ``floor`` is added to every variance.  A class with fewer
     than two rows leaves nothing to tell apart: the model then scores every text with the
     share of class 1 among the labelled rows (0.5 without any).
     """
@@ -126,8 +131,10 @@ def fit_qda(rows: DataFrame, own: float = 0.05, pooled: float = 0.1, floor: floa
     both = (covs[0] * n[0] + covs[1] * n[1]) / n.sum()
     factors = []
     for k in (0, 1):
-        c = (1 - pooled) * covs[k] + pooled * both
-        c = (1 - own) * c + own * np.trace(c) / d * np.eye(d)
+        more = few * d / n[k]
+        to_both, to_own = min(0.9, pooled + more), min(0.9, own + more)
+        c = (1 - to_both) * covs[k] + to_both * both
+        c = (1 - to_own) * c + to_own * np.trace(c) / d * np.eye(d)
         factors.append(np.linalg.cholesky(c + floor * np.eye(d)))
     return Qda(means, np.stack(factors), np.log(n / n.sum()))
 

@@ -464,7 +464,7 @@ def test_qda_is_the_density_ratio(spark):
     x = np.concatenate([rng.normal(0, 1, (300, d)), rng.normal(0.7, 0.5, (500, d))])
     y = [0] * 300 + [1] * 500
     df = spark.createDataFrame([(r.tolist(), k) for r, k in zip(x, y)], "x array<double>, y int")
-    m = quality.fit_qda(df, own=0, pooled=0, floor=0)
+    m = quality.fit_qda(df, own=0, pooled=0, few=0, floor=0)
     want = []
     for k in (0, 1):
         c, mu = np.cov(x[np.array(y) == k].T, bias=True), x[np.array(y) == k].mean(0)
