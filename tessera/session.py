@@ -98,12 +98,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table through the cluster's file system."""
+    fs, jpath = _hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's written intermediate tables.
 
     Call it when no result that reads them is needed any more."""
-    fs, jpath = _hadoop_path(spark, _tables_folder(spark))
-    fs.delete(jpath, True)
+    remove(spark, _tables_folder(spark))
     with _LOCK:
         _TABLES.clear()
 
