@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import mixing, packing, pii, quality, simhash
-from tessera.llm.common import table, written
+from tessera.llm.common import drop_scratch, scratch_mark, table, written
 from tessera.llm.queries import word_tokenizer
 
 
@@ -59,5 +59,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        mark = scratch_mark()
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", "zstd")
+        drop_scratch(spark, mark, keep=1)  # what the stage wrote on its way
     return docs

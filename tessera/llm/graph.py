@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import drop_scratch, scratch_mark, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,12 +33,13 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
     Nodes without links are not in the result.  No links: no rows.
     """
-    now = edges
+    now, spark, first = edges, edges.sparkSession, scratch_mark()
     for k in range(max_rounds):
         new = written(_small_star(_large_star(now).distinct()), f"components-{k}")
         # A fixed point is a set of stars: no node is both a centre and a leaf, and no leaf has two centres.
         tangled = new.groupBy("b").count().filter("count > 1").limit(1).count() or new.select("a").join(new.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count()
         now = new
+        drop_scratch(spark, first, keep=1)  # earlier rounds are not read any more
         if not tangled:
             break
     else:
