@@ -4,8 +4,8 @@ Every document gets a hash-random key.  Inside a source the documents stand in
 key order; a document is taken while the running total of words stays inside
 the source's budget, after as many full passes ("epochs") as the budget holds.
 
-The order is cut into key ranges (leading hex digits of the key, as many as
-the row count asks for).  Key ranges of a uniform hash are even, so this is a
+The order is cut into key ranges (by leading hex digits of the key, so many that there
+are about as many ranges as rows in one).  Key ranges of a uniform hash are even, so this is a
 range partitioning that needs no sampling and that every rerun repeats.  The
 running total is distributed: totals per (source, range), offsets over those
 few rows, then a window inside each range.  A source with a third of all rows
@@ -25,8 +25,6 @@ from tessera.llm.common import WORD, free_name, text_or_empty, written
 WEIGHTS = (5, 2, 1)
 #: Copies of one row that a task expands at a time.
 COPIES = 10_000
-#: Rows that one key range should hold.
-RANGE_ROWS = 50_000
 
 
 def word_count(col: str = "text"):
@@ -61,10 +59,11 @@ def source_targets(sizes: DataFrame, share: float, max_epochs: float, weights=WE
     return found.select("source", "source_size", target.alias("target"))
 
 
-def _place(groups: DataFrame, share: float, max_epochs: int, weights, seed: int, range_rows: int) -> DataFrame:
+def _place(groups: DataFrame, share: float, max_epochs: int, weights, seed: int, digits: int | None) -> DataFrame:
     """(source, id, size, n) groups of equal rows -> with source_size, target, epochs and ``reach``:
     the words of its source's remaining budget that begin with this group (below 0: none)."""
-    digits = max(0, math.ceil(math.log(max(groups.count(), 1) / range_rows, 16)))
+    if digits is None:  # as many ranges as rows in one: both windows then see about sqrt(rows) at most
+        digits = math.ceil(math.log(max(groups.count(), 1), 16) / 2)
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     keyed = groups.withColumn("key", key).withColumn("range", F.substring("key", 1, digits) if digits else F.lit(""))
     words = F.col("size") * F.col("n")
@@ -99,7 +98,7 @@ def mix(
     max_epochs: int = 2,
     weights=WEIGHTS,
     seed: int = 7,
-    range_rows: int = RANGE_ROWS,
+    digits: int | None = None,
 ) -> DataFrame:
     """(doc_id, source, size) -> the same rows with source_size, target and taken.
 
@@ -115,14 +114,14 @@ def mix(
     """
     rows = items.select(F.col("doc_id").alias("id"), F.col("source"), F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"))
     groups = written(rows.groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("n")), "mix-groups")
-    placed = _place(groups, share, max_epochs, weights, seed, range_rows).withColumn("none", F.lit(0).cast("long"))
+    placed = _place(groups, share, max_epochs, weights, seed, digits).withColumn("none", F.lit(0).cast("long"))
     copies = _numbered(placed, "none", "n", "copy")
     left = F.col("reach") - F.col("copy") * F.col("size")
     taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(left, F.col("size")))
     return copies.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, share: float = 1.5, max_epochs: int = 2, weights=WEIGHTS, seed: int = 7, range_rows: int = RANGE_ROWS) -> DataFrame:
+def mixed_documents(docs: DataFrame, share: float = 1.5, max_epochs: int = 2, weights=WEIGHTS, seed: int = 7, digits: int | None = None) -> DataFrame:
     """Documents repeated as the mix takes them, with the columns of ``docs``.
 
     A document taken ``e`` times whole stands in the result ``e`` times.  The one
@@ -139,7 +138,7 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, max_epochs: int = 2, we
     whole = written(docs.withColumns({rid: F.monotonically_increasing_id(), size: word_count(), ident: hashed}), "mix-docs", "zstd")
     groups = whole.select("source", F.col(ident).alias("id"), F.col(size).alias("size"), F.col(rid).alias("rid")).filter("size > 0")
     groups = written(groups.groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid")), "mix-groups")
-    placed = _place(groups, share, max_epochs, weights, seed, range_rows)
+    placed = _place(groups, share, max_epochs, weights, seed, digits)
     reach = F.greatest(F.lit(0), F.least(F.col("reach"), F.col("size") * F.col("n")))
     extra = F.floor(reach / F.col("size")).cast("long")
     part = (reach % F.col("size")).cast("int")
