@@ -40,7 +40,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[^-]*-----END (?:[A-Z]+ )?PRIVATE KEY-----")
 _FORGE = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 
 
 def _assign(text: str) -> Spans:

@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,7 +32,7 @@ _LOOSE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/
 _TAG = re.compile(r"</?[A-Za-z]")
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
-_WORDS = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Content is not markup up to the matching end tag.
@@ -45,8 +46,11 @@ NOISE = frozenset("nav header footer aside form script style noscript template b
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus dropdown footer header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
-#: Words that speak for article text, whatever else a name holds.
-GOOD_WORDS = frozenset("article body content entry main post story text".split())
+#: A name that begins with one of these tells of something elsewhere ("has-sidebar").
+_ABOUT = frozenset("has with without no is".split())
+#: Whatever their class says of the page, these hold the article; only reader comments are cut by name.
+_FRAMES = frozenset("html body main article".split())
+_COMMENTS = frozenset("comment comments disqus replies reply".split())
 #: A new block of this kind ends an open paragraph or list item.
 _ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -69,11 +73,13 @@ class Node:
 def _is_noise(tag: str, attrs: str) -> bool:
     if tag in NOISE:
         return True
-    if attrs and ("class" in attrs or "id" in attrs or "role" in attrs or "=" in attrs):
+    if "=" in attrs:
+        cut = _COMMENTS if tag in _FRAMES else NOISE_WORDS
         for m in _ATTR.finditer(attrs):
-            words = set(_WORDS.findall((m[2] or m[3] or m[4] or "").lower()))
-            if words & NOISE_WORDS and (m[1].lower() == "role" or not words & GOOD_WORDS or words & {"comment", "comments"}):
-                return True
+            for name in (m[2] or m[3] or m[4] or "").split():
+                words = [w.lower() for w in _WORDS.findall(name)]
+                if words and words[0] not in _ABOUT and not cut.isdisjoint(words):
+                    return True
     return False
 
 
@@ -81,6 +87,16 @@ def parse(page: str) -> Node:
     """The element tree of a page.  Never fails: whatever is not markup is text."""
     root = Node("#root", None, False)
     here, at, n, token = root, 0, len(page), _TOKEN
+    open_: Counter[str] = Counter()  # by tag: an end tag of none that is open costs nothing
+
+    def close(node: Node) -> Node:
+        """Close everything down to ``node``."""
+        nonlocal here
+        while here is not node.parent:
+            open_[here.tag] -= 1
+            here = here.parent
+        return here
+
     while at < n:
         m = token.match(page, at)
         if m[0] == "<" and token is _TOKEN and _TAG.match(page, at):
@@ -89,37 +105,34 @@ def parse(page: str) -> Node:
         at = m.end()
         tag = m[2]
         if tag is None:
-            if page.startswith(("<!", "<?"), m.start()):
-                continue
-            here.kids.append(m[0])
+            if not page.startswith(("<!", "<?"), m.start()):
+                here.kids.append(m[0])
             continue
         if not m[4]:  # cut off inside a tag
             break
         tag = tag.lower()
         if m[1]:
-            node = here
+            node = here if open_[tag] else root
             while node is not root and node.tag != tag:
-                if node.tag in _SCOPE.get(tag, ()):  # a stray end tag closes nothing outside its list or table
-                    node = root
-                    break
-                node = node.parent
+                # A stray end tag closes nothing outside its list or table.
+                node = root if node.tag in _SCOPE.get(tag, ()) else node.parent
             if node is not root:
-                here = node.parent
+                close(node)
             continue
         if tag in _ENDS_P:
             node = here
-            while node is not root and node.tag in INLINE:
+            while node.tag in INLINE:
                 node = node.parent
             if node.tag == "p":
-                here = node.parent
-        elif tag in _SAME:
+                close(node)
+        elif tag in _SAME and any(open_[t] for t in _SAME[tag]):
             node = here
             while node is not root and node.tag not in _SCOPE[tag] and node.tag not in _SAME[tag]:
                 node = node.parent
             if node.tag in _SAME[tag]:
-                here = node.parent
-                if tag == "tr" and here is not None and here.tag == "tr":
-                    here = here.parent
+                close(node)
+                if tag == "tr" and here.tag == "tr":
+                    close(here)
         node = Node(tag, here, here.noise or _is_noise(tag, m[3]))
         here.kids.append(node)
         if tag in VOID or m[3].endswith("/"):
@@ -127,10 +140,11 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, at)
             node.kids.append(page[at : end.start() if end else n])
-            close = page.find(">", end.end()) if end else -1
-            at = close + 1 if close >= 0 else n
+            stop = page.find(">", end.end()) if end else -1
+            at = stop + 1 if stop >= 0 else n
             continue
         here = node
+        open_[tag] += 1
     return root
 
 

@@ -40,6 +40,15 @@ def test_noise_is_cut():
     assert html_text.main_text(page) == f"T\n\n{TEXT}\n\n{TEXT}"
 
 
+def test_names_of_noise():
+    noise = lambda tag, attrs: html_text._is_noise(tag, attrs)
+    for attrs in ('class="main-menu"', "id=cookieNotice", "class='x entry-footer'", ' role="navigation"', 'class="ad"', 'class="ad_slot2"', 'class="post-comments"', 'id="SideBar" class="sidebar"'):
+        assert noise("div", attrs), attrs
+    for attrs in ('class="has-sidebar content"', 'class="no-comments"', 'class="addendum"', 'class="loading headers2x"', 'title="menu"', ""):
+        assert not noise("div", attrs), attrs
+    assert not noise("body", 'class="home sidebar-left"') and noise("article", 'class="comment depth-1"') and noise("nav", "")
+
+
 def test_broken_and_odd_pages():
     f = html_text.main_text
     assert f(None) == f("") == f("   ") == f("<html><body></body></html>") == f("<script>x</script>") == ""
@@ -49,6 +58,8 @@ def test_broken_and_odd_pages():
     assert f("<p>1 < 2 and 3 > 2</p>") == "1 < 2 and 3 > 2"
     assert f("<p title='a>b'>quoted</p>") == "quoted"
     assert f("<div>" * 30_000 + "deep" + "</div>" * 10) == "deep"
+    assert f("<div>" * 30_000 + "</p></b>" * 30_000 + "x") == "x"  # linear
+    assert f('<a "' * 50_000 + "x") == "" and f("<a title=\"x' >y</a><p>z</p>") == "y\n\nz"
     assert f("</p></div>stray") == "stray"
     assert f("<ul><li>one<li>two<ul><li>three</ul><li>four</ul>") == "one\n\ntwo\n\nthree\n\nfour"
     assert f("<table><tr><td>a<td>b<tr><td>c</table>") == "a\n\nb\n\nc"
