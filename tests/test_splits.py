@@ -81,7 +81,8 @@ def test_clean_drops_malformed_and_null(spark):
     )
     out = clean_interactions(df).collect()
     assert [(r.user_id, r.item_id, r.rating) for r in out] == [(1, 2, 4)]
-    assert dict(clean_interactions(df).dtypes)["user_id"] == "int"
+    kinds = dict(clean_interactions(df).dtypes)
+    assert (kinds["user_id"], kinds["rating"]) == ("bigint", "int")
 
 
 def test_union_by_name_does_not_swap(spark):
