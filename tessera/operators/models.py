@@ -14,8 +14,9 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranking import explode_recommendations, ranking_metrics
-from tessera.session import checkpoint_dir, scratch_path
+from tessera.operators.factors import top_k_products
+from tessera.operators.ranking import ranking_metrics
+from tessera.session import checkpoint_dir
 
 
 #: Ratings of one training block while there are few blocks, and beyond.
@@ -23,8 +24,6 @@ SMALL_BLOCK, BLOCK = 100_000, 5_000_000
 #: Blocks that small data may use, and the most there are: MLlib makes user blocks x item blocks
 #: builders in every task, so this product must not grow with the cluster.
 SMALL_BLOCKS, MOST_BLOCKS = 32, 1_000
-#: Entities of one scored block: MLlib emits k candidates per source for each of them.
-SCORE_BLOCK = 1 << 17
 
 
 def block_count(rows: int) -> int:
@@ -46,13 +45,11 @@ def make_als(
     num_blocks: int = 10,
     checkpoint_interval: int = 10,
     num_item_blocks: int | None = None,
-    block_size: int = SCORE_BLOCK,
 ) -> ALS:
     """MLlib ALS with the library's conventions.
 
     ``num_blocks`` sets user and item blocks of training (``fit_als`` derives it
-    from the number of ratings), ``num_item_blocks`` the item side alone.  ``block_size``
-    is the number of factors that top-k scores at a time.
+    from the number of ratings), ``num_item_blocks`` the item side alone.
     """
     als = ALS(
         rank=rank,
@@ -65,7 +62,6 @@ def make_als(
         ratingCol=rating,
         coldStartStrategy=cold_start_strategy,
         checkpointInterval=checkpoint_interval,
-        blockSize=block_size,
     )
     return als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_item_blocks or num_blocks)
 
@@ -93,43 +89,21 @@ def rmse_of(model: ALSModel, rows: DataFrame, label: str = "rating") -> float:
     )
 
 
-def scoring_model(model: ALSModel, for_: str = "users") -> ALSModel:
-    """The same factors laid out for top-k: many source partitions, few target blocks.
-
-    Top-k crosses every source partition with every block of targets and keeps k
-    candidates of each, so targets should be in as few blocks as memory allows (by
-    their number), sources in as many partitions as the session shuffles to.  The
-    model is saved, one factor table is written anew, and the result loaded.
-    """
-    spark = model.itemFactors.sparkSession
-    path = scratch_path(spark, "als-scoring")
-    model.write().save(path)
-    source, target = ("userFactors", "itemFactors") if for_ == "users" else ("itemFactors", "userFactors")
-    factors = {n: spark.read.parquet(f"{path}/{n}") for n in (source, target)}
-    blocks = max(1, -(-factors[target].count() // SCORE_BLOCK))
-    out = scratch_path(spark, "als-scoring")
-    model.write().save(out)
-    factors[target].coalesce(blocks).write.mode("overwrite").parquet(f"{out}/{target}")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    factors[source].repartition(parts, "id").write.mode("overwrite").parquet(f"{out}/{source}")
-    return ALSModel.load(out).setBlockSize(SCORE_BLOCK)
-
-
 def recommend(model: ALSModel, k: int, entities: DataFrame | None = None, for_: str = "users") -> DataFrame:
     """Top-k per entity as rows (entity, target, score, pos) (O3).
 
     ``for_='users'`` ranks items for each user; ``for_='items'`` ranks users
-    for each item.  With ``entities`` only those ids are scored (MLlib's
-    blocked, per-block top-k product), which is far cheaper than scoring
-    every id when only a held-out subset is evaluated.
+    for each item.  With ``entities`` only those ids are scored, which is far
+    cheaper than scoring every id when only a held-out subset is evaluated.
+    The factors are scored by ``factors.top_k_products``: its blocks follow the
+    number of factors, so a larger cluster does not make the result larger.
     """
     user, item = model.getUserCol(), model.getItemCol()
-    model = scoring_model(model, for_)
-    if for_ == "users":
-        recs = model.recommendForUserSubset(entities, k) if entities is not None else model.recommendForAllUsers(k)
-        return explode_recommendations(recs, user, item)
-    recs = model.recommendForItemSubset(entities, k) if entities is not None else model.recommendForAllItems(k)
-    return explode_recommendations(recs, item, user)
+    entity, target = (user, item) if for_ == "users" else (item, user)
+    sources, targets = (model.userFactors, model.itemFactors) if for_ == "users" else (model.itemFactors, model.userFactors)
+    if entities is not None:
+        sources = sources.join(entities.select(F.col(entity).alias("id")).distinct(), "id", "left_semi")
+    return top_k_products(sources, targets, k, entity, target)
 
 
 def evaluate_topk(model: ALSModel, truth: DataFrame, k: int = 500, for_: str = "users") -> DataFrame:

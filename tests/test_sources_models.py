@@ -3,6 +3,7 @@ import math
 from pyspark.sql import functions as F
 
 from tessera.operators import models as M
+from tessera.operators.ranking import explode_recommendations
 from tessera.operators import splits as S
 from tessera.session import scratch_path
 from tessera.sources import fixtures as fx
@@ -103,16 +104,35 @@ def test_block_counts_follow_the_data_not_the_cluster():
     assert M.block_count(10**9) == 200 and M.block_count(10**12) == M.MOST_BLOCKS
 
 
-def test_scoring_layout_gives_the_same_lists(spark):
+def test_top_k_products_equal_mllib(spark, monkeypatch):
+    from tessera.operators import factors as FA
+
     parts = S.assign_parts(fx.interactions(spark, SF001))
     model = M.fit_als(S.final_table(parts, "final_train_val"), rank=4, max_iter=3, seed=3)
-    laid = M.scoring_model(model)
-    assert laid.itemFactors.rdd.getNumPartitions() == 1
-    a = {r.user_id: [(x.item_id, x.rating) for x in r.recommendations] for r in model.recommendForAllUsers(9).collect()}
-    b = {r.user_id: [(x.item_id, x.rating) for x in r.recommendations] for r in laid.recommendForAllUsers(9).collect()}
-    assert a.keys() == b.keys()
-    for u in a:
-        assert [round(s, 5) for _, s in a[u]] == [round(s, 5) for _, s in b[u]]
+    want: dict = {}
+    for r in sorted(explode_recommendations(model.recommendForAllUsers(9), "user_id", "item_id").collect(), key=lambda r: (r.user_id, r.pos)):
+        want.setdefault(r.user_id, []).append(r.score)
+    for source, target in ((1024, 1 << 17), (10, 64)):  # also with several blocks on both sides
+        monkeypatch.setattr(FA, "SOURCE_BLOCK", source)
+        monkeypatch.setattr(FA, "TARGET_BLOCK", target)
+        got: dict = {}
+        for r in sorted(M.recommend(model, 9).collect(), key=lambda r: (r.user_id, r.pos)):
+            got.setdefault(r.user_id, []).append((r.pos, r.score))
+        assert got.keys() == want.keys()
+        for u in want:
+            assert [p for p, _ in got[u]] == list(range(1, 10))
+            assert all(abs(a - b) < 1e-4 for (_, a), b in zip(got[u], want[u]))
+
+
+def test_top_k_products_ties_and_odd_rows(spark):
+    from tessera.operators import factors as FA
+
+    left = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, -1.0]), (None, [1.0, 1.0]), (3, None)], "id int, features array<float>")
+    right = spark.createDataFrame([(9, [1.0, 1.0]), (7, [1.0, 2.0]), (8, [0.5, 0.0]), (None, [9.0, 9.0])], "id int, features array<float>")
+    got = [tuple(r) for r in FA.top_k_products(left, right, 2, "a", "b").orderBy("a", "pos").collect()]
+    assert got == [(1, 7, 1.0, 1), (1, 9, 1.0, 2), (2, 8, 0.0, 1), (2, 9, -1.0, 2)]
+    assert FA.top_k_products(left, right.limit(0), 2).count() == FA.top_k_products(left.limit(0), right, 2).count() == 0
+    assert FA.top_k_products(left, right, 50).count() == 6
 
 
 def test_readers_take_foreign_names(spark):
