@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import threading
-import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,8 +67,3 @@ def free_name(taken, stem: str) -> str:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
-
-
-def crc_fold(doc_id: object) -> int:
-    """crc32 of an id as text, as Spark's ``crc32`` of its string cast."""
-    return zlib.crc32(str(doc_id).encode())

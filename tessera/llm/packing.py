@@ -353,7 +353,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
         shard = shard.sort_values("row", ignore_index=True)
         base, seq, out = int(shard["shard"].iloc[0]) << 32, 0, []
 
-        def piece(k, start, ids, crc, offset):
+        def piece(k, start, length, ids, crc, offset):
             out.append((doc_id[k], start, length, crc, total[k], base + seq, offset, ids.astype("<u4").tobytes() if keep_ids else None))
 
         doc_id, total = shard["doc_id"].tolist(), shard["n"].tolist()
@@ -361,8 +361,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
         for k, (crcs, head) in enumerate(zip(shard["crc"], shard["head"])):
             heads = np.frombuffer(head, kind)
             for j, crc in enumerate(crcs):
-                length = window
-                piece(k, j * window, heads[j * window : (j + 1) * window], crc, 0)
+                piece(k, j * window, window, heads[j * window : (j + 1) * window], crc, 0)
                 seq += 1
         held = [k for k, t in enumerate(tails) if len(t)]
         if held:
@@ -370,7 +369,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
                 offset = 0
                 for k, at, length in pieces:
                     ids = tails[held[k]][at : at + length]
-                    piece(held[k], total[held[k]] - len(tails[held[k]]) + at, ids, checksum(ids), offset)
+                    piece(held[k], total[held[k]] - len(tails[held[k]]) + at, length, ids, checksum(ids), offset)
                     offset += length
                 seq += 1
         return pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
