@@ -1,4 +1,4 @@
-"""tessera: explicit-feedback recommendation analytics as Spark DataFrame jobs.
+"""tessera: recommendation analytics and training-data operators as Spark DataFrame jobs.
 
 Every public operator takes DataFrames and returns DataFrames; nothing is
 collected to the driver except scalars and small, size-bounded metadata

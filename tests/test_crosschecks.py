@@ -8,7 +8,6 @@ from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import functions as F
 
 from tessera.operators import models as M
-from tessera.operators import ranking as RK
 from tessera.operators import splits as S
 from tessera.plans import factor_map as FM
 from tessera.sources import fixtures as fx
