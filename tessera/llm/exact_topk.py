@@ -31,10 +31,14 @@ QUERY_ROWS = 512
 GROUP = 8
 #: Candidates evaluated before the first elimination, in bound order.
 FIRST = 64
+#: Queries whose bounds are computed at a time.
+ROWS = 16
 #: Products of integers below this are exact in double precision.
 EXACT = 2.0**53
 
 _NONE = np.iinfo(np.int64).min
+#: Scores below this over the candidates of a block leave room for a place beside them.
+TIED = 1 << 62
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -56,16 +60,36 @@ def pivot_distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def upper_bounds(qd: np.ndarray, xd: np.ndarray, qq: np.ndarray, xx: np.ndarray) -> np.ndarray:
-    """Upper bounds of all inner products, widened by more than rounding can take away."""
-    least = np.zeros((len(qd), len(xd)))
-    for p in range(qd.shape[1]):
-        np.maximum(least, np.abs(qd[:, p, None] - xd[None, :, p]), out=least)
+    """Upper bounds of all inner products, widened by more than rounding can take away.
+
+    Distance differences are taken in single precision, a few queries at a time, so that they stay in the
+    processor's cache; what single precision may be off is taken from the lower bound."""
+    off = 1e-6 * max(qd.max(initial=0), xd.max(initial=0))
+    q, x = qd.astype("f4"), np.ascontiguousarray(xd.T.astype("f4"))
+    least = np.zeros((len(qd), len(xd)), "f4")
+    gap = np.empty((ROWS, len(xd)), "f4")
+    for at in range(0, len(q), ROWS):
+        rows = least[at : at + ROWS]
+        part = gap[: len(rows)]
+        for p in range(len(x)):
+            np.subtract(q[at : at + ROWS, p, None], x[p], out=part)
+            np.abs(part, out=part)
+            np.maximum(rows, part, out=rows)
+    bound = least.astype(float)
+    bound -= off
+    np.maximum(bound, 0, out=bound)
+    np.square(bound, out=bound)
     both = qq[:, None] + xx[None]
-    return (both - least * least) / 2 + 1e-9 * both + 1e-6
+    np.subtract(both, bound, out=bound)
+    bound *= 0.5
+    both *= 1e-9
+    bound += both
+    bound += 1e-6
+    return bound
 
 
 def search_block(q, qid, x, xid, qd, xd, best, best_id, k: int, count=None) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of each query after this block.  ``best``/``best_id``: those before it."""
+    """The k best of each query after this block, whose ids ascend.  ``best``/``best_id``: those before it."""
     qq, xx = (q.astype(float) ** 2).sum(1), (x.astype(float) ** 2).sum(1)
     bound = upper_bounds(qd, xd, qq, xx)
     bound[qid[:, None] == xid[None]] = -np.inf  # a query is no candidate of its own
@@ -97,12 +121,15 @@ def search_block(q, qid, x, xid, qd, xd, best, best_id, k: int, count=None) -> t
             ok = alive[np.ix_(rows, cols)]
             top[~ok] = _NONE
             keep = min(k, len(cols))
-            # all scores that reach the k-th largest of this step stay, so that ties go by id
-            least = -np.partition(-top, keep - 1, axis=1)[:, keep - 1 : keep]
-            for j, r in enumerate(rows):
-                pick = np.flatnonzero((top[j] >= least[j]) & ok[j])
-                s, i = merge_best_int(np.concatenate((best[r], top[j][pick]))[None], np.concatenate((best_id[r], xid[cols[pick]]))[None], k)
-                best[r], best_id[r] = s[0], i[0]
+            if np.abs(top[ok]).max(initial=0) < TIED // len(cols):
+                # One key for score and place: ids ascend in a block, so equal scores go by id.
+                key = top * len(cols) - np.arange(len(cols))
+                key[~ok] = -TIED
+                near = np.argpartition(-key, keep - 1, axis=1)[:, :keep]
+            else:
+                near = np.argsort(np.where(ok, -top, np.iinfo(np.int64).max), axis=1, kind="stable")[:, :keep]
+            found = np.concatenate((best[rows], np.take_along_axis(top, near, 1)), 1)
+            best[rows], best_id[rows] = merge_best_int(found, np.concatenate((best_id[rows], xid[cols][near]), 1), k)
             bound[rows] = -np.inf
         else:
             part = np.where(alive[rows], bound[rows], -np.inf)
