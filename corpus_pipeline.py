@@ -40,8 +40,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack(docs, word_tokenizer())
+    """Pieces of documents with their token ids, in sequences of at most 2048 tokens."""
+    return packing.pack(docs, word_tokenizer(), keep_ids=True)
 
 
 STAGES = [

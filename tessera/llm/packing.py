@@ -9,7 +9,7 @@ neighbour that no longer fits is cut, and what is left of it stays in the shard.
 window is full but the last of each shard, which becomes sequences at powers of two.
 
 Shards are cut by a hash of the row, so copies of one text, or one huge source, are
-spread evenly.  Only tails and checksums are shuffled.
+spread evenly.  Only tails are shuffled; whole windows go from the text pass to the result.
 """
 
 from __future__ import annotations
@@ -190,19 +190,16 @@ def token_blobs(encoder: WordEncoder, texts: pa.Array) -> list[bytes]:
     return [b"".join((*x, end)) for x in out]
 
 
-def checksum(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
-
-
-TOKENS = "row long, doc_id string, n long, crc array<long>, head binary, tail binary"
+TOKENS = "row long, doc_id string, n long, start long, sequence_id long, ids_crc32 long, ids binary"
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, window: int, keep_ids: bool) -> tuple[DataFrame, str, int]:
     """Every text tokenized once -> (TOKENS rows, id type, vocabulary size).
 
-    A document keeps the checksums of its whole windows (their ids too, as ``head``, with
-    ``keep_ids``) and its tail.  Every task adds one row with n = -1, whose ``tail``
-    holds in how many of the task's documents each id stands.
+    Every whole window is a row of its own, in a sequence numbered by task and place (its
+    ids, unsigned 32 bit, stand in it with ``keep_ids``).  What is left of a document, even
+    nothing, is a row without a sequence, its ids of the id type.  Every task adds one row
+    with n = -1, whose ``ids`` holds in how many of the task's documents each id stands.
     """
     from tokenizers import Tokenizer
 
@@ -211,25 +208,34 @@ def token_table(docs: DataFrame, tokenizer_path: str, window: int, keep_ids: boo
     tokenizer = Tokenizer.from_str(text)
     size, kind = tokenizer.get_vocab_size(), id_type(tokenizer)
     model = docs.sparkSession.sparkContext.broadcast(text)  # one vocabulary file
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.string()), ("n", pa.int64()), ("crc", pa.list_(pa.int64())), ("head", pa.binary()), ("tail", pa.binary())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.string()), *((c, pa.int64()) for c in ("n", "start", "sequence_id", "ids_crc32")), ("ids", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, df, seen = WordEncoder(model.value), np.zeros(size, np.int64), np.zeros(size, bool)
+        windows = 0
         for batch in batches:
-            n, crc, head, tail = [], [], [], []
-            for blob in token_blobs(encoder, batch.column("text")):
+            out, held = [], 0
+            for row, doc_id, blob in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), token_blobs(encoder, batch.column("text"))):
                 ids = np.frombuffer(blob, kind)
                 seen[ids] = True
                 own = np.flatnonzero(seen)
                 df[own] += 1
                 seen[own] = False
                 cut = len(ids) - len(ids) % window
-                n.append(len(ids))
-                crc.append([checksum(ids[a : a + window]) for a in range(0, cut, window)])
-                head.append(blob[: cut * ids.itemsize] if keep_ids else b"")
-                tail.append(blob[cut * ids.itemsize :])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *(pa.array(x, t) for x, t in zip((n, crc, head, tail), schema.types[2:]))], schema=schema)
-        yield pa.RecordBatch.from_pylist([{"row": -1, "n": -1, "tail": df.tobytes()}], schema=schema)
+                for a in range(0, cut, window):
+                    raw = ids[a : a + window].astype("<u4").tobytes()
+                    out.append((row, doc_id, len(ids), a, (row >> 33 << 32) + windows, zlib.crc32(raw), raw if keep_ids else None))
+                    windows, held = windows + 1, held + len(raw) * keep_ids
+                    if held > RUN_BYTES:
+                        yield table(out)
+                        out, held = [], 0
+                out.append((row, doc_id, len(ids), cut, None, None, blob[cut * ids.itemsize :]))
+            yield table(out)
+        yield table([(-1, None, -1, None, None, None, df.tobytes())])
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
     return written(rows.mapInArrow(encode, TOKENS), "pack-tokens", "zstd"), kind, size
@@ -241,13 +247,13 @@ def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df = np.zeros(size, np.int64)
         for batch in batches:
-            for part in batch["tail"]:
+            for part in batch["ids"]:
                 df += np.frombuffer(part, np.int64)
         at = np.flatnonzero(df)
         yield pd.DataFrame({"id": at, "df": df[at]})
 
     out = np.zeros(size, np.int64)
-    for r in tokens.filter("n = -1").select("tail").mapInPandas(count, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).collect():
+    for r in tokens.filter("n = -1").select("ids").mapInPandas(count, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).collect():
         out[r["id"]] = r["df"]
     return out
 
@@ -341,9 +347,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
     doc_ids are packed like any others.  Empty input gives no pieces.
     """
     tokens, kind, size = token_table(docs, tokenizer_path, window, keep_ids)
-    rows = tokens.filter("n >= 0")
-    stats = rows.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("n") % window).alias("tails")).first()
+    rows = tokens.filter("n >= 0 AND sequence_id IS NULL")
+    stats = rows.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("n") % window).alias("tails"), F.max("row").alias("row")).first()
     n_docs, shards = stats["docs"], max(1, -(-(stats["tails"] or 0) // shard_tokens))
+    tasks = ((stats["row"] or 0) >> 33) + 1  # sequences of whole windows are numbered by these
     df = document_frequencies(tokens, size)
     idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
     mean = max(1.0, (stats["tails"] or 0) / max(1, n_docs))
@@ -351,30 +358,21 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
 
     def fill(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values("row", ignore_index=True)
-        base, seq, out = int(shard["shard"].iloc[0]) << 32, 0, []
-
-        def piece(k, start, length, ids, crc, offset):
-            out.append((doc_id[k], start, length, crc, total[k], base + seq, offset, ids.astype("<u4").tobytes() if keep_ids else None))
-
+        base, out = tasks + int(shard["shard"].iloc[0]) << 32, []
         doc_id, total = shard["doc_id"].tolist(), shard["n"].tolist()
-        tails = [np.frombuffer(t, kind) for t in shard["tail"]]
-        for k, (crcs, head) in enumerate(zip(shard["crc"], shard["head"])):
-            heads = np.frombuffer(head, kind)
-            for j, crc in enumerate(crcs):
-                piece(k, j * window, window, heads[j * window : (j + 1) * window], crc, 0)
-                seq += 1
-        held = [k for k, t in enumerate(tails) if len(t)]
-        if held:
-            for pieces in even_ends(fill_windows([tails[k] for k in held], shared.value, mean, window), window):
-                offset = 0
-                for k, at, length in pieces:
-                    ids = tails[held[k]][at : at + length]
-                    piece(held[k], total[held[k]] - len(tails[held[k]]) + at, length, ids, checksum(ids), offset)
-                    offset += length
-                seq += 1
+        tails = [np.frombuffer(t, kind) for t in shard["ids"]]
+        for seq, pieces in enumerate(even_ends(fill_windows(tails, shared.value, mean, window), window)):
+            offset = 0
+            for k, at, length in pieces:
+                ids = tails[k][at : at + length].astype("<u4").tobytes()
+                out.append((doc_id[k], total[k] - len(tails[k]) + at, length, zlib.crc32(ids), total[k], base + seq, offset, ids if keep_ids else None))
+                offset += length
         return pd.DataFrame(out, columns=[c.split()[0] for c in PIECES.split(", ")])
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-    pieces = dealt.groupBy("shard").applyInPandas(fill, PIECES)
+    whole = tokens.filter("sequence_id IS NOT NULL").select(
+        "doc_id", "start", F.lit(window).cast("long").alias("length"), "ids_crc32", F.col("n").alias("doc_tokens"), "sequence_id", F.lit(0).cast("long").alias("offset"), "ids"
+    )
+    dealt = rows.filter(F.col("start") < F.col("n")).withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    pieces = whole.unionAll(dealt.select("row", "doc_id", "n", "ids", "shard").groupBy("shard").applyInPandas(fill, PIECES))
     back = pieces.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return back if keep_ids else back.drop("ids")

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -82,6 +83,30 @@ def test_packing_stage_packs_every_row(stages):
     assert set(tokens) == set(rows)
 
 
+def test_packed_sequences_are_rebuilt_from_the_result(stages):
+    from tokenizers import Tokenizer
+
+    before, after = stages["packing"]
+    tok = Tokenizer.from_file(queries.word_tokenizer())
+    want = Counter((r["doc_id"], tuple(tok.encode(r["text"] or "", add_special_tokens=False).ids) + (1,)) for r in before)
+    sequences, cut = {}, Counter()
+    for p in after:
+        sequences.setdefault(p["sequence_id"], []).append(p)
+    for pieces in sequences.values():
+        ids = b"".join(p["ids"] for p in sorted(pieces, key=lambda p: p["offset"]))
+        assert len(ids) == 4 * sum(p["length"] for p in pieces) <= 4 * 2048
+        for p in pieces:
+            cut[p["doc_id"], p["doc_tokens"], p["start"], ids[4 * p["offset"] : 4 * (p["offset"] + p["length"])]] += 1
+    got, texts = Counter(), Counter()
+    for (doc, n, _, ids), c in cut.items():
+        got.update({(doc, n, t): c * k for t, k in Counter(np.frombuffer(ids, "<u4").tolist()).items()})
+    for (doc, ids), c in want.items():
+        texts.update({(doc, len(ids), t): c * k for t, k in Counter(ids).items()})
+        start = [p for p in cut if p[0] == doc and p[1] == len(ids)]
+        assert all(np.frombuffer(x, "<u4").tolist() in [list(i[a : a + len(x) // 4]) for d, i in want if d == doc and len(i) == n] for _, n, a, x in start)
+    assert got == texts
+
+
 def test_stages_take_awkward_rows(spark):
     odd = awkward(spark)
     for name, stage in corpus_pipeline.STAGES:
