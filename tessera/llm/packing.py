@@ -8,8 +8,9 @@ looked up in the index and the unused neighbours fill the window in score order.
 neighbour that no longer fits is cut, and what is left of it stays in the shard.  So every
 window is full but the last of each shard, which becomes sequences at powers of two.
 
-Shards are cut by a hash of the row, so copies of one text, or one huge source, are
-spread evenly.  Only tails are shuffled; whole windows go from the text pass to the result.
+Shards are cut by content: leaves of a tree over projected BM25 weights, so that lexical
+neighbours meet however many shards there are.  A crowded leaf (copies of one text) is split
+into bounded shards.  Only tails are shuffled; whole windows go from the text pass to the result.
 """
 
 from __future__ import annotations
@@ -258,6 +259,120 @@ def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+#: Random directions of term space; tails that a leaf of the tree is drawn from, and of the whole tree at most.
+DIRECTIONS, LEAF_SAMPLE, MOST_SAMPLE = 32, 24, 1 << 17
+#: Halvings from the root down at most, for samples that are cut very unevenly.
+DEPTH = 64
+
+
+def directions(size: int) -> np.ndarray:
+    """A fixed random direction per vocabulary entry."""
+    return np.random.default_rng(5).standard_normal((size, DIRECTIONS), np.float32)
+
+
+def sketches(tails: list[np.ndarray], idf: np.ndarray, mean: float, plane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of BM25 term weights, projected, and smallest term hashes: one a tail, none empty."""
+    out, least = np.zeros((len(tails), plane.shape[1]), np.float32), np.zeros(len(tails), np.int64)
+    for k, ids in enumerate(tails):
+        key = np.sort(ids)
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        term, tf = key[first], np.diff(first, append=len(key))
+        weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32)
+        out[k] = weight @ plane[term] / max(1e-9, float(np.sqrt(weight @ weight)))
+        x = (term.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        least[k] = int(((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)).min())
+    return out, least
+
+
+class Tree:
+    """Halves of a weighted sample along its widest direction, again and again, down to ``leaves`` leaves.
+
+    A sample without width (copies) is not cut any further."""
+
+    def __init__(self, sample: np.ndarray, weight: np.ndarray, leaves: int) -> None:
+        self.axis, self.cut, self.kids = [], [], []
+        self._grow(sample, weight, leaves, DEPTH)
+
+    def _grow(self, x: np.ndarray, weight: np.ndarray, leaves: int, depth: int) -> int:
+        at = len(self.kids)
+        self.axis.append(None)
+        self.cut.append(0.0)
+        self.kids.append(None)
+        if leaves > 1 and len(x) > 1 and depth:
+            spread = x - x.mean(0)
+            axis = np.linalg.eigh(spread.T @ spread)[1][:, -1]
+            place = x @ axis
+            order = np.argsort(place, kind="stable")
+            run = np.cumsum(weight[order])
+            cut = float(place[order[np.searchsorted(run, run[-1] * (leaves // 2) / leaves)]])
+            low = place <= cut
+            if np.ptp(place) > 1e-4 and not low.all():
+                share = min(leaves - 1, max(1, round(leaves * float(weight[low].sum() / run[-1]))))
+                self.axis[at], self.cut[at] = axis, cut
+                self.kids[at] = (self._grow(x[low], weight[low], share, depth - 1), self._grow(x[~low], weight[~low], leaves - share, depth - 1))
+        return at
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        """Leaf number of every vector."""
+        out, stack = np.zeros(len(x), np.int64), [(0, np.arange(len(x)))]
+        while stack:
+            at, rows = stack.pop()
+            if self.kids[at] is None:
+                out[rows] = at
+            elif len(rows):
+                low = x[rows] @ self.axis[at] <= self.cut[at]
+                stack += [(self.kids[at][0], rows[low]), (self.kids[at][1], rows[~low])]
+        return out
+
+
+def by_content(tails: DataFrame, kind: str, idf: np.ndarray, mean: float, shards: int, shard_tokens: int) -> DataFrame:
+    """Tails (row, doc_id, n, ids) with their ``shard``, a number from 0 on: like tails share one.
+
+    Tails go to the leaf of a tree that halves a sample of them.  A leaf of far more than a
+    shard's tokens is cut by its tails' smallest term hash, which near copies mostly share, and
+    what is still too large (copies) by row, so no shard holds much more than 1.5 x
+    ``shard_tokens``, or one tail.  The driver sees the sample and two counts a shard.
+    """
+    spark = tails.sparkSession
+    if shards == 1:
+        return tails.withColumn("shard", F.lit(0).cast("long"))
+    shared = spark.sparkContext.broadcast((idf, directions(len(idf))))
+
+    def sketch(batch) -> tuple[list[int], np.ndarray, np.ndarray]:
+        found = [np.frombuffer(t, kind) for t in batch.column("ids").to_pylist()]
+        return [len(t) for t in found], *sketches(found, shared.value[0], mean, shared.value[1])
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, x, _ = sketch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(length, pa.int64()), pa.array([v.tobytes() for v in x], pa.binary())], names=["length", "x"])
+
+    want, n = min(MOST_SAMPLE, shards * LEAF_SAMPLE), tails.count()
+    some = tails.filter(F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1 << 30)) < int(min(1.0, want / max(1, n)) * (1 << 30)))
+    sample = some.select("row", "ids").mapInArrow(drawn, "length long, x binary").collect()
+    x = np.frombuffer(b"".join(r["x"] for r in sample), np.float32).reshape(-1, DIRECTIONS)
+    tree = spark.sparkContext.broadcast(Tree(x, np.array([r["length"] for r in sample], np.float64), min(shards, max(1, len(x) // 4))))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, x, least = sketch(batch)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in (length, tree.value.leaf(x), least))], names=[*batch.schema.names, "length", "leaf", "least"])
+
+    known = written(tails.mapInArrow(placed, "row long, doc_id string, n long, ids binary, length long, leaf long, least long"), "pack-tails", "zstd")
+
+    def cuts(tokens: int) -> int:
+        return max(1, round(tokens / shard_tokens))
+
+    leaves = [(r["leaf"], cuts(r["t"])) for r in known.groupBy("leaf").agg(F.sum("length").alias("t")).collect()]
+    cut = known.join(F.broadcast(spark.createDataFrame(leaves or [(0, 1)], "leaf long, parts long")), "leaf").withColumn("part", F.pmod(F.xxhash64("least"), F.col("parts")))
+    parts, first = [], 0
+    for r in cut.groupBy("leaf", "part").agg(F.sum("length").alias("t")).orderBy("leaf", "part").collect():
+        parts.append((r["leaf"], r["part"], first, cuts(r["t"])))
+        first += parts[-1][3]
+    cut = cut.join(F.broadcast(spark.createDataFrame(parts or [(0, 0, 0, 1)], "leaf long, part long, first long, pieces long")), ["leaf", "part"])
+    return cut.select("row", "doc_id", "n", "ids", (F.col("first") + F.pmod(F.xxhash64("row"), F.col("pieces"))).alias("shard"))
+
+
 class Index:
     """BM25 inverted index of one shard: postings as flat arrays by term."""
 
@@ -372,7 +487,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
     whole = tokens.filter("sequence_id IS NOT NULL").select(
         "doc_id", "start", F.lit(window).cast("long").alias("length"), "ids_crc32", F.col("n").alias("doc_tokens"), "sequence_id", F.lit(0).cast("long").alias("offset"), "ids"
     )
-    dealt = rows.filter(F.col("start") < F.col("n")).withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-    pieces = whole.unionAll(dealt.select("row", "doc_id", "n", "ids", "shard").groupBy("shard").applyInPandas(fill, PIECES))
+    dealt = by_content(rows.filter(F.col("start") < F.col("n")).select("row", "doc_id", "n", "ids"), kind, idf, mean, shards, shard_tokens)
+    pieces = whole.unionAll(dealt.groupBy("shard").applyInPandas(fill, PIECES))
     back = pieces.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return back if keep_ids else back.drop("ids")

@@ -139,6 +139,23 @@ def test_packing_takes_lexical_neighbours():
         assert brute[d] == pytest.approx(score)
 
 
+def test_packing_shards_are_cut_by_content(spark):
+    rng = np.random.default_rng(3)
+    topics = [["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(60)] for _ in range(12)]
+    docs = [(k, " ".join(rng.choice(topics[k % 12], 100)), "en", "s", 1) for k in range(600)]
+    docs += [(k, docs[0][1], "en", "s", 1) for k in range(600, 900)]  # a crowd of copies
+    table = spark.createDataFrame(docs, DOCS).repartition(4)
+    got = rows(packing.pack(table, queries.word_tokenizer(), shard_tokens=20_000))
+    seqs = check_pieces([(k, t) for k, t, *_ in docs], got, packing.WINDOW)
+    size = Counter()
+    for s, pieces in seqs.items():
+        size[s >> 32] += sum(p["length"] for p in pieces)
+    assert len(size) >= 10 and max(size.values()) <= 2 * 20_000
+    topic = lambda p: 0 if int(p["doc_id"]) >= 600 else int(p["doc_id"]) % 12
+    same = [max(Counter(map(topic, s)).values()) / len(s) for s in seqs.values() if len(s) > 1]
+    assert sum(same) > 0.9 * len(same)
+
+
 def test_word_encoder_equals_whole_text_encoding():
     import pyarrow as pa
     from tokenizers import Tokenizer
