@@ -241,6 +241,26 @@ def test_skip_links_spread_labels_only_from_base_spans(spark):
     assert found("no mail: 4041.8949.7460.8795 and (988) 555-2485 or bosbt.42") == []
 
 
+def test_evidence_reaches_the_last_of_many_repeats():
+    graph = pii.Graph()
+    text = " y ".join(["4111111111111111"] + ["4111/1111/1111/1111"] * 50)
+    spans = pii.base_spans(text)
+    bounds = [graph.add(text, spans)]
+    graph.skip = list(dict.fromkeys(graph.skip))  # a pair may meet under two keys; one link is the harder case
+    pot, card = pii.Potentials([]), pii.KINDS.index("card")
+    prior = np.full(pii.NONE + 1, 1e-9)
+    prior[card], prior[pii.NONE] = 0.02, 0.98
+    pot.shapes = {s: np.log(prior) for s in graph.shape}
+    pot.pair["skip"] = np.full((pii.NONE + 1, pii.NONE + 1), -5.0)
+    pot.pair["skip"][card, card], pot.pair["skip"][pii.NONE, pii.NONE] = 4.0, 0.0
+    assert len(spans) == 1 and len(graph.skip) >= 50
+    exact = pii.beliefs(graph, pot)[:, card]
+    assert exact.min() >= pii.BELIEF
+    added = pii.added_spans(graph, bounds, [text], pot)[0]
+    assert [c for *_, c in added].count(card) == 50
+    assert len({(a, b) for a, b, _ in added}) == len(added)
+
+
 def test_beliefs_match_enumeration():
     pot = pii.Potentials([])
     rng = np.random.default_rng(2)
