@@ -7,7 +7,7 @@ marks the main text; the smallest density on its path up to the body is the thre
 and walking down from the body, every node above the threshold contributes its
 maximum-sum subtree.  An <article> or <main> element on that path is taken whole.  Elements that never hold article text (navigation, forms,
 scripts and the like, by element name or by a class or id word) are cut before densities
-are computed.
+are computed.  A word is a vote only: what holds the article or most of the text stays.
 
 All work on a page is local to it, in one linear pass over its tokens, so Spark only
 maps; pages are never shuffled.
@@ -48,8 +48,8 @@ NOISE_WORDS = frozenset(
 )
 #: A name that begins with one of these tells of something elsewhere ("has-sidebar").
 _ABOUT = frozenset("has with without no is".split())
-#: Whatever their class says of the page, these hold the article; only reader comments are cut by name.
-_FRAMES = frozenset("html body main article".split())
+#: Whatever their class says of the page, these are never cut by name; an article only as a reader comment.
+_FRAMES = frozenset("html body main".split())
 _COMMENTS = frozenset("comment comments disqus replies reply".split())
 #: A new block of this kind ends an open paragraph or list item.
 _ENDS_P = frozenset(
@@ -60,27 +60,31 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link_chars", "link_tags", "noise", "density", "total", "best")
+    __slots__ = ("tag", "parent", "kids", "chars", "tags", "link_chars", "link_tags", "noise", "named", "density", "total", "best")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool) -> None:
+    def __init__(self, tag: str, parent: Node | None, noise: bool, named: frozenset[str] = frozenset()) -> None:
         self.tag, self.parent, self.noise = tag, parent, noise
+        self.named = named  # noise words of its class, id or role: votes, see _cut_named
         self.kids: list = []  # nodes and strings, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.best: Node | None = None
 
 
-def _is_noise(tag: str, attrs: str) -> bool:
-    if tag in NOISE:
-        return True
-    if "=" in attrs:
-        cut = _COMMENTS if tag in _FRAMES else NOISE_WORDS
+def _noise_words(tag: str, attrs: str) -> frozenset[str]:
+    """Noise words that count for this element in the first class, id or role that has any."""
+    if "=" in attrs and tag not in _FRAMES:
+        cut = _COMMENTS if tag == "article" else NOISE_WORDS
         for m in _ATTR.finditer(attrs):
             for name in (m[2] or m[3] or m[4] or "").split():
                 words = [w.lower() for w in _WORDS.findall(name)]
                 if words and words[0] not in _ABOUT and not cut.isdisjoint(words):
-                    return True
-    return False
+                    return cut.intersection(words)
+    return frozenset()
+
+
+def _is_noise(tag: str, attrs: str) -> bool:
+    return tag in NOISE or bool(_noise_words(tag, attrs))
 
 
 def parse(page: str) -> Node:
@@ -133,7 +137,8 @@ def parse(page: str) -> Node:
                 close(node)
                 if tag == "tr" and here.tag == "tr":
                     close(here)
-        node = Node(tag, here, here.noise or _is_noise(tag, m[3]))
+        noise = here.noise or tag in NOISE
+        node = Node(tag, here, noise, frozenset() if noise else _noise_words(tag, m[3]))
         here.kids.append(node)
         if tag in VOID or m[3].endswith("/"):
             continue
@@ -160,6 +165,7 @@ def _measure(root: Node) -> list[Node]:
         order.append(node)
         stack.extend(k for k in reversed(node.kids) if isinstance(k, Node) and not k.noise)
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for k in node.kids:
             if isinstance(k, str):
                 node.chars += _visible(k)
@@ -198,8 +204,53 @@ def _densities(order: list[Node], body: Node) -> None:
         node.best = max(below if node.tag in INLINE else [node, *below], key=lambda x: x.total, default=None)
 
 
+def _cut_named(order: list[Node]) -> list[Node]:
+    """Cut the elements whose names tell of noise; returns those that were cut.
+
+    An element stays whatever its name says if it holds the body, or the article or main
+    element with the most text; or if it holds more than half of the page's text outside links, is
+    not named for reader comments and no such article stands elsewhere."""
+    named = [x for x in order if x.named]
+    if not named:
+        return []
+    frames, holds, inside = [], set(), set()
+    for tag in ("article", "main", "body"):
+        own = [x for x in order if x.tag == tag and not x.named]
+        if own:
+            frames.append(max(own, key=lambda x: x.chars - x.link_chars))
+            up = frames[-1].parent
+            while up is not None:
+                holds.add(up)
+                up = up.parent
+    framed = bool(frames) and frames[0].tag != "body"
+    if framed:
+        for x in order:
+            if x is frames[0] or x.parent in inside:
+                inside.add(x)
+    plain = order[0].chars - order[0].link_chars
+    cut = []
+    for x in named:
+        most = 2 * (x.chars - x.link_chars) > plain and (x.tag == "article" or _COMMENTS.isdisjoint(x.named)) and (not framed or x in inside)
+        if x not in holds and not most:
+            x.noise = True
+            cut.append(x)
+    return cut
+
+
 def _main_nodes(root: Node) -> list[Node]:
     order = _measure(root)
+    cut = _cut_named(order)
+    if not cut:
+        return _main_of(root, order)
+    found = _main_of(root, _measure(root))
+    if found:
+        return found
+    for node in cut:  # nothing is left without them
+        node.noise = False
+    return _main_of(root, _measure(root))
+
+
+def _main_of(root: Node, order: list[Node]) -> list[Node]:
     body = next((x for x in order if x.tag == "body"), root)
     _densities(order, body)
     top = body.best

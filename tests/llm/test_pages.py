@@ -3,6 +3,8 @@
 import html
 import re
 
+import pytest
+
 from tessera.llm import html_text
 
 PARA = "<p>" + "The long paragraph goes on with many words in it, and never ends until here. " * 3 + "</p>"
@@ -49,6 +51,26 @@ def test_names_of_noise():
     assert not noise("body", 'class="home sidebar-left"') and noise("article", 'class="comment depth-1"') and noise("nav", "")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div class='content-sidebar-wrap'>{}</div><div class='sidebar'>More to read</div></body>",
+        "<body><div id='content' class='site-content sidebar-right'><article>{}</article></div><div>Other words of the page</div></body>",
+        "<body><div class='elementor-widget-theme-post-content'>{}</div></body>",
+        "<html><body class='comments-open'><div>{}</div><div id='comments'><p>First!</p></div></body></html>",
+        "<body><div class='widget'>{}</div><div class='related'>See more</div></body>",
+    ],
+)
+def test_a_noise_word_does_not_cut_the_article(page):
+    body = [f"This is paragraph {k} of the article, and it goes on for quite a while." for k in range(6)]
+    assert html_text.main_text(page.format("".join(f"<p>{p}</p>" for p in body))) == "\n\n".join(body)
+
+
+def test_all_text_in_noise_is_not_lost():
+    page = "<body><div class='widget'><p>One half of the whole text.</p></div><div class='promo'><p>One half of the whole text.</p></div></body>"
+    assert "One half of the whole text." in html_text.main_text(page)
+
+
 def test_broken_and_odd_pages():
     f = html_text.main_text
     assert f(None) == f("") == f("   ") == f("<html><body></body></html>") == f("<script>x</script>") == ""
