@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, blob_secrets, exact_topk, html_text, licenses, mixing, packing, pii, quality, simhash
+from tessera.llm import alignment, ann, blob_secrets, exact_topk, html_text, licenses, mixing, packing, pii, quality, simhash
 from tessera.llm.common import table
 
 
@@ -55,6 +55,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -66,6 +73,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
 }
 
 #: The mix in plain SQL: sizes, water-filled targets, order by hashed key, cut.
