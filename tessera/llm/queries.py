@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import alignment, ann, blob_secrets, exact_topk, html_text, licenses, mixing, packing, pii, quality, simhash
+from tessera.llm import alignment, ann, blob_secrets, exact_topk, html_text, language_model, licenses, mixing, packing, pii, quality, simhash
 from tessera.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *paths)
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"), language_model.fold())
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -74,6 +78,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
     "op11_alignment": op11_alignment,
+    "op13_language_model": op13_language_model,
 }
 
 #: The mix in plain SQL: sizes, water-filled targets, order by hashed key, cut.
