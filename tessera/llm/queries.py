@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import alignment, ann, blob_secrets, exact_topk, html_text, language_model, licenses, mixing, packing, pii, quality, simhash
+from tessera.llm import alignment, ann, blob_secrets, exact_topk, html_text, language_model, licenses, mixing, packing, pii, prefix_trie, quality, simhash
 from tessera.llm.common import table
 
 
@@ -62,6 +63,18 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *paths)
 
 
+def trie_base(c: Column) -> Column:
+    return c - c % 20
+
+
+def trie_head(c: Column) -> Column:
+    return F.crc32(c.cast("string")) % 4
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), trie_base, trie_head, most_head=3)
+
+
 def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"), language_model.fold())
 
@@ -78,6 +91,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
     "op11_alignment": op11_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_language_model": op13_language_model,
 }
 
@@ -126,4 +140,39 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
-ORACLE = {"op1_licenses": licenses.oracle(licenses.NOTICES), "op4_exact_topk": TOPK_SQL, "op6_mixing": MIXING_SQL}
+#: The trie in plain SQL: conversations as lists of hashed turns, nodes as their prefixes.  CRC-32 bit by bit.
+TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, list({'role': role, 'text': text} ORDER BY r) AS turns FROM t GROUP BY c
+), h AS (
+  SELECT c, turns,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+             lambda a, x: list_reduce(list_prepend(xor(a, x), [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]),
+                                      lambda s, k: xor(s >> 1, (s & 1) * 3988292384)))) % 4 AS h
+  FROM o
+), b AS (
+  SELECT h.c, list_concat(coalesce(o.turns[1:h.h], []), h.turns[h.h + 1:]) AS turns FROM h LEFT JOIN o ON o.c = h.c - h.c % 20
+), p AS (
+  SELECT c, len(turns) AS n, d, turns[1:d] AS path, turns[d].text AS last FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM b)
+), v AS (
+  SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, min(CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(last, '[^\x20\x09-\x0D]+')) END) AS words,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends
+  FROM p GROUP BY path, d
+), k AS (
+  SELECT v.*, q.conv_id AS parent_conv_id, q.path AS up FROM v LEFT JOIN v q ON q.path = v.path[1:v.d - 1] AND v.d = q.d + 1
+), f AS (
+  SELECT up AS path, count(*) AS n_children FROM k WHERE up IS NOT NULL GROUP BY up
+), below AS (
+  SELECT a.path, sum((u.n_convs - 1) * u.words) AS saved_tokens, count(*) FILTER (WHERE f.path IS NULL) AS n_leaves
+  FROM (SELECT v.path AS under, v.path[1:x.i] AS path FROM v, (SELECT unnest(range(0, (SELECT max(d) + 1 FROM v))) AS i) x WHERE x.i <= v.d) a
+  JOIN v u ON u.path = a.under LEFT JOIN f ON f.path = a.under GROUP BY a.path
+)
+SELECT conv_id::BIGINT AS conv_id, d::BIGINT AS depth, parent_conv_id::BIGINT AS parent_conv_id, n_convs::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM k LEFT JOIN f ON f.path = k.path JOIN below ON below.path = k.path
+"""
+
+ORACLE = {"op12_prefix_trie": TRIE_SQL, "op1_licenses": licenses.oracle(licenses.NOTICES), "op4_exact_topk": TOPK_SQL, "op6_mixing": MIXING_SQL}

@@ -124,11 +124,11 @@ def test_run_is_the_stages_in_a_row(spark, stages):
     assert set(tokens(rows)) == set(tokens(stages["packing"][1])) and key(rows[0])
 
 
-def test_all_ten_are_registered():
+def test_all_operators_are_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
@@ -137,7 +137,7 @@ def test_oracle_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
     got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     want = con.execute(queries.ORACLE[name]).df()
