@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import text_or_empty, written
 
 #: Tokens of a chunk; bytes of text that are split at a time; tokens whose bigrams one range sums.
-CHUNK_TOKENS, RUN_BYTES, RANGE_TOKENS = 5_000_000, 1 << 22, 1 << 22
+CHUNK_TOKENS, RUN_BYTES, RANGE_TOKENS = 2_500_000, 1 << 22, 1 << 22
 #: A word above 1 / HOT_SHARE of all tokens is spread over the ranges.
 HOT_SHARE = 1024
 #: Place 0 of every chunk's list: the text boundary, as a token the end, as a context the start.
