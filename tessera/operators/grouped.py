@@ -16,49 +16,45 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-DEFAULT_BUCKET_WIDTH = 1 << 20
 
 
 def rank_by_int_key(
     df: DataFrame,
     group: str,
     order: str,
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_width: int | None = None,
     rank_col: str = "idx",
     size_col: str = "n",
 ) -> DataFrame:
     """1-based position of each row inside its group, ordered by an int key.
 
-    Rows are cut into (group, order div bucket_width) pieces; with distinct keys
-    a piece holds at most ``bucket_width`` rows.  Piece sizes are summed with a
-    running window over the (tiny) piece table and added to the row number
-    inside the piece.
+    Rows are range-sorted by (group, key) and written, so a hot group is cut into as many pieces
+    as ranges hold it, whether its keys are dense or any 64-bit numbers.  A row's position is
+    the number of its group's rows in earlier ranges (a running sum over one row a group and range) plus
+    its place in its own.  ``bucket_width`` asks for ranges of about so many rows; without it there are as many
+    as the session's shuffle partitions.
 
     Ties of the order key go by all other columns, so a retried task gives
     every row the same position; rows equal in every column are interchangeable.
-    Rows with a null group or a null key form groups and pieces of their own
+    Rows with a null group or a null key form groups of their own
     (null keys come first) and stay in the result.
     """
+    ranges = -(-df.count() // bucket_width) if bucket_width else None
     rest = [c for c in df.columns if c not in (group, order)]
-    # A struct as key: null fields compare equal, and window and join share one shuffle.
-    piece = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
-    keyed = df.withColumn("_key", F.struct(F.col(group).alias("g"), piece.alias("p")))
-    pieces = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_cnt"))
+    ordered = _range_sorted(df, [group, order, *rest], ranges)
+    # A struct as key: null groups compare equal.
+    keyed = ordered.withColumn("_key", F.struct(F.col(group).alias("g"), F.col("_pid").alias("p")))
+    pieces = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     by_group = Window.partitionBy("_key.g")
-    running = by_group.orderBy(F.col("_key.p").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    running = by_group.orderBy("_key.p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         "_key",
+        "_first",
         F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(by_group).alias(size_col),
-    )
-    ranked = keyed.withColumn("_r", F.row_number().over(Window.partitionBy("_key").orderBy(order, *rest)))
-    return (
-        ranked.join(offsets, "_key")
-        .withColumn(rank_col, (F.col("_before") + F.col("_r")).cast("long"))
-        .withColumn(size_col, F.col(size_col).cast("long"))
-        .drop("_key", "_r", "_before")
-        .select(*df.columns, size_col, rank_col)
+        F.sum("_cnt").over(by_group).cast("long").alias(size_col),
     )
+    placed = keyed.join(offsets, "_key").withColumn(rank_col, (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long"))
+    return placed.select(*df.columns, size_col, rank_col)
 
 
 def top_k_per_group(
@@ -90,13 +86,14 @@ def top_k_per_group(
     return cand.withColumn(rank_col, F.row_number().over(w2).cast("long")).filter(F.col(rank_col) <= k)
 
 
-def _range_sorted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _range_sorted(df: DataFrame, keys: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Rows in global order with ``_pid`` (partition) and ``_mid`` (rising row number), written once.
 
     Range partitioning cuts long runs of a key across tasks; the written table
     fixes both numbers for every later reader and retry."""
     path = scratch_path(df.sparkSession, "range-sorted")
-    ordered = df.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id())
+    ordered = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys) if ranges else df.orderBy(*keys)
+    ordered = ordered.withColumn("_mid", F.monotonically_increasing_id())
     ordered.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -14,7 +14,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.factors import top_k_products
+from tessera.operators.products import top_k_products
 from tessera.operators.ranking import ranking_metrics
 from tessera.session import checkpoint_dir
 
@@ -95,7 +95,7 @@ def recommend(model: ALSModel, k: int, entities: DataFrame | None = None, for_:
     ``for_='users'`` ranks items for each user; ``for_='items'`` ranks users
     for each item.  With ``entities`` only those ids are scored, which is far
     cheaper than scoring every id when only a held-out subset is evaluated.
-    The factors are scored by ``factors.top_k_products``: its blocks follow the
+    The factors are scored by ``products.top_k_products``: its blocks follow the
     number of factors, so a larger cluster does not make the result larger.
     """
     user, item = model.getUserCol(), model.getItemCol()

@@ -22,9 +22,13 @@ Expansion to ids
     share is written by many tasks.
 
 Approximate join
-    ``BucketedRandomProjectionLSH.approxSimilarityJoin``, as in the original
-    notebook, run on distinct vectors.  It may miss pairs; its result is a
-    subset of the exact join.
+    Random projections in buckets, on distinct vectors: a table of (projections, bucket) keys, in which a
+    left vector probes its own bucket and the adjacent ones.  Candidates are verified, so the result is a subset of the
+    exact join, and a pair is reported by the first table that finds it.
+
+Crowded keys
+    A grid cell or a bucket may hold very many vectors.  Sizes are counted first; a key
+    above ``CROWD`` is cut into parts on both sides, and every pair of parts is joined by itself.
 
 Distances are Euclidean and strictly less than the radius.  Vectors that are null or hold
 a null or NaN component have no distance to anything and give no pairs.
@@ -36,8 +40,7 @@ import itertools
 import json
 import math
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +50,8 @@ from tessera.functions.arrays import squared_distance
 LATTICE_OFFSETS = 2_000
 #: Coordinates of the grid: 3^4 = 81 adjacent cells.
 GRID_COORDINATES = 4
+#: Vectors of one key that are joined as they stand; larger keys are cut into parts of about so many.
+CROWD = 1 << 12
 #: Ids of one chunk; a pair of chunks expands to at most its square.
 CHUNK_IDS = 1_000
 
@@ -123,10 +128,29 @@ def vector_pairs(left: DataFrame, right: DataFrame, radius: float, integral: boo
     # A component shorter than a grid coordinate has a null cell and can match nothing there.
     lcell = lv.select("left_vec", cell("left_vec").alias("_c"), F.explode(around).alias("_off")).select("left_vec", F.zip_with("_c", "_off", lambda a, b: a + b).alias("_cell"))
     rcell = rv.select("right_vec", cell("right_vec").alias("_cell"))
-    pairs = lcell.join(rcell, "_cell").filter(F.size("left_vec") == F.size("right_vec"))
+    pairs = _crowded_join(lcell, rcell, "_cell", "left_vec", "right_vec").filter(F.size("left_vec") == F.size("right_vec"))
     return pairs.select("left_vec", "right_vec", far).filter(F.col("distance") < radius)
 
 
+def _crowded_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, crowd: int = CROWD) -> DataFrame:
+    """Inner join on ``key`` of rows told apart by ``left_id`` and ``right_id``, no part of which takes more than about
+    ``crowd`` rows of either side."""
+    n_left = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
+    n_right = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
+    sizes = n_left.join(n_right, key).filter(F.greatest("_nl", "_nr") > crowd)
+    parts = sizes.select(key, F.ceil(F.col("_nl") / crowd).cast("long").alias("_pl"), F.ceil(F.col("_nr") / crowd).cast("long").alias("_pr"))
+    if not parts.limit(1).count():
+        return left.join(right, key)
+    one = F.lit(1).cast("long")
+
+    def cut(side: DataFrame, ident: str, own: str, other: str, own_no: str, other_no: str) -> DataFrame:
+        split = side.join(parts, key, "left").withColumns({own: F.coalesce(own, one), other: F.coalesce(other, one)})
+        split = split.withColumn(own_no, F.pmod(F.xxhash64(ident), F.col(own)))
+        return split.withColumn(other_no, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).drop(own, other)
+
+    return cut(left, left_id, "_pl", "_pr", "_l", "_r").join(cut(right, right_id, "_pr", "_pl", "_r", "_l"), [key, "_l", "_r"]).drop("_l", "_r")
+
+
 def _chunks(vecs: DataFrame, side: str, chunk_ids: int) -> DataFrame:
     """(side_vec, side_chunk, side_ids): the distinct ids of a vector in chunks of bounded size."""
     ids = vecs.select("_vec", "_id").distinct()
@@ -176,20 +200,62 @@ def approximate_radius_join(
     bucket_length: float = 2.0,
     num_hash_tables: int = 3,
     seed: int = 1,
+    probes: int = 1,
 ) -> DataFrame:
-    """LSH radius join (BucketedRandomProjectionLSH), on distinct vectors, expanded to ids."""
+    """LSH radius join (M8), on distinct vectors, expanded to ids; parameters as in ``approximate_vector_pairs``."""
     lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
-    pairs = approximate_vector_pairs(lvecs, rvecs, radius, bucket_length, num_hash_tables, seed)
+    pairs = approximate_vector_pairs(lvecs, rvecs, radius, bucket_length, num_hash_tables, seed, probes)
     return _expanded(pairs, lvecs, rvecs, left_name, right_name)
 
 
-def approximate_vector_pairs(left: DataFrame, right: DataFrame, radius: float, bucket_length: float = 2.0, num_hash_tables: int = 3, seed: int = 1) -> DataFrame:
-    """As ``vector_pairs``, found by MLlib's random projections."""
-    lv = left.select("_vec").distinct().withColumn("v", array_to_vector("_vec"))
-    rv = right.select("_vec").distinct().withColumn("v", array_to_vector("_vec"))
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=bucket_length, numHashTables=num_hash_tables, seed=seed).fit(rv)
-    found = lsh.approxSimilarityJoin(lv, rv, radius, distCol="distance")
-    return found.select(F.col("datasetA._vec").alias("left_vec"), F.col("datasetB._vec").alias("right_vec"), "distance")
+#: Projections that make one key.
+PROJECTIONS = 2
+
+
+def approximate_vector_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    radius: float,
+    bucket_length: float = 2.0,
+    num_hash_tables: int = 3,
+    seed: int = 1,
+    probes: int = 1,
+    projections: int = PROJECTIONS,
+    crowd: int = CROWD,
+) -> DataFrame:
+    """As ``vector_pairs``, found by random projections (M8).
+
+    Each of ``num_hash_tables`` tables keys a vector by the buckets (of ``bucket_length``) of ``projections`` random unit
+    directions; a left vector probes up to ``probes`` buckets to either side on each.  A projection never lengthens
+    a distance: where probes x bucket_length reaches the radius, one table finds every pair and no other is built.
+    Vectors of other than the largest length take no part.
+    """
+    lv, rv = left.select(F.col("_vec").alias("left_vec")).distinct(), right.select(F.col("_vec").alias("right_vec")).distinct()
+    dim, _ = _profile(left.select("_vec").unionByName(right.select("_vec")))
+    tables = 1 if probes * bucket_length >= radius else num_hash_tables
+    directions = np.random.default_rng(seed).standard_normal((tables * projections, max(1, dim)))
+    directions /= np.linalg.norm(directions, axis=1, keepdims=True)
+    plane = F.from_json(F.lit(json.dumps(directions.tolist())), "array<array<double>>")
+
+    def buckets(vec: str) -> Column:
+        dot = lambda d: F.aggregate(F.zip_with(d, F.col(vec), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+        return F.transform(plane, lambda d: F.floor(dot(d) / F.lit(float(bucket_length))).cast("long"))
+
+    around = _constant([list(o) for o in itertools.product(range(-probes, probes + 1), repeat=projections)])
+    number = F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))
+    own = F.slice(F.col("_h"), F.col("_t") * projections + 1, projections)
+    rkeys = rv.filter(F.size("right_vec") == dim).select("right_vec", buckets("right_vec").alias("_hr")).withColumn("_t", number)
+    rkeys = rkeys.withColumnRenamed("_hr", "_h").select("right_vec", F.col("_h").alias("_hr"), F.struct("_t", own.alias("b")).alias("_key"))
+    lkeys = lv.filter(F.size("left_vec") == dim).select("left_vec", buckets("left_vec").alias("_h")).withColumn("_t", number)
+    lkeys = lkeys.select("left_vec", F.col("_h").alias("_hl"), "_t", own.alias("_b"), F.explode(around).alias("_o"))
+    lkeys = lkeys.select("left_vec", "_hl", F.struct("_t", F.zip_with("_b", "_o", lambda a, b: a + b).alias("b")).alias("_key"))
+    met = _crowded_join(lkeys, rkeys, "_key", "left_vec", "right_vec", crowd)
+    near = F.zip_with("_hl", "_hr", lambda a, b: F.abs(a - b) <= probes)
+    earlier = F.lit(False)
+    for t in range(tables - 1):
+        earlier = earlier | ((F.col("_key._t") > t) & F.forall(F.slice(near, t * projections + 1, projections), lambda x: x))
+    far = F.sqrt(squared_distance("left_vec", "right_vec")).alias("distance")
+    return met.filter(~earlier).select("left_vec", "right_vec", far).filter(F.col("distance") < radius)
 
 
 def neighbor_counts(pairs: DataFrame, left_name: str = "left_id") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_unit
-from tessera.operators.grouped import DEFAULT_BUCKET_WIDTH, rank_by_int_key
+from tessera.operators.grouped import rank_by_int_key
 
 SEED_SAMPLE, SEED_SPLIT, SEED_ITEM, SEED_ROW = "sample", "split", "item", "row"
 
@@ -79,7 +79,7 @@ def half_split(
     df: DataFrame,
     user: str = "user_id",
     item: str = "item_id",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_width: int | None = None,
 ) -> DataFrame:
     """Per-user split of rows ordered by item id (X5: W1, W2, P12).
 
@@ -101,7 +101,7 @@ def assign_parts(
     seed: str = SEED_SPLIT,
     user: str = "user_id",
     item: str = "item_id",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_width: int | None = None,
 ) -> DataFrame:
     """Every row labelled with one ``part`` (L2).
 
@@ -143,7 +143,7 @@ def split_table(
     seed: str = SEED_SPLIT,
     user: str = "user_id",
     item: str = "item_id",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_width: int | None = None,
 ) -> DataFrame:
     """One final table straight from the interactions: only the users it needs are ranked."""
     splits = sorted({p.removesuffix("_train") for p in PART_SETS[name]}, key=SPLITS.index)

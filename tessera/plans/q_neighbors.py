@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_unit_sql
 from tessera.operators import factors as FA
+from tessera.operators import products as PR
 from tessera.operators import neighbors as N
 from tessera.operators import ranking as RK
 from tessera.plans import inputs as I
@@ -114,6 +115,20 @@ def radius_neighbors_lsh(spark, sf_dir):
     return pairs.withColumn("distance", r6("distance"))
 
 
+@register(
+    "radius_neighbors_lsh_recall",
+    O.with_(*GENRE_CTES, O.radius_pairs(R_MAIN)) + "SELECT count(*) AS n_exact, true AS enough, true AS all_true FROM pairs",
+)
+def radius_neighbors_lsh_recall(spark, sf_dir):
+    """Buckets half as wide as the radius, so pairs can be missed: at least nine of ten are found, and nothing else."""
+    hold, train = I.holdout_and_train_vectors(spark, sf_dir)
+    found = N.approximate_radius_join(hold, train, R_MAIN, left_name="holdout_id", right_name="train_id", bucket_length=R_MAIN / 2, num_hash_tables=4)
+    keys = ["holdout_id", "train_id"]
+    both = _exact(spark, sf_dir, R_MAIN).select(*keys, F.lit(1).alias("e")).join(found.select(*keys, F.lit(1).alias("f")), keys, "full")
+    sums = both.agg(F.count("e").alias("n_exact"), F.count(F.col("e") + F.col("f")).alias("hits"), F.count("f").alias("n_found"))
+    return sums.select("n_exact", (F.col("hits") >= 0.9 * F.col("n_exact")).alias("enough"), (F.col("hits") == F.col("n_found")).alias("all_true"))
+
+
 @register(
     "neighbor_counts",
     O.with_(*GENRE_CTES, O.radius_pairs(R_NOTEBOOK))
@@ -153,7 +168,7 @@ def extended_item_factors(spark, sf_dir):
 
 def _pair_scores(spark, sf_dir):
     pairs = fx.interactions(spark, sf_dir).select("user_id", "item_id", "rating")
-    return FA.score_pairs(pairs, fx.item_factors(spark, sf_dir), fx.user_factors(spark, sf_dir))
+    return PR.score_pairs(pairs, fx.item_factors(spark, sf_dir), fx.user_factors(spark, sf_dir))
 
 
 @register(
@@ -187,7 +202,7 @@ def rmse(spark, sf_dir):
 
 def _pseudo(spark, sf_dir):
     held = I.holdout_rows(spark, sf_dir).select("user_id", "item_id")
-    return FA.score_pairs(held, _extended(spark, sf_dir), fx.user_factors(spark, sf_dir), out="rating")
+    return PR.score_pairs(held, _extended(spark, sf_dir), fx.user_factors(spark, sf_dir), out="rating")
 
 
 @register(

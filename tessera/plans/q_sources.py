@@ -38,7 +38,7 @@ def explicit_ratings(spark, sf_dir):
 
 @register(
     "csv_headerless_load",
-    O.with_(O.INTERACTIONS, O.EXPLICIT) + "SELECT user_id, item_id, rating FROM explicit",
+    O.with_(O.INTERACTIONS, O.EXPLICIT) + "SELECT user_id::BIGINT AS user_id, item_id::BIGINT AS item_id, rating FROM explicit",
 )
 def csv_headerless_load(spark, sf_dir):
     path = scratch_path(spark, "interactions-csv")
@@ -58,13 +58,37 @@ def csv_header_load(spark, sf_dir):
     return loaded.select(F.col("real_item_id").try_cast("int").alias("real_item_id"), "genre")
 
 
-@register("csv_to_parquet", O.with_(O.INTERACTIONS) + f"SELECT {COLS} FROM interactions")
+@register("csv_to_parquet", O.with_(O.INTERACTIONS) + f"SELECT {COLS.replace('user_id, item_id', 'user_id::BIGINT AS user_id, item_id::BIGINT AS item_id')} FROM interactions")
 def csv_to_parquet(spark, sf_dir):
     csv_path = scratch_path(spark, "raw-csv")
     R.write_csv(fx.interactions(spark, sf_dir), csv_path, header=True)
     return R.csv_to_parquet(spark, csv_path, scratch_path(spark, "raw-parquet"), header=True)
 
 
+#: Added to user ids: beyond 32 bits.
+FAR = 10_000_000_000
+
+
+@register(
+    "csv_quarantine",
+    O.with_(O.INTERACTIONS)
+    + f"SELECT 'row' AS kind, user_id + {FAR} AS user_id, item_id::BIGINT AS item_id, rating, 1::BIGINT AS n FROM interactions WHERE item_id % 50 > 2 "
+    + "UNION ALL SELECT CASE WHEN item_id % 50 = 1 THEN 'missing key' ELSE 'malformed' END AS kind, NULL, NULL, NULL, count(*) FROM interactions WHERE item_id % 50 <= 2 GROUP BY 1",
+)
+def csv_quarantine(spark, sf_dir):
+    """Large ids survive; lines with a word for a number, without a key or with a field too many are kept apart and counted."""
+    path = scratch_path(spark, "raw-lines")
+    far = F.col("user_id") + F.lit(FAR)
+    kind = F.col("item_id") % 50
+    user = F.when(kind == 0, F.concat(F.lit("u"), far)).when(kind == 1, F.lit("")).otherwise(far.cast("string"))
+    line = F.concat_ws(",", user, *[F.col(c).cast("string") for c in INTERACTION_COLUMNS[1:]], F.when(kind == 2, F.lit("more")))
+    fx.interactions(spark, sf_dir).select(line.alias("value")).write.text(path)
+    good, rejects = R.quarantine_csv(spark, path, scratch_path(spark, "quarantine"))
+    rows = good.select(F.lit("row").alias("kind"), "user_id", "item_id", "rating", F.lit(1).cast("long").alias("n"))
+    counts = R.reject_counts(rejects).select(F.col("reason").alias("kind"), F.col("n_lines").alias("n"))
+    return rows.unionByName(counts, allowMissingColumns=True)
+
+
 def _json_null_exprs() -> str:
     parts = []
     for c in GENRE_COLUMNS:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.sources.schemas import (
     GENRE_COLUMNS,
@@ -55,10 +56,55 @@ def explicit_ratings(df: DataFrame, rating: str = "rating") -> DataFrame:
 
 
 def read_interactions_csv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
-    """Interactions from CSV with the declared schema."""
+    """Interactions from CSV with the declared schema, ids of 64 bits.
+
+    A field that is no number reads as null; ``quarantine_csv`` keeps such lines apart and counts them."""
     return spark.read.csv(path, header=header, schema=INTERACTIONS_DDL, mode="PERMISSIVE")
 
 
+#: Why a line is kept apart.
+MALFORMED, NO_KEY = "malformed", "missing key"
+
+
+def _quarantined(rows: DataFrame, line, lacking, table_path: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with their raw text in ``_corrupt`` where they could not be read -> (good rows, rejects), written in one pass."""
+    columns = [c for c in rows.columns if c != "_corrupt"]
+    reason = F.when(F.col("_corrupt").isNotNull(), F.lit(MALFORMED)).when(lacking, F.lit(NO_KEY)).otherwise(F.lit("none"))
+    out = rows.withColumn("_line", F.coalesce("_corrupt", line)).withColumn("_reason", reason).drop("_corrupt")
+    out = out.withColumn("_line", F.when(F.col("_reason") != "none", F.col("_line")))
+    out.write.mode("errorifexists").partitionBy("_reason").parquet(table_path)
+    stored = rows.sparkSession.read.schema(out.schema).parquet(table_path)
+    good = stored.filter(F.col("_reason") == "none").select(*columns)
+    return good, stored.filter(F.col("_reason") != "none").select(F.col("_line").alias("line"), F.col("_reason").alias("reason"))
+
+
+def quarantine_csv(spark: SparkSession, csv_path: str, table_path: str, header: bool = False, keys=("user_id", "item_id", "rating")) -> tuple[DataFrame, DataFrame]:
+    """CSV interactions stored as parquet -> (good rows, rejects (line, reason)).
+
+    A line with a field that doesn't fit its type, or with too few or too many fields, is ``malformed``; one whose keys are
+    empty is of ``missing key``.  Nothing is lost: every line is a good row or a reject.  The text is read once; both
+    results are partitions of one written table.
+    """
+    rows = spark.read.csv(csv_path, header=header, schema=f"{INTERACTIONS_DDL}, _corrupt STRING", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
+    line = F.to_csv(F.struct(*INTERACTION_COLUMNS))
+    return _quarantined(rows, line, F.greatest(*[F.col(k).isNull() for k in keys]), table_path)
+
+
+def quarantine_genre_json(spark: SparkSession, json_path: str, table_path: str) -> tuple[DataFrame, DataFrame]:
+    """Genre documents stored as parquet -> (good documents, rejects (line, reason)) (S5): lines that are no such document are
+    ``malformed``, documents without an id of ``missing key``."""
+    schema = T.StructType([*GENRE_JSON_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(json_path)
+    # Parquet takes no commas in field names of older readers: the genres become columns.
+    flat = rows.select("book_id", *[F.col("genres").getField(k).alias(c) for k, c in zip(GENRE_KEYS, GENRE_COLUMNS)], "_corrupt")
+    return _quarantined(flat, F.to_json(F.struct("book_id")), F.col("book_id").try_cast("bigint").isNull(), table_path)
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected lines by reason."""
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def read_id_map(spark: SparkSession, path: str, fmt: str = "csv", names: dict[str, str] | None = None) -> DataFrame:
     """The id dictionary (item_id, real_item_id) from CSV with a header or from parquet.
 
@@ -76,7 +122,8 @@ def read_string_csv(spark: SparkSession, path: str, columns: list[str]) -> DataF
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, header: bool = True) -> DataFrame:
-    """Convert raw CSV interactions to parquet once; fails if the target exists."""
+    """Convert raw CSV interactions to parquet once; fails if the target exists (S4, K1).  With lines that may be
+    malformed, use ``quarantine_csv``."""
     read_interactions_csv(spark, csv_path, header=header).write.mode("errorifexists").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 # Raw interaction columns, in file order.
 INTERACTION_COLUMNS = ["user_id", "item_id", "is_read", "rating", "is_reviewed"]
-INTERACTIONS_DDL = "user_id INT, item_id INT, is_read INT, rating INT, is_reviewed INT"
+INTERACTIONS_DDL = "user_id BIGINT, item_id BIGINT, is_read INT, rating INT, is_reviewed INT"
 
 # --- Fixed values (must equal the genre documents' field names) -------------
 # Keys of the nested ``genres`` object in the genre JSON documents, and the

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tessera.operators import factors as FA
+from tessera.operators import products as PR
 from tessera.operators import neighbors as N
 
 
@@ -107,7 +108,7 @@ def test_extend_and_score(spark):
     assert ext == {1: [1.0, 2.0], 2: [0.5, 0.5]}
     users = spark.createDataFrame([(7, [2.0, 1.0])], "id int, features array<float>")
     pairs = spark.createDataFrame([(7, 1), (7, 2), (8, 1), (7, 3)], "user_id int, item_id int")
-    scored = {(r.user_id, r.item_id): r.score for r in FA.score_pairs(pairs, FA.extend_factors(learned, imputed), users).collect()}
+    scored = {(r.user_id, r.item_id): r.score for r in PR.score_pairs(pairs, FA.extend_factors(learned, imputed), users).collect()}
     assert scored == {(7, 1): 4.0, (7, 2): 1.5}
 
 
@@ -191,3 +192,51 @@ def test_lsh_imputation_equals_exact_for_equal_vectors(spark):
     a = {r.id: r.features for r in FA.impute_by_signature(cold, warm, factors, 0.8).collect()}
     b = {r.id: r.features for r in FA.impute_by_signature(cold, warm, factors, 0.8, find_pairs=find).collect()}
     assert a == b and a
+
+
+def test_lsh_recall_and_truth(spark):
+    rnd = random.Random(11)
+    left = [(i, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(150)]
+    right = [(1000 + i, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(200)]
+    dl, dr = (spark.createDataFrame(x, "item_id int, features array<double>") for x in (left, right))
+    want = _brute(left, right, 1.2)
+    wide = N.approximate_radius_join(dl, dr, 1.2, bucket_length=1.2).select("left_id", "right_id").collect()
+    assert sorted(map(tuple, wide)) == sorted(want)
+    narrow = [tuple(r) for r in N.approximate_radius_join(dl, dr, 1.2, bucket_length=0.5, num_hash_tables=4).select("left_id", "right_id").collect()]
+    assert len(narrow) == len(set(narrow)) and set(narrow) <= want and len(narrow) >= 0.9 * len(want)
+
+
+def test_crowded_keys_are_cut(spark, monkeypatch):
+    """Half of all vectors in one grid cell and one bucket: the same pairs, from many tasks."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(12)
+    make = lambda first, n: [(first + i, [rnd.random() * (0.4 if i % 2 else 9.0) + 0.01 for _ in range(3)]) for i in range(n)]
+    left, right = make(0, 120), make(1000, 160)
+    dl, dr = (spark.createDataFrame(x, "item_id int, features array<double>") for x in (left, right))
+    want = _brute(left, right, 0.5)
+    monkeypatch.setattr(N, "CROWD", 10)
+    join = N._crowded_join
+    seen = []
+
+    def spy(a, b, key, x, y, crowd=10):
+        out = join(a, b, key, x, y, 10)
+        plain = a.join(b, key)
+        seen.append((plain.groupBy(F.col(key)).count().agg(F.max("count")).first()[0], out.count() == plain.count()))
+        return out
+
+    monkeypatch.setattr(N, "_crowded_join", spy)
+    grid = {(r.left_id, r.right_id) for r in N.exact_radius_join(dl, dr, 0.5, integral=False).collect()}
+    lsh = {(r.left_id, r.right_id) for r in N.approximate_radius_join(dl, dr, 0.5, bucket_length=0.5).collect()}
+    assert grid == lsh == want and all(n > 1000 and same for n, same in seen)
+    key = spark.createDataFrame([(1, k) for k in range(300)], "k int, a int")
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        spread = join(key, key.withColumnRenamed("a", "b"), "k", "a", "b", 20).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["count"] for r in spread) == 300 * 300 and len(spread) >= 3 and max(r["count"] for r in spread) < 0.6 * 300 * 300

@@ -30,7 +30,7 @@ def test_csv_roundtrip_with_declared_schema(spark):
     path = scratch_path(spark, "csv-test")
     R.write_csv(inter, path, header=False)
     back = R.read_interactions_csv(spark, path, header=False)
-    assert dict(back.dtypes) == {c: "int" for c in back.columns}
+    assert dict(back.dtypes) == {c: "bigint" if c.endswith("_id") else "int" for c in back.columns}
     assert back.exceptAll(inter).count() == 0 and inter.exceptAll(back).count() == 0
 
 
@@ -105,7 +105,7 @@ def test_block_counts_follow_the_data_not_the_cluster():
 
 
 def test_top_k_products_equal_mllib(spark, monkeypatch):
-    from tessera.operators import factors as FA
+    from tessera.operators import products as PR
 
     parts = S.assign_parts(fx.interactions(spark, SF001))
     model = M.fit_als(S.final_table(parts, "final_train_val"), rank=4, max_iter=3, seed=3)
@@ -113,8 +113,8 @@ def test_top_k_products_equal_mllib(spark, monkeypatch):
     for r in sorted(explode_recommendations(model.recommendForAllUsers(9), "user_id", "item_id").collect(), key=lambda r: (r.user_id, r.pos)):
         want.setdefault(r.user_id, []).append(r.score)
     for source, target in ((1024, 1 << 17), (10, 64)):  # also with several blocks on both sides
-        monkeypatch.setattr(FA, "SOURCE_BLOCK", source)
-        monkeypatch.setattr(FA, "TARGET_BLOCK", target)
+        monkeypatch.setattr(PR, "SOURCE_BLOCK", source)
+        monkeypatch.setattr(PR, "TARGET_BLOCK", target)
         got: dict = {}
         for r in sorted(M.recommend(model, 9).collect(), key=lambda r: (r.user_id, r.pos)):
             got.setdefault(r.user_id, []).append((r.pos, r.score))
@@ -125,14 +125,14 @@ def test_top_k_products_equal_mllib(spark, monkeypatch):
 
 
 def test_top_k_products_ties_and_odd_rows(spark):
-    from tessera.operators import factors as FA
+    from tessera.operators import products as PR
 
     left = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, -1.0]), (None, [1.0, 1.0]), (3, None)], "id int, features array<float>")
     right = spark.createDataFrame([(9, [1.0, 1.0]), (7, [1.0, 2.0]), (8, [0.5, 0.0]), (None, [9.0, 9.0])], "id int, features array<float>")
-    got = [tuple(r) for r in FA.top_k_products(left, right, 2, "a", "b").orderBy("a", "pos").collect()]
+    got = [tuple(r) for r in PR.top_k_products(left, right, 2, "a", "b").orderBy("a", "pos").collect()]
     assert got == [(1, 7, 1.0, 1), (1, 9, 1.0, 2), (2, 8, 0.0, 1), (2, 9, -1.0, 2)]
-    assert FA.top_k_products(left, right.limit(0), 2).count() == FA.top_k_products(left.limit(0), right, 2).count() == 0
-    assert FA.top_k_products(left, right, 50).count() == 6
+    assert PR.top_k_products(left, right.limit(0), 2).count() == PR.top_k_products(left.limit(0), right, 2).count() == 0
+    assert PR.top_k_products(left, right, 50).count() == 6
 
 
 def test_readers_take_foreign_names(spark):
@@ -142,3 +142,36 @@ def test_readers_take_foreign_names(spark):
     spark.createDataFrame([("1", "x"), ("2", "4000000000")], "book_id_csv string, book_id string").write.option("header", "true").csv(ids)
     got = R.read_id_map(spark, ids, "csv", {"item_id": "book_id_csv", "real_item_id": "book_id"})
     assert [tuple(r) for r in got.collect()] == [(2, 4000000000)]
+
+
+def test_quarantine_keeps_every_line(spark):
+    path = scratch_path(spark, "lines")
+    lines = ["9999999999,4,1,5,0", "1,2,1,5,0", "x,2,1,5,0", "1,,1,5,0", "1,2,1", "1,2,1,5,0,9", "1,2,1,,0", "92233720368547758079,2,1,5,0"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    good, rejects = R.quarantine_csv(spark, path, scratch_path(spark, "kept"))
+    assert sorted((r.user_id, r.item_id) for r in good.collect()) == [(1, 2), (9999999999, 4)]
+    got = {r["line"]: r["reason"] for r in rejects.collect()}
+    assert {k for k, v in got.items() if v == "malformed"} == {"x,2,1,5,0", "1,2,1", "1,2,1,5,0,9", "92233720368547758079,2,1,5,0"}
+    assert sorted(got.values()).count("missing key") == 2
+    assert {r["reason"]: r["n_lines"] for r in R.reject_counts(rejects).collect()} == {"malformed": 4, "missing key": 2}
+
+
+def test_json_quarantine(spark):
+    path = scratch_path(spark, "json-lines")
+    lines = ['{"book_id": "10", "genres": {"children": 3}}', '{"book_id": "11", "genres": ', '{"genres": {"fiction": 1}}', '{"book_id": "z"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    good, rejects = R.quarantine_genre_json(spark, path, scratch_path(spark, "kept-json"))
+    assert [(r.book_id, r.children) for r in good.collect()] == [("10", 3)]
+    assert {r["reason"]: r["n_lines"] for r in R.reject_counts(rejects).collect()} == {"malformed": 1, "missing key": 2}
+
+
+def test_a_run_written_twice_replaces_its_rows(spark):
+    from tessera.plans.evaluate import run_name, store_metrics
+
+    path = scratch_path(spark, "metrics-runs")
+    rows = spark.createDataFrame([("val", 0.5), ("test", 0.25)], "split string, x double")
+    store_metrics(rows, path, run_name("a", 1))
+    store_metrics(rows, path, run_name("b", 1))
+    store_metrics(rows.withColumn("x", rows["x"] * 2), path, run_name("a", 1))
+    got = sorted((r.run == run_name("a", 1), r.split, r.x) for r in spark.read.parquet(path).collect())
+    assert got == [(False, "test", 0.25), (False, "val", 0.5), (True, "test", 0.5), (True, "val", 1.0)]
