@@ -48,9 +48,10 @@ def _val(parts):
 
 
 #: Rows that a model of final_train_val can score: user and item both occur there.
-SCORED = """train AS (SELECT * FROM parts WHERE part IN ('train', 'val_train')),
-scored AS (SELECT user_id, item_id, rating FROM parts WHERE part = 'val'
-           AND user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train))"""
+SCORED = """dealt AS MATERIALIZED (SELECT user_id, item_id, rating, part FROM parts),
+train AS MATERIALIZED (SELECT user_id, item_id, rating FROM dealt WHERE part IN ('train', 'val_train')),
+known_users AS MATERIALIZED (SELECT DISTINCT user_id FROM train), known_items AS MATERIALIZED (SELECT DISTINCT item_id FROM train),
+scored AS (SELECT d.user_id, d.item_id, d.rating FROM dealt d JOIN known_users USING (user_id) JOIN known_items USING (item_id) WHERE d.part = 'val')"""
 MODEL_CTES = (O.INTERACTIONS, O.PARTS, SCORED)
 
 
@@ -178,6 +179,24 @@ def ranking_report(spark, sf_dir):
     return holdout_report(_parts(spark, sf_dir), EVAL_PARAMS, TOP_K, metrics_path=scratch_path(spark, "metrics"))
 
 
+METRICS = ("precision_at_k", "ndcg_at_k", "mean_average_precision", "recall_at_k")
+
+
+@register(
+    "ranking_report_shape",
+    O.with_(O.INTERACTIONS, O.PARTS)
+    + f"SELECT split, count(DISTINCT user_id) AS n_users, {TOP_K} AS k, true AS in_range "
+    + "FROM (SELECT part AS split, user_id FROM parts WHERE part IN ('val', 'test')) GROUP BY split",
+)
+def ranking_report_shape(spark, sf_dir):
+    """Which sets are scored, for how many users, and that every metric lies in [0, 1]."""
+    report = ranking_report(spark, sf_dir)
+    good = F.lit(True)
+    for m in METRICS:
+        good = good & F.col(m).between(0, 1)
+    return report.select("split", F.col("n_users").cast("long").alias("n_users"), "k", good.alias("in_range"))
+
+
 @register("coldstart_rmse")
 def coldstart_rmse(spark, sf_dir):
     return _cold_start(spark, sf_dir)
