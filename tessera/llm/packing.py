@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_or_empty, written
@@ -261,6 +261,8 @@ def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
 
 #: Random directions of term space; tails that a leaf of the tree is drawn from, and of the whole tree at most.
 DIRECTIONS, LEAF_SAMPLE, MOST_SAMPLE = 32, 24, 1 << 17
+#: Tokens that are sketched at a time.
+SKETCH_TOKENS = 1 << 19
 #: Halvings from the root down at most, for samples that are cut very unevenly.
 DEPTH = 64
 
@@ -273,31 +275,45 @@ def directions(size: int) -> np.ndarray:
 def sketches(tails: list[np.ndarray], idf: np.ndarray, mean: float, plane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors of BM25 term weights, projected, and smallest term hashes: one a tail, none empty."""
     out, least = np.zeros((len(tails), plane.shape[1]), np.float32), np.zeros(len(tails), np.int64)
-    for k, ids in enumerate(tails):
-        key = np.sort(ids)
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        term, tf = key[first], np.diff(first, append=len(key))
-        weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32)
-        out[k] = weight @ plane[term] / max(1e-9, float(np.sqrt(weight @ weight)))
-        x = (term.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        least[k] = int(((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)).min())
+    hashed = (np.arange(1, len(idf) + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    hashed = ((hashed ^ hashed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)).astype(np.int64)
+    length = np.array([len(t) for t in tails], np.int64)
+    stop = np.cumsum(length)
+    first = 0
+    while first < len(tails):  # runs of tails of about SKETCH_TOKENS
+        last = max(first + 1, int(np.searchsorted(stop, (stop[first - 1] if first else 0) + SKETCH_TOKENS)))
+        part, n = np.concatenate(tails[first:last]), length[first:last]
+        key = np.repeat(np.arange(last - first, dtype=np.uint64), n) * np.uint64(len(idf)) + part
+        key = key.astype(np.uint32) if (last - first) * len(idf) < 1 << 32 else key
+        key.sort()
+        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        tf = np.diff(at, append=len(key))
+        owner, term = np.divmod(key[at], key.dtype.type(len(idf)))
+        owner, term = owner.astype(np.int64), term.astype(np.int64)
+        norm = (K1 * (1 - B + B * n / mean))[owner]
+        weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+        begin = np.searchsorted(owner, np.arange(last - first + 1)).tolist()
+        for k, (x, y) in enumerate(zip(begin, begin[1:])):
+            out[first + k] = weight[x:y] @ plane[term[x:y]]
+        size = np.sqrt(np.add.reduceat(weight * weight, begin[:-1]))
+        out[first:last] /= np.maximum(1e-9, size)[:, None]
+        least[first:last] = np.minimum.reduceat(hashed[term], begin[:-1])
+        first = last
     return out, least
 
 
-class Tree:
+def grown_tree(sample: np.ndarray, weight: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Halves of a weighted sample along its widest direction, again and again, down to ``leaves`` leaves.
 
-    A sample without width (copies) is not cut any further."""
-
-    def __init__(self, sample: np.ndarray, weight: np.ndarray, leaves: int) -> None:
-        self.axis, self.cut, self.kids = [], [], []
-        self._grow(sample, weight, leaves, DEPTH)
+    A sample without width (copies) is not cut any further.  The tree is plain arrays, which every task
+    can read: by node its axis, its cut and its two kids (-1: a leaf)."""
+    axes, cuts, kids = [], [], []
 
-    def _grow(self, x: np.ndarray, weight: np.ndarray, leaves: int, depth: int) -> int:
-        at = len(self.kids)
-        self.axis.append(None)
-        self.cut.append(0.0)
-        self.kids.append(None)
+    def grow(x: np.ndarray, weight: np.ndarray, leaves: int, depth: int) -> int:
+        at = len(kids)
+        axes.append(np.zeros(sample.shape[1], np.float32))
+        cuts.append(0.0)
+        kids.append((-1, -1))
         if leaves > 1 and len(x) > 1 and depth:
             spread = x - x.mean(0)
             axis = np.linalg.eigh(spread.T @ spread)[1][:, -1]
@@ -308,21 +324,26 @@ class Tree:
             low = place <= cut
             if np.ptp(place) > 1e-4 and not low.all():
                 share = min(leaves - 1, max(1, round(leaves * float(weight[low].sum() / run[-1]))))
-                self.axis[at], self.cut[at] = axis, cut
-                self.kids[at] = (self._grow(x[low], weight[low], share, depth - 1), self._grow(x[~low], weight[~low], leaves - share, depth - 1))
+                axes[at], cuts[at] = axis, cut
+                kids[at] = (grow(x[low], weight[low], share, depth - 1), grow(x[~low], weight[~low], leaves - share, depth - 1))
         return at
 
-    def leaf(self, x: np.ndarray) -> np.ndarray:
-        """Leaf number of every vector."""
-        out, stack = np.zeros(len(x), np.int64), [(0, np.arange(len(x)))]
-        while stack:
-            at, rows = stack.pop()
-            if self.kids[at] is None:
-                out[rows] = at
-            elif len(rows):
-                low = x[rows] @ self.axis[at] <= self.cut[at]
-                stack += [(self.kids[at][0], rows[low]), (self.kids[at][1], rows[~low])]
-        return out
+    grow(sample, weight, leaves, DEPTH)
+    return np.array(axes), np.array(cuts), np.array(kids)
+
+
+def leaf_of(tree: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Leaf number of every vector."""
+    axes, cuts, kids = tree
+    out, stack = np.zeros(len(x), np.int64), [(0, np.arange(len(x)))]
+    while stack:
+        at, rows = stack.pop()
+        if kids[at][0] < 0:
+            out[rows] = at
+        elif len(rows):
+            low = x[rows] @ axes[at] <= cuts[at]
+            stack += [(kids[at][0], rows[low]), (kids[at][1], rows[~low])]
+    return out
 
 
 def by_content(tails: DataFrame, kind: str, idf: np.ndarray, mean: float, shards: int, shard_tokens: int) -> DataFrame:
@@ -331,7 +352,7 @@ def by_content(tails: DataFrame, kind: str, idf: np.ndarray, mean: float, shards
     Tails go to the leaf of a tree that halves a sample of them.  A leaf of far more than a
     shard's tokens is cut by its tails' smallest term hash, which near copies mostly share, and
     what is still too large (copies) by row, so no shard holds much more than 1.5 x
-    ``shard_tokens``, or one tail.  The driver sees the sample and two counts a shard.
+    ``shard_tokens``, or one tail.  The driver sees the sample only.
     """
     spark = tails.sparkSession
     if shards == 1:
@@ -351,25 +372,28 @@ def by_content(tails: DataFrame, kind: str, idf: np.ndarray, mean: float, shards
     some = tails.filter(F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1 << 30)) < int(min(1.0, want / max(1, n)) * (1 << 30)))
     sample = some.select("row", "ids").mapInArrow(drawn, "length long, x binary").collect()
     x = np.frombuffer(b"".join(r["x"] for r in sample), np.float32).reshape(-1, DIRECTIONS)
-    tree = spark.sparkContext.broadcast(Tree(x, np.array([r["length"] for r in sample], np.float64), min(shards, max(1, len(x) // 4))))
+    tree = spark.sparkContext.broadcast(grown_tree(x, np.array([r["length"] for r in sample], np.float64), min(shards, max(1, len(x) // 4))))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, x, least = sketch(batch)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in (length, tree.value.leaf(x), least))], names=[*batch.schema.names, "length", "leaf", "least"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in (length, leaf_of(tree.value, x), least))], names=[*batch.schema.names, "length", "leaf", "least"])
 
     known = written(tails.mapInArrow(placed, "row long, doc_id string, n long, ids binary, length long, leaf long, least long"), "pack-tails", "zstd")
 
-    def cuts(tokens: int) -> int:
-        return max(1, round(tokens / shard_tokens))
-
-    leaves = [(r["leaf"], cuts(r["t"])) for r in known.groupBy("leaf").agg(F.sum("length").alias("t")).collect()]
-    cut = known.join(F.broadcast(spark.createDataFrame(leaves or [(0, 1)], "leaf long, parts long")), "leaf").withColumn("part", F.pmod(F.xxhash64("least"), F.col("parts")))
-    parts, first = [], 0
-    for r in cut.groupBy("leaf", "part").agg(F.sum("length").alias("t")).orderBy("leaf", "part").collect():
-        parts.append((r["leaf"], r["part"], first, cuts(r["t"])))
-        first += parts[-1][3]
-    cut = cut.join(F.broadcast(spark.createDataFrame(parts or [(0, 0, 0, 1)], "leaf long, part long, first long, pieces long")), ["leaf", "part"])
+    def cuts(tokens):
+        return F.greatest(F.lit(1).cast("long"), F.round(tokens / shard_tokens).cast("long"))
+
+    # Shards are numbered leaf by leaf: one row a leaf (the tree bounds them), then one a part inside its leaf.
+    leaves = known.groupBy("leaf").agg(cuts(F.sum("length")).alias("parts"))
+    cut = known.join(leaves, "leaf").withColumn("part", F.pmod(F.xxhash64("least"), F.col("parts")))
+    parts = written(cut.groupBy("leaf", "part").agg(cuts(F.sum("length")).alias("pieces")), "pack-parts")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    starts = parts.groupBy("leaf").agg(F.sum("pieces").alias("n")).select("leaf", F.coalesce(F.sum("n").over(before(Window.orderBy("leaf"))), zero).alias("start"))
+    inside = parts.withColumn("inside", F.coalesce(F.sum("pieces").over(before(Window.partitionBy("leaf").orderBy("part"))), zero))
+    numbered = inside.join(starts, "leaf").select("leaf", "part", (F.col("start") + F.col("inside")).alias("first"), "pieces")
+    cut = cut.join(numbered, ["leaf", "part"])
     return cut.select("row", "doc_id", "n", "ids", (F.col("first") + F.pmod(F.xxhash64("row"), F.col("pieces"))).alias("shard"))
 
 
