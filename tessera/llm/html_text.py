@@ -207,47 +207,47 @@ def _densities(order: list[Node], body: Node) -> None:
 def _cut_named(order: list[Node]) -> list[Node]:
     """Cut the elements whose names tell of noise; returns those that were cut.
 
-    An element stays whatever its name says if it holds the body, or the article or main
-    element with the most text; or if it holds more than half of the page's text outside links, is
-    not named for reader comments and no such article stands elsewhere."""
+    What holds the body, or the article or main element with the most text, stays whatever its name says."""
     named = [x for x in order if x.named]
-    if not named:
-        return []
-    frames, holds, inside = [], set(), set()
-    for tag in ("article", "main", "body"):
+    holds = set()
+    for tag in ("article", "main", "body") if named else ():
         own = [x for x in order if x.tag == tag and not x.named]
         if own:
-            frames.append(max(own, key=lambda x: x.chars - x.link_chars))
-            up = frames[-1].parent
+            up = max(own, key=lambda x: x.chars - x.link_chars).parent
             while up is not None:
                 holds.add(up)
                 up = up.parent
-    framed = bool(frames) and frames[0].tag != "body"
-    if framed:
-        for x in order:
-            if x is frames[0] or x.parent in inside:
-                inside.add(x)
-    plain = order[0].chars - order[0].link_chars
-    cut = []
-    for x in named:
-        most = 2 * (x.chars - x.link_chars) > plain and (x.tag == "article" or _COMMENTS.isdisjoint(x.named)) and (not framed or x in inside)
-        if x not in holds and not most:
-            x.noise = True
-            cut.append(x)
+    cut = [x for x in named if x not in holds]
+    for x in cut:
+        x.noise = True
     return cut
 
 
+#: Visible characters outside links below which what is left of a page is no prose.
+PROSE = 80
+
+
+def _plain(node: Node) -> int:
+    return node.chars - node.link_chars
+
+
 def _main_nodes(root: Node) -> list[Node]:
+    """The nodes of the article: names cut first.  Where they leave neither an article element nor prose, an element that holds most of the page's text
+    outside links (and is not named for reader comments) comes back, and if there is none, all of them."""
     order = _measure(root)
+    whole = _plain(order[0])
+    most = {x for x in order if x.named and 2 * _plain(x) > whole and (x.tag == "article" or _COMMENTS.isdisjoint(x.named))}
     cut = _cut_named(order)
-    if not cut:
-        return _main_of(root, order)
     found = _main_of(root, _measure(root))
-    if found:
+    if not cut or sum(map(_plain, found)) >= PROSE or any(x.tag == "article" and x.chars for x in found):
         return found
-    for node in cut:  # nothing is left without them
-        node.noise = False
-    return _main_of(root, _measure(root))
+    for back in ([x for x in cut if x in most], cut):
+        for x in back:
+            x.noise = False
+        again = _main_of(root, _measure(root)) if back else []
+        if sum(map(_plain, again)) > sum(map(_plain, found)):
+            return again
+    return found
 
 
 def _main_of(root: Node, order: list[Node]) -> list[Node]:
@@ -263,7 +263,9 @@ def _main_of(root: Node, order: list[Node]) -> list[Node]:
             named.append(node)
         node = node.parent
     if named:  # an element on the path says by its name that it is the article
-        return [next((x for x in reversed(named) if x.tag == "article"), named[-1])]
+        chosen = next((x for x in reversed(named) if x.tag == "article"), named[-1])
+        # A page may hold several: its neighbours of the same kind that are prose, not lists of links.
+        return [x for x in order if x is chosen or (x.tag == chosen.tag and x.parent is chosen.parent and _plain(x) >= PROSE and 2 * x.link_chars < x.chars)]
     marked, stack, chosen = [], [body], set()
     while stack:
         node = stack.pop()
@@ -321,7 +323,9 @@ def main_text(page: str | None) -> str:
 def extract_text(pages: DataFrame) -> DataFrame:
     """pages -> page_id, url, text, n_chars (code points); one row a page row.
 
-    Null or empty html gives an empty text.  Nulls in other columns pass through.
+    Null or empty html gives an empty text.  Nulls in other columns pass through; pages of any length are read whole;
+    repeated rows come back as often as they stand; further columns are ignored, whatever their names.  Empty
+    input gives no rows.
     """
 
     @pandas_udf("string")

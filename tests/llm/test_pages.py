@@ -66,6 +66,24 @@ def test_a_noise_word_does_not_cut_the_article(page):
     assert html_text.main_text(page.format("".join(f"<p>{p}</p>" for p in body))) == "\n\n".join(body)
 
 
+ARTICLE = ["The first paragraph of the article tells what happened, and where it did so.", "The second one adds who was there and what they had to say about all of it."]
+OTHER = "This box is far longer than the article beside it and tells of something else entirely, again and again. "
+
+
+@pytest.mark.parametrize("name", ["sidebar", "cookie-consent", "newsletter", "related", "banner", "widget"])
+@pytest.mark.parametrize("frame", ["<body>{}</body>", "<body><main>{}</main></body>"])
+def test_longer_noise_never_wins(name, frame):
+    inner = "<div class='entry'>" + "".join(f"<p>{p}</p>" for p in ARTICLE) + f"</div><div class='{name}'>" + f"<p>{OTHER * 3}</p>" * 4 + "</div>"
+    assert html_text.main_text(frame.format(inner)) == "\n\n".join(ARTICLE)
+
+
+def test_two_articles_come_back_in_order():
+    first, second = (f"<article><h2>Part {k}</h2>" + f"<p>{ARTICLE[k]}</p>" * n + "</article>" for k, n in ((0, 5), (1, 2)))
+    teaser = "<article><a href=x>Read on about quite another thing, which has a long headline of its own here</a></article>"
+    got = html_text.main_text(f"<body><nav><a href=a>Home</a></nav><div>{first}{second}{teaser}</div><footer>Imprint</footer></body>")
+    assert got == "\n\n".join(["Part 0", *[ARTICLE[0]] * 5, "Part 1", *[ARTICLE[1]] * 2])
+
+
 def test_all_text_in_noise_is_not_lost():
     page = "<body><div class='widget'><p>One half of the whole text.</p></div><div class='promo'><p>One half of the whole text.</p></div></body>"
     assert "One half of the whole text." in html_text.main_text(page)
