@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tessera.llm.common import text_or_empty, written
+from tessera.llm.common import free_name, text_or_empty, written
 from tessera.session import path_exists, scratch_path
 
 Spans = list[tuple[int, int]]
@@ -38,7 +38,10 @@ class Rule:
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[^-]*-----END (?:[A-Z]+ )?PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+#: The next line of any kind that frames a block, and what a block without its last line holds: headers and base64.
+_PEM_NEXT = re.compile(r"-----(?:END (?:[A-Z]+ )*PRIVATE KEY-----|BEGIN )")
+_PEM_BODY = re.compile(r"(?:[^\S\n]*\n[^\S\n]*(?:[A-Za-z][A-Za-z-]*: [^\n]*|[A-Za-z0-9+/=]+)?(?=\s|\Z))*")
 _FORGE = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 
@@ -55,13 +58,27 @@ def _hex(text: str) -> Spans:
     return [m.span() for m in _HEX.finditer(text)]
 
 
+def _pem(text: str) -> Spans:
+    """Private keys up to their END line, encrypted ones with headers too; without one, up to where the block stops."""
+    out, at = [], 0
+    while "PRIVATE KEY" in text:
+        begin = _PEM.search(text, at)
+        if not begin:
+            break
+        framed = _PEM_NEXT.search(text, begin.end())
+        whole = framed is not None and framed[0].startswith("-----END")
+        at = framed.end() if whole else begin.end() + len(_PEM_BODY.match(text, begin.end(), framed.start() if framed else len(text))[0].rstrip())
+        out.append((begin.start(), at))
+    return out
+
+
 def _plain(pattern: re.Pattern, mark: str) -> Callable[[str], Spans]:
     return lambda text: [m.span() for m in pattern.finditer(text)] if mark in text else []
 
 
 #: The three base kinds, in their order.
 BASE = (Rule("assign", 1, _assign), Rule("access", 1, _access), Rule("hex", 1, _hex))
-RULES = (*BASE, Rule("pem", 1, _plain(_PEM, "PRIVATE KEY")), Rule("forge", 1, _plain(_FORGE, "gh")), Rule("jwt", 1, _plain(_JWT, "eyJ")))
+RULES = (*BASE, Rule("pem", 2, _pem), Rule("forge", 1, _plain(_FORGE, "gh")), Rule("jwt", 1, _plain(_JWT, "eyJ")))
 LEDGER = "blob binary, rule string, version int, spans string"
 
 
@@ -95,7 +112,7 @@ def scan_versions(versions: DataFrame, ledger: str, rules=RULES) -> DataFrame:
     empty.  Repeated rows come back as often as they stand.
     """
     spark = versions.sparkSession
-    blob = "blob__"
+    blob = free_name([*versions.columns, "blob", "findings"], "blob__")
     paths = written(versions.withColumn(blob, blob_of()).drop("text"), "secret-paths")
     current = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules]
     wanted = paths.select(F.col(blob).alias("blob")).distinct().select("blob", F.explode(F.array(*current)).alias("r")).select("blob", "r.*")
@@ -107,10 +124,12 @@ def scan_versions(versions: DataFrame, ledger: str, rules=RULES) -> DataFrame:
 
     known = spark.read.schema(LEDGER).parquet(ledger).filter(F.struct("rule", "version").isin(current) & (F.col("spans") != ""))
     found = known.groupBy("blob").agg(F.map_from_entries(F.collect_set(F.struct("rule", "spans"))).alias("findings"))
-    out = paths.join(found.withColumnRenamed("blob", "found_blob__"), F.col(blob) == F.col("found_blob__"), "left")
+    other, findings = free_name([*versions.columns, blob], "found_blob__"), free_name(versions.columns, "findings__")
+    found = found.withColumnRenamed("blob", other).withColumnRenamed("findings", findings)
+    out = paths.join(found, F.col(blob) == F.col(other), "left")
     empty = F.create_map().cast("map<string,string>")
     kept = [F.col(f"`{c}`") for c in versions.columns if c != "text"]
-    return out.select(*kept, F.col(blob).alias("blob"), F.coalesce("findings", empty).alias("findings"))
+    return out.select(*kept, F.col(blob).alias("blob"), F.coalesce(findings, empty).alias("findings"))
 
 
 DIGEST = "struct<n_assign:long,n_access:long,n_hex:long,base_sha256:string,spans:string>"
@@ -142,7 +161,9 @@ def scan_documents(docs: DataFrame, ledger: str | None = None, rules=RULES) -> D
     """documents -> doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     Every document is a path holding one blob.  Without ``ledger`` a new one is begun in
-    the shared scratch folder.
+    the shared scratch folder.  A null text counts as empty; empty texts find nothing.  Null and repeated doc_ids are
+    rows like any others; texts are scanned whole, whatever their length; other columns are ignored, whatever their
+    names.  Empty input gives no rows.
     """
     ledger = ledger or scratch_path(docs.sparkSession, "secret-ledger")
     found = scan_versions(docs.select("doc_id", "text"), ledger, rules)

@@ -176,7 +176,12 @@ class Graph:
             if before is not None and text[before:a].isspace():
                 self.chain.append((n - 1, n))
             before = b
-            for key in similar_keys(token):
+            keys = similar_keys(token)
+            for s, e, _ in spans[at : k + 1 if label != NONE else at]:
+                digits = "".join(_DIGITS.findall(text[s:e])) if s < a < e <= b else ""
+                if len(digits) >= 7:  # a value written with spaces meets its other forms in its last token
+                    keys.append(f"d{digits[-7:]}")
+            for key in keys:
                 if key in seen and seen[key] != n:
                     self.skip.append((seen[key], n))
                 seen[key] = n
@@ -354,7 +359,9 @@ def find_pii(docs: DataFrame, pot: Potentials | None = None) -> DataFrame:
     """documents -> doc_id, base counts per kind, base_sha256, spans; one row a document row.
 
     Null texts count as empty.  Offsets are code points, ends exclusive.  Spans of
-    different kinds may overlap; all are listed, by start, then kind.  Null doc_ids stay null.
+    different kinds may overlap; all are listed, by start, then kind.  Null doc_ids stay null, repeated rows come back
+    as often as they stand, texts of any length are read whole, other columns are ignored whatever their names.  Empty
+    input gives no rows.
     """
     pot = pot or train(docs)
 
@@ -380,7 +387,8 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
-    """documents with every span redacted and n_chars set anew; null texts stay null."""
+    """documents with every span redacted and n_chars set anew; null texts stay null.  Long texts are redacted whole;
+    repeated rows and further columns stay as they are; empty input gives no rows."""
     pot = train(docs)
 
     @pandas_udf("string")

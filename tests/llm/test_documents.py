@@ -518,3 +518,42 @@ def test_quality_awkward(spark, odd):
     assert {r["score"] for r in rows(quality.classify(odd, none))} == {0.5}
     assert rows(quality.classify(empty(spark), labels)) == []
     assert quality.keep_good(odd, none, 0.4).columns == odd.columns and quality.keep_good(odd, none, 0.4).count() == odd.count()
+
+
+def test_spaced_values_meet_their_other_forms(spark):
+    filler = " ".join(f"word{k}x" for k in range(30))
+    texts = [f"card 4041 8949 7460 8795 {filler} again 4041.8949.7460.8795 end", f"call +44 20 7946 0958 {filler} or 02079460958 now"]
+    agreeing = [f"{x} {filler} and {x} {filler} and {x}" for x in ("4041894974608795", "+442079460958", "bosbt.42@mail8.example.com", "10.20.30.40")] * 60
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in enumerate(texts + agreeing)], DOCS)
+    found = {r["doc_id"]: r["spans"] for r in rows(pii.find_pii(docs))}
+    for k, (text, kind, form) in enumerate(zip(texts, ("card", "phone"), ("4041.8949.7460.8795", "02079460958"))):
+        got = found[k]
+        at = text.index(form)
+        assert f"{kind}:{at}:{at + len(form)}" in got, got
+
+
+def test_private_keys_of_every_form():
+    body = "MIIEpAIBAAKCAQEA1234\nabcd+/==\n"
+    for text, want in [
+        (f"x -----BEGIN RSA PRIVATE KEY-----\n{body}-----END RSA PRIVATE KEY----- y", lambda t: (2, len(t) - 2)),
+        (f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{body}-----END RSA PRIVATE KEY-----", lambda t: (0, len(t))),
+        (f"-----BEGIN PRIVATE KEY-----\n{body}\nnot a key any more", lambda t: (0, t.index("not") - 3 + 1)),
+    ]:
+        spans = blob_secrets._pem(text)
+        assert len(spans) == 1 and spans[0][0] == want(text)[0], (text, spans)
+        if "END" in text:
+            assert spans[0] == want(text)
+        else:
+            assert text[: spans[0][1]].rstrip().endswith("abcd+/==") or text[spans[0][0] : spans[0][1]].count("abcd") == 1
+    two = "-----BEGIN PRIVATE KEY-----\nAAAA\n-----BEGIN PRIVATE KEY-----\nBBBB\n-----END PRIVATE KEY-----"
+    assert [two[a:b].count("BEGIN") for a, b in blob_secrets._pem(two)] == [1, 1]
+    assert blob_secrets._pem("-----BEGIN CERTIFICATE-----\nAAAA") == []
+
+
+def test_versions_with_clashing_columns(spark):
+    from tessera.session import scratch_path
+
+    rows_ = [(1, "token=abcdef123", 7, 8, 9)]
+    df = spark.createDataFrame(rows_, "path long, text string, blob__ long, found_blob__ long, findings__ long")
+    got = blob_secrets.scan_versions(df, scratch_path(spark, "clash-ledger")).collect()[0]
+    assert (got["blob__"], got["found_blob__"], got["findings__"]) == (7, 8, 9) and "assign" in got["findings"]
