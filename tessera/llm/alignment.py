@@ -29,14 +29,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_or_empty, written
+from tessera.llm.common import give_back, text_or_empty, written
 
 #: Ends that one piece of the merge holds.
 PIECE = 1 << 16
 #: Links of a chunk; characters and text units that are taken at a time.
-CHUNK_LINKS, RUN_CHARS, RUN_UNITS = 1 << 23, 1 << 22, 1 << 19
-#: Units and ids that a task's table of known units may hold between runs.
-TABLE_UNITS, TABLE_IDS = 1 << 20, 1 << 24
+CHUNK_LINKS, RUN_CHARS, RUN_UNITS = 1 << 21, 1 << 22, 1 << 17
+#: Units and ids that a task's table of known units may hold between runs; units that B encodes in one call.
+TABLE_UNITS, TABLE_IDS, CALL_UNITS = 1 << 18, 1 << 22, 256
+#: Units of these characters only: letter classes that no version of Unicode has changed.
+LATIN = re.compile(r"[\x00-\x7f\xc0-\u024f]*")
 
 #: A unit: white space, then what follows up to the next space or line break that stands after a sign.
 #: Neither tokenizer joins anything across such a place, so the tokens of a text are those of its units.
@@ -66,6 +68,19 @@ def piece_tokens(processor) -> list[bytes]:
     return out
 
 
+def _ranked(spec: dict):
+    """The same byte-level BPE by ranks, which is quicker; None if its merges do not stand in the order of their ids."""
+    import public_tokenizers
+    import tiktoken
+
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    if [vocab.get(x + y) for x, y in pairs] != list(range(256, 256 + len(pairs))) or spec["model"].get("ignore_merges"):
+        return None
+    ranks = {bytes(CHAR_BYTE[c] for c in t): k for t, k in vocab.items() if k < 256 + len(pairs)}
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class _Places(dict):
     """Unit -> its number; units that are not known yet get the next one and are listed."""
 
@@ -80,19 +95,22 @@ class _Places(dict):
 
 
 class _Side:
-    """Ids and byte lengths of all known units, one after the other, for one tokenizer."""
+    """Ids of all known units, one after the other, for one tokenizer."""
 
     def __init__(self, token_bytes: list[bytes]) -> None:
-        self.bytes = token_bytes
+        self.bytes = pa.array(token_bytes, pa.binary())
         self.size = np.array([len(b) for b in token_bytes], np.int64)
         self.clear()
 
+    def __len__(self) -> int:
+        return len(self.size)
+
     def clear(self) -> None:
         self.flat, self.stop = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def add(self, ids: list[list[int]]) -> None:
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(n.sum()))))
+    def add(self, ids: np.ndarray, n: np.ndarray) -> None:
+        """Ids of new units in a row, and how many each has."""
+        self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
         self.stop = np.concatenate((self.stop, np.cumsum(n) + (self.stop[-1] if len(self.stop) else 0)))
 
     def tokens(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,6 +120,22 @@ class _Side:
         ids = self.flat[np.repeat(self.stop[units] - stop, length) + np.arange(stop[-1] if len(stop) else 0)]
         return ids, np.concatenate(([0], stop))
 
+    def misspelt(self, units: list[bytes], ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Which units the ids do not spell."""
+        stop = np.concatenate(([0], np.cumsum(self.size[ids])))[np.cumsum(n)]
+        raw = pc.take(self.bytes, pa.array(ids)).buffers()[2]
+        spelt = raw.to_pybytes() if raw else b""
+        bad = np.diff(stop, prepend=0) != np.fromiter(map(len, units), np.int64, len(units))
+        if bad.any() or spelt[: stop[-1]] != b"".join(units):
+            bounds = [0, *stop.tolist()]
+            bad = np.array([spelt[x:y] != u for u, x, y in zip(units, bounds, bounds[1:])])
+        return bad
+
+
+def _row(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(n.sum())), n
+
 
 class Encoder:
     """Both tokenizers behind one table of known units; each distinct unit is encoded once a table."""
@@ -109,11 +143,9 @@ class Encoder:
     def __init__(self, byte_file: str, piece_model: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
         spec = json.loads(byte_file)
-        self.byte = Tokenizer.from_str(byte_file)
-        self.byte.encode_special_tokens = True  # their strings are plain text
+        self._byte_file, self._byte = byte_file, None
         self.piece = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         before, pieces = spec["pre_tokenizer"], [self.piece.id_to_piece(k) for k in range(self.piece.get_piece_size())]
         if spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"] or not before.get("use_regex", True):
@@ -121,42 +153,75 @@ class Encoder:
         if any("\n" in p or "▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("tokenizer B must not have pieces with an inner space or a line break")
         self.a, self.b = _Side(byte_tokens(spec)), _Side(piece_tokens(self.piece))
+        self.ranked = _ranked(spec)
+        self.line = self.piece.encode("\n")[-1]
         self.clear()
 
+    @property
+    def byte(self):
+        """Tokenizer A itself, made when a unit needs it."""
+        if self._byte is None:
+            from tokenizers import Tokenizer
+
+            self._byte = Tokenizer.from_str(self._byte_file)
+            self._byte.encode_special_tokens = True  # their strings are plain text
+        return self._byte
+
     def clear(self) -> None:
         self.known, self.bad = _Places(), np.zeros(0, bool)
         self.a.clear()
         self.b.clear()
 
     def units(self, text: str) -> np.ndarray:
-        """Unit numbers of a text that begins with a space; long texts are cut at units."""
+        """Unit numbers of a text that begins with a space; long texts are cut at units.  Before the
+        numbers are used, ``learn`` must have been called."""
         out, at = [], 0
         while at < len(text):
-            cut = CUT.search(text, at + RUN_CHARS)
+            cut = CUT.search(text, at + RUN_CHARS) if len(text) - at > RUN_CHARS else None
             stop = cut.start() if cut else len(text)
             found = UNIT.findall(text[at:stop] if at or cut else text)
             out.append(np.fromiter(map(self.known.__getitem__, found), np.int64, len(found)))
             at = stop
-        self._learn()
-        return np.concatenate(out)
+        return out[0] if len(out) == 1 else np.concatenate(out)
 
-    def _learn(self) -> None:
+    def learn(self) -> None:
+        """Encode the units that are new since the last call."""
         new, self.known.new = self.known.new, []
         if not new:
             return
-        a = [e.ids for e in self.byte.encode_batch_fast(new, add_special_tokens=False)]
-        # The line break stands alone in B, so what follows it is encoded as inside a text; the added space goes with it.
-        b = [ids[2:] for ids in self.piece.encode(["\n" + u for u in new], num_threads=1)]
-        x, y = self.a.bytes, self.b.bytes
-        bad = np.zeros(len(new), bool)
-        for k, (unit, p, q) in enumerate(zip(new, a, b)):
-            raw = unit.encode()
-            if b"".join([x[i] for i in p]) != raw or b"".join([y[i] for i in q]) != raw:
-                a[k], b[k], bad[k] = [], [], True
-        self.a.add(a)
-        self.b.add(b)
+        raw = [u.encode() for u in new]
+        a, n_a = self._byte_ids(new)
+        b, n_b = self._piece_ids(new)
+        bad = self.a.misspelt(raw, a, n_a) | self.b.misspelt(raw, b, n_b)
+        self.a.add(a, n_a)
+        self.b.add(b, n_b)
         self.bad = np.concatenate((self.bad, bad))
 
+    def _byte_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        quick = self.ranked.encode_ordinary if self.ranked else None
+        ids = [quick(u) if quick and LATIN.fullmatch(u) else None for u in units]
+        rest = [k for k, x in enumerate(ids) if x is None]
+        for k, e in zip(rest, self.byte.encode_batch_fast([units[k] for k in rest], add_special_tokens=False) if rest else ()):
+            ids[k] = e.ids
+        return _row(ids)
+
+    def _piece_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A line break stands alone in B, so units behind one are encoded as inside a text: many in one
+        call, and those with a line break of their own each in one.  The space that B adds goes with the first."""
+        plain = [k for k, u in enumerate(units) if "\n" not in u]
+        calls = ["\n" + "\n".join([units[k] for k in plain[i : i + CALL_UNITS]]) for i in range(0, len(plain), CALL_UNITS)]
+        lines, _ = _row([x[1:] for x in self.piece.encode(calls, num_threads=1)])
+        at = np.flatnonzero(lines == self.line)  # one before every unit
+        n = np.zeros(len(units), np.int64)
+        n[plain] = np.diff(at, append=len(lines)) - 1
+        own = [k for k, u in enumerate(units) if "\n" in u]
+        singly, n[own] = _row([x[2:] for x in self.piece.encode(["\n" + units[k] for k in own], num_threads=1)])
+        out, is_own = np.empty(int(n.sum()), np.int64), np.zeros(len(units), bool)
+        is_own[own] = True
+        where = np.repeat(is_own, n)
+        out[where], out[~where] = singly, lines[lines != self.line]
+        return out, n
+
     def trim(self) -> None:
         """Forget everything once the table is full; only between runs."""
         if len(self.known) > TABLE_UNITS or len(self.a.flat) > TABLE_IDS:
@@ -241,13 +306,17 @@ def link_table(docs: DataFrame, byte_path: str, piece_path: str, chunk_links: in
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, chunk, made, done = Encoder(*files.value), _Chunk(), 0, []
-        size = max(len(encoder.a.bytes), len(encoder.b.bytes))
+        size = max(len(encoder.a), len(encoder.b))
+        kind = np.uint32 if len(encoder.a) * len(encoder.b) < 1 << 32 else np.int64
         names = pa.array([f"{k}{s}" for s in ",|;" for k in range(size)], pa.binary())
         base = TaskContext.get().partitionId() << 32
 
         def aligned(rows: list[dict], units: list[np.ndarray]) -> Iterator[dict]:
-            """Documents of one run, block by block of units; a unit's end is an end of both, so blocks are independent."""
+            """Documents of one run, block by block of units; a unit's end is an end of both, so blocks are independent.
+            A document with a unit that its tokens do not spell has none."""
             nonlocal chunk, made
+            encoder.learn()
+            units = [u[:0] if encoder.bad[u].any() else u for u in units]
             every, stop = np.concatenate(units), np.cumsum([len(u) for u in units])
             digest, first = [hashlib.sha256() for _ in rows], 0
             for at in range(0, len(every), RUN_UNITS):
@@ -256,7 +325,7 @@ def link_table(docs: DataFrame, byte_path: str, piece_path: str, chunk_links: in
                 b, b_from = encoder.b.tokens(block)
                 a_ends, b_ends = np.cumsum(encoder.a.size[a]), np.cumsum(encoder.b.size[b])
                 left, right, a_stop, b_stop = align(a_ends, b_ends, piece)
-                pairs = a[left].astype(np.int64) * len(encoder.b.bytes) + b[right]
+                pairs = a[left].astype(kind) * kind(len(encoder.b)) + b[right].astype(kind)
                 text = group_texts(names, size, a, b, a_stop, b_stop)
                 text_from = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1)
                 raw = memoryview(text.buffers()[2] or b"")
@@ -289,11 +358,11 @@ def link_table(docs: DataFrame, byte_path: str, piece_path: str, chunk_links: in
         def runs() -> Iterator[dict]:
             rows, units, held = [], [], 0
             for batch in batches:
-                for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
+                for row, doc_id, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text")):
+                    text = text.as_py()
                     rows.append({"row": row, "doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": ""})
-                    found = encoder.units(" " + text) if text else np.zeros(0, np.int64)
-                    units.append(found[:0] if encoder.bad[found].any() else found)
-                    held += len(found)
+                    units.append(encoder.units(" " + text) if text else np.zeros(0, np.int64))
+                    held += len(units[-1])
                     if held >= RUN_UNITS:
                         yield from aligned(rows, units)
                         yield from rows
@@ -311,6 +380,8 @@ def link_table(docs: DataFrame, byte_path: str, piece_path: str, chunk_links: in
                 yield pa.RecordBatch.from_pylist(done, SCHEMA)
                 done = []
         yield pa.RecordBatch.from_pylist(done, SCHEMA)
+        del encoder, names, chunk
+        give_back()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
     return written(rows.mapInArrow(encode, LINKS), "align-links", "zstd")

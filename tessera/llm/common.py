@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +59,16 @@ def drop_scratch(spark: SparkSession, since: int, keep: int = 0) -> None:
         remove(spark, path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Spark keeps its Python workers, and they what they held."""
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def free_name(taken, stem: str) -> str:
     """A column name starting with ``stem`` that clashes with none in ``taken`` (case-insensitive)."""
     low = {c.lower() for c in taken}

@@ -95,6 +95,8 @@ def test_long_texts_are_cut_into_runs(monkeypatch):
         encoder = alignment.Encoder(f.read(), g.read())
     text = " " + " ".join(ODD) + "\n" + sentence(3, 500)
     whole = encoder.units(text)
+    encoder.learn()
+    assert encoder.bad.any() and not encoder.bad.all()
     monkeypatch.setattr(alignment, "RUN_CHARS", 37)
     assert encoder.units(text).tolist() == whole.tolist()
 
@@ -108,3 +110,16 @@ def test_cuts_are_equal_work_on_the_merge_path():
         merged = sorted([(x, 0) for x in a] + [(x, 1) for x in b])
         for p, q in zip(i, j):
             assert sum(k == 0 for _, k in merged[: p + q]) == p
+
+
+def test_units_by_either_way_are_the_same():
+    with open(A, encoding="utf-8") as f, open(B, "rb") as g:
+        encoder = alignment.Encoder(f.read(), g.read())
+    units = [u for t in ODD for u in alignment.UNIT.findall(" " + t)] + [" Émile's", " naïve--", "\x0c\x0b", " ", "\n", " 's'S 1a2"]
+    encoder.ranked, ranked = None, encoder.ranked
+    slow = encoder._byte_ids(units)
+    encoder.ranked = ranked
+    assert ranked and all((x == y).all() for x, y in zip(slow, encoder._byte_ids(units)))
+    ids, n = encoder._piece_ids(units)
+    one = [encoder._piece_ids([u])[0].tolist() for u in units]
+    assert n.tolist() == [len(x) for x in one] and ids.tolist() == sum(one, [])

@@ -140,7 +140,7 @@ def test_oracle_sql(spark, name):
     for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
     got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
-    want = con.execute(queries.ORACLE[name]).fetch_arrow_table().to_pandas()
+    want = con.execute(queries.ORACLE[name]).to_arrow_table().to_pandas()
     assert sorted(got.columns) == sorted(want.columns)
     cols = sorted(want.columns)
     plain = lambda rows: sorted((tuple(None if v != v else round(float(v), 6) if isinstance(v, (int, float)) else v for v in r) for r in rows), key=str)
