@@ -13,6 +13,9 @@ against themselves: every fingerprint that owns or probes such a bucket emits
 the 65 points of its own one-bit ball, and fingerprints that share a point are
 linked in a star.  Two fingerprints share a point exactly if they differ in at
 most 2 bits, so no link is lost and no pairs are listed.
+
+Keys that very many fingerprints own are few (``HEAVY``); they and the keys in
+their balls are broadcast, and what meets at such a key is dealt over ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -25,12 +28,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tessera.llm.common import text_or_empty, written
-from tessera.llm.graph import components
+from tessera.llm.graph import components, join_by_key
 
 SEED = 42
 MAX_BITS = 2
 #: Entries of one table bucket that are matched one by one; larger buckets take the star way.
 BUCKET = 64
+#: A key is heavy if more than this share of all fingerprints (and at least HEAVY_FLOOR) own it: at most
+#: 2 x HEAVY keys are, and at most 2 x 33 x HEAVY lie in their balls.  Any other key has at most
+#: 33 / HEAVY of all probes.
+HEAVY, HEAVY_FLOOR = 2048, 256
+#: Tasks over which the probes of a heavy ball's key are dealt.
+SALTS = 32
 #: Shingle hashes whose bits are counted at a time: bounds memory for very long texts.
 BLOCK = 1 << 15
 
@@ -80,12 +89,25 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
     probes = fps.select("fp", F.explode(F.concat(ball, F.array(F.struct(F.lit(1).alias("seg"), low.alias("key"))))).alias("s")).select("fp", "s.seg", "s.key")
 
     full = owned.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"))
-    crowded = full.filter(F.col("n") > bucket).select("seg", "key")
-    thin = owned.join(full.filter(F.col("n") <= bucket).select("seg", "key"), ["seg", "key"])
+    heavy = full.filter(F.col("n") > max(HEAVY_FLOOR, bucket, fps.count() // HEAVY)).select("seg", "key")
+    near = F.when(F.col("seg") == 0, F.transform(F.array(F.lit(0), *[F.lit(1 << i) for i in range(32)]), lambda m: F.col("key").bitwiseXOR(m.cast("long")))).otherwise(F.array("key"))
+    hot = F.broadcast(heavy.select("seg", F.explode(near).alias("key")).distinct().withColumn("salts", F.lit(SALTS)))
+
+    def dealt(side: DataFrame, salt) -> DataFrame:
+        return side.join(hot, ["seg", "key"], "left").withColumn("salt", salt(F.coalesce("salts", F.lit(1)))).drop("salts")
+
+    def everywhere(salts):
+        return F.explode(F.sequence(F.lit(0), salts - 1))
+
+    probes = dealt(probes, lambda salts: F.pmod(F.xxhash64("fp"), salts).cast("int"))
+    crowded = dealt(full.filter(F.col("n") > bucket).select("seg", "key"), everywhere)
+    light = owned.join(F.broadcast(heavy), ["seg", "key"], "left_anti")
+    thin = dealt(light.join(full.filter(F.col("n") <= bucket).select("seg", "key"), ["seg", "key"]), everywhere)
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    matched = probes.withColumnRenamed("fp", "a").join(thin.withColumnRenamed("fp", "b"), ["seg", "key"]).filter((F.col("a") != F.col("b")) & (apart <= max_bits)).select("a", "b")
+    meet = ["seg", "key", "salt"]
+    matched = probes.withColumnRenamed("fp", "a").join(thin.withColumnRenamed("fp", "b"), meet).filter((F.col("a") != F.col("b")) & (apart <= max_bits)).select("a", "b")
 
-    touching = probes.join(crowded, ["seg", "key"], "left_semi").select("fp").distinct()
+    touching = probes.join(crowded, meet, "left_semi").select("fp").distinct()
     points = F.transform(F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i).cast("long") for i in range(64)]), lambda m: F.col("fp").bitwiseXOR(m))
     around = touching.select("fp", F.explode(points).alias("z"))
     hub = around.groupBy("z").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("z", "b")
@@ -93,20 +115,20 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
     return matched.unionByName(stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(rows: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def near_duplicates(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, fp) rows -> (rows with component_id, nothing dropped).
 
     ``component_id`` is the smallest non-null id among all rows that are reachable
     over links; it is null only if every id of the component is null.
     """
-    fps = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-fps")
+    fps = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("n")), "simhash-fps")
     edges = written(links(fps.select("fp")), "simhash-links")
     label = components(edges)
-    grouped = label.join(fps, label["node"] == fps["fp"]).select("fp", "component", "first_id")
-    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = grouped.select("fp", "component").join(smallest, "component").select("fp", "component_id")
-    all_fps = fps.join(linked, "fp", "left").select(F.col("fp"), F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(all_fps, "fp")
+    grouped = written(label.join(fps, label["node"] == fps["fp"]).select("fp", "component", "first_id"), "simhash-grouped")
+    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    linked = join_by_key(grouped.select("fp", "component"), smallest, "component", grouped.count()).select("fp", "component_id")
+    all_fps = fps.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"), "n")
+    return join_by_key(rows, all_fps, "fp", rows.count())
 
 
 def simhash_dedup(docs: DataFrame, width: int = 3) -> DataFrame:

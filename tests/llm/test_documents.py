@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import blob_secrets, licenses, mixing, packing, pii, quality, queries, simhash
+from tessera.llm import blob_secrets, graph, licenses, mixing, packing, pii, quality, queries, simhash
 from tests_llm_data import DOCS, awkward, empty, sentence
 
 SF = "/root/testdata/sf0.001"
@@ -433,10 +433,12 @@ def plain_components(fps):
     return [find(i) for i in range(len(fps))]
 
 
-@pytest.mark.parametrize("bucket", [1, 4, 64])
-def test_links_and_components_brute_force(spark, bucket, monkeypatch):
-    """Also with crowded buckets: near copies that share a segment, chains, and far fingerprints."""
+@pytest.mark.parametrize("bucket, floor", [(1, 2), (4, 6), (64, 256)])
+def test_links_and_components_brute_force(spark, bucket, floor, monkeypatch):
+    """Also with crowded buckets: near copies that share a segment, chains, and far fingerprints; and with heavy keys."""
     monkeypatch.setattr(simhash.links, "__defaults__", (2, bucket))
+    monkeypatch.setattr(simhash, "HEAVY_FLOOR", floor)
+    monkeypatch.setattr(graph, "FLOOR", floor)
     rng = random.Random(bucket)
     fps = []
     for _ in range(12):
@@ -456,6 +458,19 @@ def test_links_and_components_brute_force(spark, bucket, monkeypatch):
     assert got == {i: min(g) for g in want.values() for i in g}
 
 
+def test_hub_is_spread(spark):
+    """A node with 100,000 leaves meets its minimum where its links lie, not in one task."""
+    n = 100_000
+    edges = spark.range(0, n, 1, 8).select(F.lit(0).cast("long").alias("a"), (F.col("id") + 1).alias("b"))
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    placed = graph.join_by_key(both, least, "u", 2 * n).groupBy((F.col("u") == 0).alias("hub"), F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in placed) == 2 * n
+    assert max(r["count"] for r in placed if r["hub"]) <= n // 8
+    got = graph.components(edges).agg(F.count(F.lit(1)).alias("n"), F.max("component").alias("c")).first()
+    assert (got["n"], got["c"]) == (n + 1, 0)
+
+
 def test_simhash_awkward(spark, odd):
     got = rows(simhash.simhash_dedup(odd))
     assert len(got) == odd.count()
