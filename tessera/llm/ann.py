@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
-from tessera.llm.vectors import blocks, met, whole_vectors
+from tessera.llm.vectors import blocks, met, numbered, whole_vectors
 
 K = 20
 SHARD_ROWS = 8192
@@ -33,7 +33,6 @@ LINKS, WIDTH = 16, 32
 POOL = 48
 #: Beam on the lowest level, beam on the levels above, entries expanded at a time.
 BEAM, UPPER_BEAM, EXPAND = 160, 8, 4
-SHARDS_A_GROUP = 4
 
 
 def _nearest(a: np.ndarray, pool: int) -> np.ndarray:
@@ -187,7 +186,7 @@ INDEX = "dim int, block int, ids binary, firsts binary, vectors binary, sizes bi
 
 
 def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(vec_id, x) -> one row a shard with its graph as flat arrays; every row is indexed."""
+    """(vec_id, row_no, x) -> one row a shard with its graph as flat arrays; every row is indexed."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -260,10 +259,10 @@ def nearest(rows: DataFrame, k: int = K, every: int = 20, beam: int = BEAM, shar
     vec_id are candidates of their own and, as queries, are answered once each.
     """
     whole = whole_vectors(rows).filter(F.exists("x", lambda v: v != 0))
-    whole = written(whole, "ann-vectors")
+    whole = numbered(whole, "ann-vectors")
     index = build_index(whole, shard_rows)
     queries = written(blocks(whole.filter(F.col("vec_id") % every == 0), QUERY_ROWS, "<f8"), "ann-queries")
-    q, c = met(queries, index, SHARDS_A_GROUP)
+    q, c = met(queries, index, QUERY_ROWS, shard_rows)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -275,10 +274,10 @@ def nearest(rows: DataFrame, k: int = K, every: int = 20, beam: int = BEAM, shar
                 out.append(pd.DataFrame({"dim": a["dim"], "qblock": a["qblock"], "q": who, "query_id": qid[who], "vec_id": vec, "score": score}))
         if not out:
             return pd.DataFrame({}, columns=["dim", "qblock", "q", "query_id", "vec_id", "score"])
-        every = pd.concat(out).sort_values(["q", "score", "vec_id"], ascending=[True, False, True], kind="stable")
-        return every[every.groupby("q").cumcount() < k]
+        every = pd.concat(out).sort_values(["qblock", "q", "score", "vec_id"], ascending=[True, True, False, True], kind="stable")
+        return every[every.groupby(["qblock", "q"]).cumcount() < k]
 
-    keys = ["dim", "qblock", "part"]
+    keys = ["dim", "batch", "part"]
     found = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(search, "dim int, qblock int, q long, query_id long, vec_id long, score double")
     best = Window.partitionBy("dim", "qblock", "q").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

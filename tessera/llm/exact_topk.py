@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
-from tessera.llm.vectors import blocks, met, whole_vectors
+from tessera.llm.vectors import blocks, met, numbered, whole_vectors
 
 K = 20
 PIVOTS = 32
@@ -27,8 +27,6 @@ PIVOTS = 32
 SAMPLE = 1024
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
-#: Candidate blocks of one group.
-GROUP = 8
 #: Candidates evaluated before the first elimination, in bound order.
 FIRST = 64
 #: Queries whose bounds are computed at a time.
@@ -161,7 +159,7 @@ def exact_top_k(rows: DataFrame, k: int = K, every: int = 20, scale: float = 64.
     without vec_id.  Rows repeating a vec_id are candidates of their own and, as queries, are
     answered once each.  Ties go to the smaller vec_id.  No rows in, no rows out.
     """
-    whole = written(whole_vectors(rows).select("vec_id", F.transform("x", lambda v: F.floor(v * F.lit(scale)).cast("long")).alias("x")), "topk-vectors")
+    whole = numbered(whole_vectors(rows).select("vec_id", F.transform("x", lambda v: F.floor(v * F.lit(scale)).cast("long")).alias("x")), "topk-vectors")
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     chosen: dict[int, np.ndarray] = {}
     for d in {len(r["x"]) for r in sample}:
@@ -181,7 +179,7 @@ def exact_top_k(rows: DataFrame, k: int = K, every: int = 20, scale: float = 64.
 
     candidates = indexed(whole, BLOCK_ROWS, "topk-blocks")
     queries = indexed(whole.filter(F.col("vec_id") % every == 0), QUERY_ROWS, "topk-queries")
-    q, c = met(queries, candidates, GROUP)
+    q, c = met(queries, candidates, QUERY_ROWS, BLOCK_ROWS)
 
     def matrix(raw: bytes, n: int, kind) -> np.ndarray:
         return np.frombuffer(raw, kind).reshape(n, len(raw) // (8 * n))
@@ -201,6 +199,6 @@ def exact_top_k(rows: DataFrame, k: int = K, every: int = 20, scale: float = 64.
             out.append(pd.DataFrame({"q": row, "query_id": qid[row], "vec_id": best_id[got], "score": best[got], "qblock": a["qblock"], "dim": a["dim"]}))
         return pd.concat(out) if out else pd.DataFrame({}, columns=["q", "query_id", "vec_id", "score", "qblock", "dim"])
 
-    found = q.groupBy("dim", "qblock", "part").cogroup(c.groupBy("dim", "qblock", "part")).applyInPandas(search, "q long, query_id long, vec_id long, score long, qblock int, dim int")
+    found = q.groupBy("dim", "batch", "part").cogroup(c.groupBy("dim", "batch", "part")).applyInPandas(search, "q long, query_id long, vec_id long, score long, qblock int, dim int")
     best = Window.partitionBy("dim", "qblock", "q").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -5,7 +5,9 @@ import math
 import numpy as np
 import pytest
 
-from tessera.llm import ann, exact_topk
+from pyspark.sql import functions as F
+
+from tessera.llm import ann, exact_topk, vectors
 
 VEC = "vec_id long, embedding array<float>, label int"
 
@@ -123,6 +125,44 @@ def test_ties_of_a_common_vector_go_to_the_smaller_ids(spark):
             assert [j for _, j, _ in found] == [j for j in range(21) if j != q][:20]
 
 
+@pytest.mark.parametrize("parts", [1, 64])
+def test_many_query_blocks_in_a_group(spark, monkeypatch, parts):
+    """Every query keeps its k answers where several query blocks and candidate blocks share a group."""
+    monkeypatch.setattr(vectors, "PARTS", parts)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 8)
+    monkeypatch.setattr(exact_topk, "QUERY_ROWS", 8)
+    monkeypatch.setattr(exact_topk, "BLOCK_ROWS", 150)
+    rng = np.random.default_rng(3)
+    data = [(k, rng.normal(size=5).astype("f4").tolist(), 0) for k in range(1000)]
+    df = spark.createDataFrame(data, VEC)
+    x = {i: np.array(v, "f4").astype(float) for i, v, _ in data}
+    want = brute(list(x.items()), 20, lambda a, b: float(a @ b))
+    got = lists(ann.nearest(df, shard_rows=150))
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert sum(len({j for _, j, _ in got[q]} & {j for j, _ in want[q][0]}) for q in want) >= 0.98 * 20 * len(want)
+    whole = {i: np.floor(64 * v).astype(np.int64) for i, v in x.items()}
+    exact = brute(list(whole.items()), 20, lambda a, b: int(a @ b))
+    assert lists(exact_topk.exact_top_k(df)) == {q: [(n + 1, j, s) for n, (j, s) in enumerate(a[0])] for q, a in exact.items()}
+
+
+def test_repeated_rows_are_spread_over_blocks(spark):
+    """A third of all rows equal in id and vector: no block is far above its size."""
+    rows = spark.range(0, 6000, 1, 4).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("vec_id"), F.array(F.lit(1.0), (F.col("id") % 3).cast("double")).alias("x"))
+    cut = vectors.blocks(vectors.numbered(rows, "test-vectors"), 500, "<f8")
+    sizes = [len(r["ids"]) // 8 for r in cut.select("ids").collect()]
+    assert len(sizes) == 12 and sum(sizes) == 6000 and max(sizes) < 650
+
+
+@pytest.mark.parametrize("query_bytes, candidate_bytes, parts", [(16 << 20, 32 << 20, 64), (1, 1, 64), (2 * 8 * 6 * 4, 3 * 8 * 6 * 10, 1)])
+def test_every_query_block_meets_every_candidate_block_once(spark, monkeypatch, query_bytes, candidate_bytes, parts):
+    for name, value in (("QUERY_BYTES", query_bytes), ("CANDIDATE_BYTES", candidate_bytes), ("PARTS", parts)):
+        monkeypatch.setattr(vectors, name, value)
+    side = lambda n: spark.createDataFrame([(6, k) for k in range(n)] + [(2, 0)], "dim int, block int")
+    q, c = vectors.met(side(5), side(13), 4, 10)
+    pairs = [tuple(r) for r in q.join(c, ["dim", "batch", "part"]).select("dim", "qblock", "block").collect()]
+    assert sorted(pairs) == sorted([(6, a, b) for a in range(5) for b in range(13)] + [(2, 0, 0)])
+
+
 def test_empty_tables_and_few_candidates(spark):
     none = spark.createDataFrame([], VEC)
     assert ann.nearest(none).count() == 0 and exact_topk.exact_top_k(none).count() == 0
