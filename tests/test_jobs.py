@@ -103,3 +103,36 @@ def test_factor_map_keeps_label_subset(spark):
     assert got == {"g1", "g2"}
     full = FM.factor_genre_map(factors, fx.item_id_map(spark, SF001), labels)
     assert mapped.count() == full.filter(F.col("genre").isin("g1", "g2")).count()
+
+
+def test_pools_keep_order_properties_and_failures(spark):
+    import threading
+
+    import pytest
+
+    from tessera.session import run_in_pools
+
+    sc, begun, lock = spark.sparkContext, [], threading.Lock()
+    sc.setLocalProperty("tessera.test", "inherited")
+
+    def piece(i):
+        def run():
+            with lock:
+                begun.append(i)
+            return i, sc.getLocalProperty("spark.scheduler.pool"), sc.getLocalProperty("tessera.test"), spark.range(i + 1).count()
+
+        return run
+
+    got = run_in_pools(spark, [piece(i) for i in range(6)], [float(i) for i in range(6)], 2, "t")
+    assert [(g[0], g[3]) for g in got] == [(i, i + 1) for i in range(6)]
+    assert {g[2] for g in got} == {"inherited"} and 1 <= len({g[1] for g in got}) <= 2 and all(g[1].startswith("t-") for g in got)
+    assert set(begun[:2]) == {5, 4}, "the dearest begin first"
+    assert sc.getLocalProperty("spark.scheduler.pool") is None, "the caller's pool stays"
+    assert run_in_pools(spark, [], [], 4) == []
+
+    def fails():
+        raise ValueError("no fit")
+
+    with pytest.raises(ValueError, match="no fit"):
+        run_in_pools(spark, [fails, piece(1)], [2.0, 1.0], 1)
+    sc.setLocalProperty("tessera.test", None)
