@@ -68,6 +68,16 @@ def test_licenses_brute_force_with_changed_words(spark):
     assert got == want and len(want) >= 60
 
 
+def test_licenses_many_shingles_stay_out_of_the_plan(spark):
+    long = [(f"t{k}", sentence(k, 300 + k)) for k in range(8)]
+    texts = [sentence(99, 40) + " " + t + " " + sentence(98, 40) for _, t in long]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCS)
+    got = licenses.scan_licenses(docs, long)
+    want = {(k, n): v for k, t in enumerate(texts) for n, v in brute_licenses(t, long).items()}
+    assert {(r["doc_id"], r["template"]): (r["n_windows"], r["containment"]) for r in rows(got)} == want and len(want) >= 8
+    assert licenses.table_longs(1) == 16 and licenses.table_longs(1000) == 2048
+
+
 # --- packing ------------------------------------------------------------------
 
 
