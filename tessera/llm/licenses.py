@@ -118,14 +118,12 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]], rows: int =
     def stands(c: str, w: int, among):
         return F.filter(among, lambda p: has_bits(F.col(f"b_{c}"), F.get(F.col(f"h{w}"), p), tables[c]))
 
-    def with_bits(df: DataFrame, names: list[str]) -> DataFrame:
-        return df.select("*", *[F.element_at(bits, c).alias(f"b_{c}") for c in names])
-
     kept = ["row", "doc_id", "words", *hashes]
-    met = with_bits(hashed, [f"w{w}" for w in widths])
+    met = hashed.select("*", *[F.element_at(bits, f"w{w}").alias(f"b_w{w}") for w in widths])
     met = fixed(met, kept, **{f"a{w}": stands(f"w{w}", w, F.sequence(F.lit(0), F.size(f"h{w}") - 1)) for w in widths})
     met = met.filter(reduce(lambda a, b: a | b, [F.size(f"a{w}") > 0 for w in widths]))
-    placed = with_bits(met, [f"n{s.n}" for s in shapes])
+    # The map is read once a row: a subquery for every length would be planned as often.
+    placed = met.select("*", bits.alias("bits")).select("*", *[F.element_at("bits", f"n{s.n}").alias(f"b_n{s.n}") for s in shapes])
     placed = fixed(placed, kept, **{f"p{s.n}": stands(f"n{s.n}", s.width, F.col(f"a{s.width}")) for s in shapes})
 
     def windows(s: Shape):
