@@ -104,6 +104,17 @@ def test_block_counts_follow_the_data_not_the_cluster():
     assert M.block_count(10**9) == 200 and M.block_count(10**12) == M.MOST_BLOCKS
 
 
+def test_a_fit_ships_factors_to_few_blocks(spark, monkeypatch):
+    """What MLlib writes grows with blocks x ids: few blocks of bounded size, fewer where fits run at a time, checkpoints often."""
+    assert [M.fit_blocks(n) for n in (0, 100_000, 600_000, 30_000_000, 10**9)] == [1, 1, 6, 6, 34]
+    assert [M.fit_blocks(n, 8) for n in (0, 10_000_000, 10**9)] == [1, 2, 34] and M.fit_blocks(10**12) == M.MOST_BLOCKS
+    seen, make = [], M.make_als
+    monkeypatch.setattr(M, "make_als", lambda **p: seen.append(make(**p)) or seen[-1])
+    monkeypatch.setattr(M, "SMALL_BLOCK", 10)
+    M.fit_als(spark.createDataFrame([(u, i, 1) for u in range(30) for i in range(12)], "user_id int, item_id int, rating int"), rank=2, max_iter=1, fits=2)
+    assert seen[0].getNumUserBlocks() == seen[0].getNumItemBlocks() == 3 and seen[0].getCheckpointInterval() < 5
+
+
 def test_top_k_products_equal_mllib(spark, monkeypatch):
     from tessera.operators import products as PR
 
