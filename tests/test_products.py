@@ -31,6 +31,32 @@ def test_skipped_blocks_change_nothing(spark, source_block, target_block):
     assert sorted(map(tuple, got.collect())) == brute(sources, targets, 6)
 
 
+def test_lists_leave_a_task_in_frames(spark, monkeypatch):
+    """One block of sources, several of targets: a task gives its lists out in pieces, with ties cut by id and each list in order."""
+    rng = np.random.default_rng(6)
+    sources, targets = whole(rng, 60, spread=2) + [(98, [0.0] * 4)], whole(rng, 80, spread=2, first=500)
+    monkeypatch.setattr(PR, "LIST_ROWS", 20)
+    monkeypatch.setattr(PR, "SCORES", 200)
+    lists = PR.Lists(3, 2, "i4")
+    lists.put(np.array([0, 0, 2]), np.array([8, 5, 4]), np.array([1.0, 1.0, -3.0]))
+    lists.put(np.array([0, 2]), np.array([6, 3]), np.array([1.0, -3.0]))
+    frames = list(lists.rows(np.array([10, 20, 30])))
+    assert [tuple(r) for f in frames for r in f.itertuples(index=False)] == [(10, 5, 1.0, 1), (10, 6, 1.0, 2), (30, 3, -3.0, 1), (30, 4, -3.0, 2)]
+    for size in (None, 9):
+        got = PR.top_k_products(spark.createDataFrame(sources, FACTORS), spark.createDataFrame(targets, FACTORS), 7, "a", "b", 100, size)
+        assert "FlatMapCoGroups" not in got._jdf.queryExecution().toString() and "Window" not in got._jdf.queryExecution().toString()
+        assert sorted(map(tuple, got.collect())) == brute(sources, targets, 7)
+
+
+def test_pair_scores_gather_few_factors_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    items, users = whole(rng, 30), whole(rng, 30)
+    pairs = [(int(a), int(b)) for a, b in zip(rng.integers(0, 30, 500), rng.integers(0, 30, 500))]
+    monkeypatch.setattr(PR, "PAIR_ROWS", 16)
+    got = PR.score_pairs(spark.createDataFrame(pairs, "user_id int, item_id int"), spark.createDataFrame(items, FACTORS), spark.createDataFrame(users, FACTORS))
+    assert sorted((r.user_id, r.item_id, r.score) for r in got.collect()) == _scored(pairs, items, users)
+
+
 def test_small_norms_are_never_sent(spark, monkeypatch):
     """Targets far shorter than the best ones: no block of them meets a source, and each target travels once a source block."""
     rng = np.random.default_rng(2)
