@@ -168,6 +168,25 @@ def _expanded(pairs: DataFrame, lvecs: DataFrame, rvecs: DataFrame, left_name: s
     return dealt.select(F.explode("left_ids").alias(left_name), "right_ids", "distance").select(left_name, F.explode("right_ids").alias(right_name), "distance")
 
 
+def class_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    radius: float,
+    id_col: str = "item_id",
+    vec_col: str = "features",
+    find=vector_pairs,
+    **how,
+) -> DataFrame:
+    """(left_vec, right_vec, distance, n_pairs): the pairs of vectors that a radius join finds and how many pairs of ids each stands for.
+
+    ``find`` is ``vector_pairs`` or ``approximate_vector_pairs``, ``how`` its parameters.  The ids of a vector are its
+    class; a join's rows are the products of classes, so sums over ``n_pairs`` are sums over all of its rows."""
+    lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
+    sized = lambda vecs, side: vecs.distinct().groupBy(F.col("_vec").alias(f"{side}_vec")).agg(F.count("_id").alias(f"_n_{side}"))
+    pairs = find(lvecs, rvecs, radius, **how).join(sized(lvecs, "left"), "left_vec").join(sized(rvecs, "right"), "right_vec")
+    return pairs.select("left_vec", "right_vec", "distance", (F.col("_n_left") * F.col("_n_right")).alias("n_pairs"))
+
+
 def exact_radius_join(
     left: DataFrame,
     right: DataFrame,

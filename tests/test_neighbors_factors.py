@@ -240,3 +240,14 @@ def test_crowded_keys_are_cut(spark, monkeypatch):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert sum(r["count"] for r in spread) == 300 * 300 and len(spread) >= 3 and max(r["count"] for r in spread) < 0.6 * 300 * 300
+
+
+def test_class_pairs_count_every_pair_of_ids(spark):
+    """Copies stay folded: as many pairs as the joins list, from as many rows as there are pairs of vectors."""
+    rows = [(k, [k % 3, k % 2]) for k in range(60)]
+    df = spark.createDataFrame(rows + rows[:5] + [(99, None)], "item_id int, features array<int>")
+    left, right = df.filter("item_id < 30"), df.filter("item_id >= 30")
+    for find, join in ((N.vector_pairs, N.exact_radius_join), (N.approximate_vector_pairs, N.approximate_radius_join)):
+        folded = N.class_pairs(left, right, 1.2, find=find)
+        pairs = join(left, right, 1.2)
+        assert sum(r.n_pairs for r in folded.collect()) == pairs.count() > folded.count() == folded.select("left_vec", "right_vec").distinct().count()
