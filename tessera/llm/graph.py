@@ -1,8 +1,8 @@
 """Connected components of a link table by alternating large-star and small-star steps.
 
 Every round is two grouped shuffles over the links; the link table never grows
-and each round is written to the shared folder, so nothing is recomputed after a
-lost executor.  Minima are combined before the shuffle, and the links of a hub meet its
+and each step is written to the shared folder, so nothing is recomputed after a
+lost executor and the driver plans one step at a time.  Minima are combined before the shuffle, and the links of a hub meet its
 minimum where they lie (``join_by_key``), so no task gets more than about a thousandth of
 all links for one node.  Rounds grow with the logarithm of the component size.
 """
@@ -55,7 +55,9 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     now, spark, first = edges, edges.sparkSession, scratch_mark()
     for k in range(max_rounds):
         total = now.count()
-        new = written(_small_star(_large_star(now, total).distinct(), total), f"components-{k}")
+        # Both steps are written: either reads its links several times, and one plan for both would hold the first step as often.
+        large = written(_large_star(now, total).distinct(), f"components-large-{k}")
+        new = written(_small_star(large, total), f"components-{k}")
         # A fixed point is a set of stars: no node is both a centre and a leaf, and no leaf has two centres.
         tangled = new.groupBy("b").count().filter("count > 1").limit(1).count() or new.select("a").distinct().join(new.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count()
         now = new

@@ -88,31 +88,42 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
     ball = F.transform(F.array(F.lit(0), *[F.lit(1 << i) for i in range(32)]), lambda m: F.struct(F.lit(0).alias("seg"), high.bitwiseXOR(m.cast("long")).alias("key")))
     probes = fps.select("fp", F.explode(F.concat(ball, F.array(F.struct(F.lit(1).alias("seg"), low.alias("key"))))).alias("s")).select("fp", "s.seg", "s.key")
 
-    full = owned.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"))
-    heavy = full.filter(F.col("n") > max(HEAVY_FLOOR, bucket, fps.count() // HEAVY)).select("seg", "key")
+    # Few keys are crowded; what follows reads their written table, so that no plan counts keys again.
+    big = written(owned.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket), "simhash-crowded")
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+
+    def matches(probes: DataFrame, entries: DataFrame, on: list[str]) -> DataFrame:
+        met = probes.withColumnRenamed("fp", "a").join(entries.withColumnRenamed("fp", "b"), on)
+        return met.filter((F.col("a") != F.col("b")) & (apart <= max_bits)).select("a", "b")
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    if not big.limit(1).count():
+        return ordered(matches(probes, owned, ["seg", "key"]))
+    heavy = big.filter(F.col("n") > max(HEAVY_FLOOR, bucket, fps.count() // HEAVY)).select("seg", "key")
     near = F.when(F.col("seg") == 0, F.transform(F.array(F.lit(0), *[F.lit(1 << i) for i in range(32)]), lambda m: F.col("key").bitwiseXOR(m.cast("long")))).otherwise(F.array("key"))
-    hot = F.broadcast(heavy.select("seg", F.explode(near).alias("key")).distinct().withColumn("salts", F.lit(SALTS)))
+    hot = written(heavy.select("seg", F.explode(near).alias("key")).distinct().withColumn("salts", F.lit(SALTS)), "simhash-hot")
 
     def dealt(side: DataFrame, salt) -> DataFrame:
-        return side.join(hot, ["seg", "key"], "left").withColumn("salt", salt(F.coalesce("salts", F.lit(1)))).drop("salts")
+        return side.join(F.broadcast(hot), ["seg", "key"], "left").withColumn("salt", salt(F.coalesce("salts", F.lit(1)))).drop("salts")
 
     def everywhere(salts):
         return F.explode(F.sequence(F.lit(0), salts - 1))
 
     probes = dealt(probes, lambda salts: F.pmod(F.xxhash64("fp"), salts).cast("int"))
-    crowded = dealt(full.filter(F.col("n") > bucket).select("seg", "key"), everywhere)
+    crowded = dealt(big.select("seg", "key"), everywhere)
     light = owned.join(F.broadcast(heavy), ["seg", "key"], "left_anti")
-    thin = dealt(light.join(full.filter(F.col("n") <= bucket).select("seg", "key"), ["seg", "key"]), everywhere)
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    thin = dealt(light.join(big.select("seg", "key"), ["seg", "key"], "left_anti"), everywhere)
     meet = ["seg", "key", "salt"]
-    matched = probes.withColumnRenamed("fp", "a").join(thin.withColumnRenamed("fp", "b"), meet).filter((F.col("a") != F.col("b")) & (apart <= max_bits)).select("a", "b")
+    matched = matches(probes, thin, meet)
 
-    touching = probes.join(crowded, meet, "left_semi").select("fp").distinct()
+    touching = written(probes.join(crowded, meet, "left_semi").select("fp").distinct(), "simhash-touching")
     points = F.transform(F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i).cast("long") for i in range(64)]), lambda m: F.col("fp").bitwiseXOR(m))
     around = touching.select("fp", F.explode(points).alias("z"))
     hub = around.groupBy("z").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("z", "b")
     stars = around.withColumnRenamed("fp", "a").join(hub, "z").filter("a != b").select("a", "b")
-    return matched.unionByName(stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return ordered(matched.unionByName(stars))
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -582,3 +582,24 @@ def test_versions_with_clashing_columns(spark):
     df = spark.createDataFrame(rows_, "path long, text string, blob__ long, found_blob__ long, findings__ long")
     got = blob_secrets.scan_versions(df, scratch_path(spark, "clash-ledger")).collect()[0]
     assert (got["blob__"], got["found_blob__"], got["findings__"]) == (7, 8, 9) and "assign" in got["findings"]
+
+
+def test_near_duplicate_plans_stay_small(spark, monkeypatch):
+    """The driver holds one plan at a time: a star step or a match does not repeat the steps before it."""
+    seen = {}
+
+    def noted(df, name, codec="snappy"):
+        seen[name] = max(seen.get(name, 0), df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return common.written(df, name, codec)
+
+    from tessera.llm import common
+
+    monkeypatch.setattr(simhash, "written", noted)
+    monkeypatch.setattr(graph, "written", noted)
+    fps = [1 << i for i in range(32)] + [(7 << 40) + (1 << i) for i in range(16)]
+    monkeypatch.setattr(simhash.links, "__defaults__", (2, 4))
+    rows = spark.createDataFrame([(i, f) for i, f in enumerate(fps)], "doc_id long, fp long")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(rows).collect()}
+    assert got == {i: 0 if i < 32 else 32 for i in range(48)}
+    steps = {n: k for n, k in seen.items() if n.startswith("components-") or n == "simhash-links"}
+    assert len(steps) >= 3 and max(steps.values()) <= 30, steps
