@@ -21,6 +21,10 @@ Expansion to ids
     and each expands to a bounded number of id pairs.  A vector that a third of all items
     share is written by many tasks.
 
+Folded join
+    ``class_join`` expands nothing: it gives pairs of classes (the ids of one vector) and every id with its class and its number of
+    links.  The queries return this form; pairs of ids grow with the square of a class.
+
 Approximate join
     Random projections in buckets, on distinct vectors: a table of (projections, bucket) keys, in which a
     left vector probes its own bucket and the adjacent ones.  Candidates are verified, so the result is a subset of the
@@ -45,6 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import squared_distance
+from tessera.operators.products import _stored
 
 #: Offsets up to which shifting a vector is cheaper than a grid.
 LATTICE_OFFSETS = 2_000
@@ -187,6 +192,43 @@ def class_pairs(
     return pairs.select("left_vec", "right_vec", "distance", (F.col("_n_left") * F.col("_n_right")).alias("n_pairs"))
 
 
+def class_join(
+    left: DataFrame,
+    right: DataFrame,
+    radius: float,
+    id_col: str = "item_id",
+    vec_col: str = "features",
+    left_name: str = "left",
+    right_name: str = "right",
+    find=vector_pairs,
+    **how,
+) -> DataFrame:
+    """A radius join with copies folded: (kind, id, class_id, other_class, distance, n_links).
+
+    The distinct ids of one vector on one side are a class, named after its smallest id.
+    ``kind`` ``link``: a pair of classes within the radius, ``id`` and ``class_id`` the left one, ``other_class`` the
+    right one, ``n_links`` the pairs of ids that it stands for.  ``kind`` ``left_name`` or ``right_name``: an id of that side
+    with its class, distance 0 to it, and in ``n_links`` how many ids of the other side lie within the radius.  Every pair of the join
+    is a member of a link's left class with a member of its right one, so nothing is lost, and rows grow with ids and
+    pairs of distinct vectors.  Ids whose vector is null or holds a null or NaN component have no row.  An id with several vectors has a row
+    for each; a class whose ids are all null has a null name.  ``find`` and ``how``: as in ``class_pairs``.
+    """
+    sides = [_vectors(df, id_col, vec_col) for df in (left, right)]
+    named = [v.distinct().groupBy("_vec").agg(F.min("_id").alias("_name"), F.count(F.lit(1)).alias("_n")) for v in sides]
+    lc, rc = [n.select(*[F.col(c).alias(f"{side}{c}") for c in ("_vec", "_name", "_n")]) for n, side in zip(named, ("left", "right"))]
+    # Pairs of vectors are far fewer than rows and are read three times.
+    pairs = _stored(find(*sides, radius, **how).join(lc, "left_vec").join(rc, "right_vec"), "class-pairs")
+    none = F.lit(None).cast(left.schema[id_col].dataType)
+    links = pairs.select(F.lit("link").alias("kind"), F.col("left_name").alias("id"), F.col("left_name").alias("class_id"), F.col("right_name").alias("other_class"), "distance", (F.col("left_n") * F.col("right_n")).alias("n_links"))
+    out = links
+    for kind, vecs, names, own, other in ((left_name, sides[0], named[0], "left", "right"), (right_name, sides[1], named[1], "right", "left")):
+        sums = pairs.groupBy(F.col(f"{own}_vec").alias("_vec")).agg(F.sum(f"{other}_n").alias("n_links"))
+        label = names.join(sums, "_vec", "left").select("_vec", "_name", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        member = vecs.distinct().join(label, "_vec")
+        out = out.unionByName(member.select(F.lit(kind).alias("kind"), F.col("_id").alias("id"), F.col("_name").alias("class_id"), none.alias("other_class"), F.lit(0.0).alias("distance"), "n_links"))
+    return out
+
+
 def exact_radius_join(
     left: DataFrame,
     right: DataFrame,

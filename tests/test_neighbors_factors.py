@@ -251,3 +251,39 @@ def test_class_pairs_count_every_pair_of_ids(spark):
         folded = N.class_pairs(left, right, 1.2, find=find)
         pairs = join(left, right, 1.2)
         assert sum(r.n_pairs for r in folded.collect()) == pairs.count() > folded.count() == folded.select("left_vec", "right_vec").distinct().count()
+
+
+def test_class_join_folds_copies_and_loses_no_pair(spark):
+    """Rows grow with ids, not with pairs; links and members spread out again are the pairs of the full join."""
+    rows = [(k, [k % 3, k % 2]) for k in range(60)]
+    df = spark.createDataFrame(rows + rows[:5] + [(99, None), (None, [9, 9])], "item_id int, features array<int>")
+    left, right = df.filter("item_id < 30 OR item_id IS NULL"), df.filter("item_id >= 30")
+    for find, join in ((N.vector_pairs, N.exact_radius_join), (N.approximate_vector_pairs, N.approximate_radius_join)):
+        got = N.class_join(left, right, 1.2, left_name="l", right_name="r", find=find).collect()
+        want = sorted((p.left_id, p.right_id, round(p.distance, 6)) for p in join(left, right, 1.2).collect())
+        of = {s: {} for s in "lr"}
+        for m in got:
+            if m.kind != "link":
+                assert m.distance == 0 and m.other_class is None
+                of[m.kind].setdefault(m.class_id, []).append(m.id)
+        links = [m for m in got if m.kind == "link"]
+        assert sorted((a, b, round(m.distance, 6)) for m in links for a in of["l"][m.class_id] for b in of["r"][m.other_class]) == want
+        assert sum(m.n_links for m in links) == len(want) and len(got) == len(links) + 61 and len(links) < 36
+        for side, at in (("l", 0), ("r", 1)):
+            assert all(m.n_links == sum(p[at] == m.id for p in want) for m in got if m.kind == side)
+
+
+def test_radius_queries_grow_with_items(spark, tmp_path):
+    """Twice the items (keys shifted, profiles kept) are about twice the rows, where pairs of items are four times as many."""
+    from pyspark.sql import functions as F
+
+    from tessera.plans import catalog
+
+    part = spark.range(1, 401).select(F.col("id").cast("int").alias("p_partkey"), F.lit("PROMO").alias("p_type"), (F.col("id") % 5).cast("int").alias("p_size"))
+    n = {}
+    for times in (1, 2):
+        more = part.unionByName(part.withColumn("p_partkey", (F.col("p_partkey") + 3000).cast("int"))) if times == 2 else part
+        more.write.parquet(f"{tmp_path}/{times}/part.parquet")
+        for name in ("exact", "exact_double", "grid", "lsh", "lsh_identical"):
+            n[name, times] = catalog.queries()[f"radius_neighbors_{name}"](spark, f"{tmp_path}/{times}").count()
+    assert all(n[k, 2] <= 2 * n[k, 1] <= 2 * (400 + 15 * 15) for k, _ in n), n
