@@ -101,3 +101,25 @@ def test_grouped_metrics_equal_separate_runs(spark):
         one = RK.ranking_metrics(preds, t2.filter(F.col("split") == name).drop("split"), 3).first()
         for f in ["precision_at_k", "ndcg_at_k", "mean_average_precision", "recall_at_k", "n_users"]:
             assert got[name][f] == pytest.approx(one[f], abs=1e-12)
+
+
+def test_top_k_of_small_groups_shuffles_once(spark):
+    """Groups of at most k rows need no pieces: one shuffle, as many rows as there are, ranks as ever."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.grouped import top_k_per_group
+
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def slow(i):
+        runs.add(1)
+        return float(i * 7919 % 601)
+
+    df = spark.range(600).select((F.col("id") % 20).alias("g"), F.col("id").alias("i"), slow.asNondeterministic()("id").alias("s"))
+    order = [F.desc("s"), F.asc("i")]
+    one = top_k_per_group(df, ["g"], order, 30, "i")
+    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = sorted(one.collect())
+    assert runs.value == 600  # sizes and ranks come from one pass over the rows
+    assert got == sorted(top_k_per_group(df, ["g"], order, 30, "i", salts=3).collect())
