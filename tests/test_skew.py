@@ -88,3 +88,34 @@ def test_ranks_of_repeated_rows_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(rows, "user_id int, item_id int, rating int")
     a, b = [sorted(map(str, rank_by_int_key(df.repartition(p), "user_id", "item_id", bucket_width=3).collect())) for p in (2, 7)]
     assert a == b and len(a) == len(rows)
+
+
+def test_large_tables_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    """Interactions and truth pairs of tables beyond the cores: bounded rows a task, the same rows as ever."""
+    from tessera.operators import ranking as RK
+    from tessera.sources import fixtures as fx
+
+    i, d = F.col("id"), str(tmp_path)
+    key = lambda c, gap: F.when(i % gap != 0, c)  # noqa: E731  # some keys are null
+    spark.range(4000).select(i.alias("o_orderkey"), key(i * 31 % 300, 101).alias("o_custkey")).write.parquet(f"{d}/orders.parquet")
+    spark.range(16000).select(
+        key(F.floor(i / 4), 97).alias("l_orderkey"),
+        key(i * 7919 % 5003 % 900, 89).alias("l_partkey"),
+        (i % 50 + 1).cast("double").alias("l_quantity"),
+        F.when(i % 3 == 0, "F").otherwise("O").alias("l_linestatus"),
+        F.when(i % 5 == 0, "R").when(i % 5 == 1, "N").alias("l_returnflag"),
+    ).write.parquet(f"{d}/lineitem.parquet")
+
+    def run(rows_per_task):
+        monkeypatch.setattr(grouped, "ROWS_PER_TASK", rows_per_task, raising=False)
+        inter = fx.interactions(spark, d, materialize=False)
+        truth = RK.truth_pairs(inter.unionByName(inter))  # every pair twice
+        in_task = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return inter.collect(), truth.collect(), in_task(inter), in_task(truth), RK.ranking_metrics_for_list(RK.popularity_list(inter, 20), inter, 20).first()
+
+    inter, truth, most, most_truth, metrics = run(400)
+    inter_1, truth_1, most_1, most_truth_1, metrics_1 = run(10**9)
+    assert max(most, most_truth) <= 800 < min(most_1, most_truth_1)
+    text = lambda rows: sorted(map(str, rows))
+    assert text(inter) == text(inter_1) and text(truth) == text(truth_1) and len(truth) == len(inter) > 8000
+    assert metrics.asDict() == pytest.approx(metrics_1.asDict(), abs=1e-12)
