@@ -23,7 +23,7 @@ Expansion to ids
 
 Folded join
     ``class_join`` expands nothing: it gives pairs of classes (the ids of one vector) and every id with its class and its number of
-    links.  The queries return this form; pairs of ids grow with the square of a class.
+    links.  ``radius_neighbors_lsh`` returns this form; pairs of ids grow with the square of a class.
 
 Approximate join
     Random projections in buckets, on distinct vectors: a table of (projections, bucket) keys, in which a
@@ -165,8 +165,12 @@ def _chunks(vecs: DataFrame, side: str, chunk_ids: int) -> DataFrame:
     return packed.select(F.col("_vec").alias(f"{side}_vec"), F.col("_chunk").alias(f"{side}_chunk"), F.col("_ids").alias(f"{side}_ids"))
 
 
-def _expanded(pairs: DataFrame, lvecs: DataFrame, rvecs: DataFrame, left_name: str, right_name: str, chunk_ids: int = CHUNK_IDS) -> DataFrame:
-    """Vector pairs -> id pairs, dealt out by pair of chunks before anything is expanded."""
+def _expanded(pairs: DataFrame, lvecs: DataFrame, rvecs: DataFrame, left_name: str, right_name: str, chunk_ids: int = CHUNK_IDS, digits: int | None = None) -> DataFrame:
+    """Vector pairs -> id pairs, dealt out by pair of chunks before anything is expanded.
+
+    With ``digits`` the distance is rounded here, once a pair of vectors and not once a pair of ids."""
+    if digits is not None:
+        pairs = pairs.withColumn("distance", F.round("distance", digits))
     chunked = pairs.join(_chunks(lvecs, "left", chunk_ids), "left_vec").join(_chunks(rvecs, "right", chunk_ids), "right_vec")
     n = chunked.sparkSession.conf.get("spark.sql.shuffle.partitions")
     dealt = chunked.repartition(int(n), "left_vec", "left_chunk", "right_vec", "right_chunk")
@@ -239,15 +243,16 @@ def exact_radius_join(
     right_name: str = "right_id",
     integral: bool | None = None,
     dim: int | None = None,
+    digits: int | None = None,
 ) -> DataFrame:
     """All (left_id, right_id, distance) with Euclidean distance < radius.
 
-    Inputs may repeat ids (one row per rating): pairs are returned once.
+    Inputs may repeat ids (one row per rating): pairs are returned once.  ``digits`` rounds the distance.
     ``integral`` / ``dim`` save the pass that finds out whether every component
     is a whole number and how long the vectors are; ``integral=False`` is always right.
     """
     lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
-    return _expanded(vector_pairs(lvecs, rvecs, radius, integral, dim), lvecs, rvecs, left_name, right_name)
+    return _expanded(vector_pairs(lvecs, rvecs, radius, integral, dim), lvecs, rvecs, left_name, right_name, digits=digits)
 
 
 def approximate_radius_join(
@@ -262,11 +267,12 @@ def approximate_radius_join(
     num_hash_tables: int = 3,
     seed: int = 1,
     probes: int = 1,
+    digits: int | None = None,
 ) -> DataFrame:
-    """LSH radius join (M8), on distinct vectors, expanded to ids; parameters as in ``approximate_vector_pairs``."""
+    """LSH radius join (M8), on distinct vectors, expanded to ids; parameters as in ``approximate_vector_pairs``, ``digits`` rounds the distance."""
     lvecs, rvecs = _vectors(left, id_col, vec_col), _vectors(right, id_col, vec_col)
     pairs = approximate_vector_pairs(lvecs, rvecs, radius, bucket_length, num_hash_tables, seed, probes)
-    return _expanded(pairs, lvecs, rvecs, left_name, right_name)
+    return _expanded(pairs, lvecs, rvecs, left_name, right_name, digits=digits)
 
 
 #: Projections that make one key.
