@@ -186,3 +186,53 @@ def test_a_run_written_twice_replaces_its_rows(spark):
     store_metrics(rows.withColumn("x", rows["x"] * 2), path, run_name("a", 1))
     got = sorted((r.run == run_name("a", 1), r.split, r.x) for r in spark.read.parquet(path).collect())
     assert got == [(False, "test", 0.25), (False, "val", 0.5), (True, "test", 0.5), (True, "val", 1.0)]
+
+
+def test_large_fits_of_a_job_run_in_turn_in_small_blocks(spark, monkeypatch):
+    """Two fits at a time hold twice the blocks: beyond ``TOGETHER`` ratings one waits for the other, and blocks stay small."""
+    import threading
+    import time
+
+    from tessera.plans.evaluate import holdout_report
+
+    assert M.fits_together(40_000_000, 2) == {"fits": 2}
+    large = M.fits_together(150_000_000, 2)
+    assert M.fit_blocks(150_000_000, **large) == 12 and M.fit_blocks(150_000_000, 2) == M.fit_blocks(150_000_000, 1) - 1 == 5
+
+    rows = spark.createDataFrame([(u, i, 1 + (u * i) % 5) for u in range(40) for i in range(20)], "user_id int, item_id int, rating int").cache()
+    lock, now, most, blocks, fit = threading.Lock(), [0], [0], [], M.make_als
+
+    def spy(**params):
+        als, blocks_of = fit(**params), params["num_blocks"]
+
+        class Counted:
+            def fit(self, train):
+                with lock:
+                    now[0] += 1
+                    most[0] = max(most[0], now[0])
+                    blocks.append((blocks_of, train.count()))
+                time.sleep(1)
+                try:
+                    return als.fit(train)
+                finally:
+                    with lock:
+                        now[0] -= 1
+
+        return Counted()
+
+    monkeypatch.setattr(M, "make_als", spy)
+    monkeypatch.setattr(M, "SMALL_BLOCK", 100)
+    jobs = [
+        lambda: holdout_report(S.assign_parts(rows).cache(), dict(rank=2, max_iter=1), 3).collect(),
+    ]
+    for job in jobs:
+        job()
+        assert most == [2]
+        most[0] = 0
+    monkeypatch.setattr(M, "TOGETHER", 300)
+    monkeypatch.setattr(M, "TURN_BLOCK", 60)
+    for job in jobs:
+        blocks.clear()
+        job()
+        assert most == [1] and len(blocks) >= 2 and all(b == min(M.block_count(n), -(-n // 60)) > 3 for b, n in blocks), blocks
+        most[0] = 0
