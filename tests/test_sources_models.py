@@ -193,6 +193,7 @@ def test_large_fits_of_a_job_run_in_turn_in_small_blocks(spark, monkeypatch):
     import threading
     import time
 
+    from tessera.plans.coldstart import cold_start
     from tessera.plans.evaluate import holdout_report
 
     assert M.fits_together(40_000_000, 2) == {"fits": 2}
@@ -200,6 +201,7 @@ def test_large_fits_of_a_job_run_in_turn_in_small_blocks(spark, monkeypatch):
     assert M.fit_blocks(150_000_000, **large) == 12 and M.fit_blocks(150_000_000, 2) == M.fit_blocks(150_000_000, 1) - 1 == 5
 
     rows = spark.createDataFrame([(u, i, 1 + (u * i) % 5) for u in range(40) for i in range(20)], "user_id int, item_id int, rating int").cache()
+    genres = spark.createDataFrame([(i, [i % 2, 1]) for i in range(20)], "item_id int, features array<int>")
     lock, now, most, blocks, fit = threading.Lock(), [0], [0], [], M.make_als
 
     def spy(**params):
@@ -223,6 +225,7 @@ def test_large_fits_of_a_job_run_in_turn_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(M, "make_als", spy)
     monkeypatch.setattr(M, "SMALL_BLOCK", 100)
     jobs = [
+        lambda: cold_start(rows, genres, integral=True, dim=2, rank=2, max_iter=1).first(),
         lambda: holdout_report(S.assign_parts(rows).cache(), dict(rank=2, max_iter=1), 3).collect(),
     ]
     for job in jobs:
